@@ -27,7 +27,7 @@ def _target(spark, sf_dir, label):
 @query(f"{CUSTOMERS_SQL} UNION ALL {SUPPLIERS_SQL}")
 def export_append(spark, sf_dir):
     target = _target(spark, sf_dir, "export_append")
-    sink.export_append(suppliers(spark, sf_dir), target, writers=4)
+    sink.export_append(suppliers(spark, sf_dir), target)
     return spark.table(target)
 
 

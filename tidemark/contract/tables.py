@@ -37,12 +37,11 @@ def _days(spark, sf_dir):
 
 
 def _partitioned(spark, sf_dir, label):
-    """Events stored by day; the rows of a day are gathered before the write."""
+    """Events stored by day."""
     table = f"{scratch_database(spark, label)}.days"
     rows = _days(spark, sf_dir)
     sink.create_table(spark, table, rows.drop("date").dtypes, partition_key="date")
-    # Several files per day, so a day with a third of all rows is not one task.
-    rows.repartition("date", F.pmod("event_id", F.lit(8))).write.insertInto(table)
+    sink.overwrite_partitions(rows, table, "date")
     return table
 
 
@@ -83,6 +82,17 @@ def overwrite_partition(spark, sf_dir):
     return warehouse_scan(spark, table)
 
 
+@query(f"""
+SELECT event_id, user_id, CASE WHEN user_id < 50 THEN -value ELSE value END AS value, date FROM ({DAYS_SQL})
+WHERE user_id < 50 OR date NOT IN (SELECT date FROM ({DAYS_SQL}) WHERE user_id < 50)""")
+def overwrite_partitions(spark, sf_dir):
+    """A second load replaces just the days on which its users occur."""
+    table = _partitioned(spark, sf_dir, "overwrite_partitions")
+    reload = _days(spark, sf_dir).where("user_id < 50").withColumn("value", -F.col("value"))
+    sink.overwrite_partitions(reload, table, "date")
+    return warehouse_scan(spark, table)
+
+
 @query(f"SELECT * FROM ({DAYS_SQL}) WHERE date <> '20240102'")
 def drop_partition(spark, sf_dir):
     table = _partitioned(spark, sf_dir, "drop_partition")

@@ -13,6 +13,7 @@ from ..functions.types import import_type, normalize_types, parse_overrides
 from ..operators.projections import project_listed
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_import
 from ..sinks import tables as sink
+from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split
 from ..sources.tables import describe_columns, fill_filter, read_mark, table_exists
 from .unique import current_name, unique_dispatch, unique_table
 
@@ -35,6 +36,8 @@ class ImportTask:
     map_column_hive: str | None = None
     hive_partition_key: str | None = None
     hive_partition_value: str | None = None
+    split_by: str | None = None
+    m: int | None = None
 
     @classmethod
     def from_row(cls, row: Row) -> ImportTask:
@@ -56,6 +59,23 @@ class ImportTask:
         return self.hive_partition_key if has_both else None
 
 
+def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -> Callable[[str], DataFrame]:
+    """Scan of the task's table or query for :func:`import_table`.
+
+    With a split column the read runs in ``m`` ranges between the bounds that
+    the database reports. A query overrides table and filter.
+    """
+
+    def scan(where: str) -> DataFrame:
+        what = {"table": task.table_name, "query": task.query_sql if _filled(task.query_sql) else None, "where": where}
+        split = None
+        if _filled(task.split_by):
+            split = jdbc_split(spark, connection, task.split_by, task.m or DEFAULT_READERS, **what)
+        return jdbc_scan(spark, connection, split=split, **what)
+
+    return scan
+
+
 def import_filter(spark: SparkSession, task: ImportTask, start: object = 0) -> str:
     """Filter text for this run: newer rows for an incremental task, else all.
 
@@ -102,8 +122,7 @@ def import_table(
     """Run one import and, unless told not to, rebuild the current table.
 
     ``scan`` takes the filter text and returns the lazy source: for a database
-    ``lambda where: jdbc_scan(spark, connection, table, where=where)``. The
-    column descriptors default to the scan's schema. Returns the schema
+    :func:`jdbc_source`, for any DataFrame its ``where``. The column descriptors default to the scan's schema. Returns the schema
     findings.
     """
     day = day or dt.date.today()

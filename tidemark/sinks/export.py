@@ -16,9 +16,6 @@ from ..functions.types import export_type
 from ..sources.tables import describe_columns, table_exists
 from . import tables
 
-# Concurrent connections when the registry names no number of writers.
-DEFAULT_WRITERS = 8
-
 
 def export_create_target(spark: SparkSession, df: DataFrame, target: str) -> None:
     """Create a missing target from the warehouse schema."""
@@ -32,12 +29,15 @@ def create_target_like(spark: SparkSession, table: str, like: str) -> None:
 
 
 def jdbc_export_insert(df: DataFrame, target: str, writers: int | None = None, overwrite: bool = False) -> None:
-    """Insert rows over at most ``writers`` connections.
+    """Insert rows, matched by name, over at most ``writers`` connections.
 
-    ``coalesce`` keeps the read and the insert in the same tasks, without a
-    shuffle. Columns are matched by name.
+    Without a number every task writes; the JDBC catalog's ``numPartitions``
+    then protects the database. ``coalesce`` keeps the read and the insert in
+    the same tasks, without a shuffle.
     """
-    rows = tables.match_columns(df, target).coalesce(writers or DEFAULT_WRITERS)
+    rows = tables.match_columns(df, target)
+    if writers:
+        rows = rows.coalesce(writers)
     rows.write.insertInto(target, overwrite=overwrite)
 
 

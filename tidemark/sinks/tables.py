@@ -22,18 +22,27 @@ def ctas_replace(
     """Replace a table by a query result, swapping only after a whole write.
 
     The rows go to ``<table>__incoming`` first, so a lost job leaves the old
-    table alone and a query may read the table it replaces. ``bucket_by``
-    stores the rows bucketed and sorted for later joins on those columns.
+    table alone and a query may read the table it replaces. The old table is
+    kept as ``<table>__previous`` during the swap and put back by the next call
+    if the program ended in between. ``bucket_by`` stores the rows bucketed and
+    sorted for later joins on those columns.
     """
     spark = df.sparkSession
-    incoming = f"{table}__incoming"
+    incoming, previous = f"{table}__incoming", f"{table}__previous"
+    if spark.catalog.tableExists(previous):
+        if spark.catalog.tableExists(table):
+            drop_table(spark, previous)
+        else:
+            rename_table(spark, previous, table)
     drop_table(spark, incoming)
     writer = df.write.format(fmt)
     if bucket_by:
         writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     writer.saveAsTable(incoming)
-    drop_table(spark, table)
+    if spark.catalog.tableExists(table):
+        rename_table(spark, table, previous)
     rename_table(spark, incoming, table)
+    drop_table(spark, previous)
 
 
 def ctas_passthrough(spark: SparkSession, source: str, target: str) -> None:
@@ -103,19 +112,28 @@ def overwrite_partition(df: DataFrame, table: str, key: str, value: str, append:
     """
     rows = match_columns(df, table, without=[key])
     verb = "INTO" if append else "OVERWRITE"
-    df.sparkSession.sql(
-        f"INSERT {verb} TABLE {quoted(table)} PARTITION (`{key}` = {_text(value)}) SELECT * FROM {{rows}}", rows=rows
-    )
+    place = _partition(key, value).replace("{", "{{").replace("}", "}}")
+    df.sparkSession.sql(f"INSERT {verb} TABLE {quoted(table)} {place} SELECT * FROM {{rows}}", rows=rows)
+
+
+def overwrite_partitions(df: DataFrame, table: str, key: str, append: bool = False) -> None:
+    """Replace (or append to) every partition that occurs in the rows.
+
+    The rebalance hint gathers a partition's rows into files of a fair size
+    and lets AQE split a partition that is too large for one task.
+    """
+    rows = match_columns(df, table).hint("rebalance", key)
+    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=not append)
 
 
 def drop_partition(spark: SparkSession, table: str, key: str, value: str) -> None:
     """Drop one partition with its rows, if there."""
-    spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS PARTITION (`{key}` = {_text(value)})")
+    spark.sql(f"ALTER TABLE {quoted(table)} DROP IF EXISTS {_partition(key, value)}")
 
 
 def add_partition(spark: SparkSession, table: str, key: str, value: str) -> None:
     """Register one partition, if not there."""
-    spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS PARTITION (`{key}` = {_text(value)})")
+    spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS {_partition(key, value)}")
 
 
 def truncate_table(spark: SparkSession, table: str) -> None:
@@ -134,5 +152,6 @@ def rename_table(spark: SparkSession, table: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted('.'.join(target))}")
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _partition(key: str, value: str) -> str:
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"PARTITION (`{key}` = '{text}')"

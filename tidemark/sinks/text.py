@@ -8,9 +8,10 @@ from pyspark.sql import types as T
 
 from ..functions.text import drop_delims, on_strings
 
-# Field mark and the text that stands for NULL.
+# Field mark and the text that stands for NULL, raw or not.
 FIELD_MARK = "\x01"
 NULL_TEXT = "\\N"
+PLAIN_NULL_TEXT = "null"
 
 
 def _options(sep: str | None, line: str | None, raw_null: bool) -> dict[str, str]:
@@ -21,11 +22,10 @@ def _options(sep: str | None, line: str | None, raw_null: bool) -> dict[str, str
         "escape": '"',
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
+        "nullValue": NULL_TEXT if raw_null else PLAIN_NULL_TEXT,
     }
     if line:
         options["lineSep"] = line
-    if raw_null:
-        options["nullValue"] = NULL_TEXT
     return options
 
 
@@ -43,7 +43,8 @@ def write_delimited(
     it first; a custom field mark inside a value is kept by quoting.
 
     NULL is written as ``\\N`` and an empty string as ``""``, so both come back
-    as they were. A value that is literally ``\\N`` reads back as NULL.
+    as they were. A value that is literally ``\\N`` reads back as NULL. With
+    ``raw_null`` off the same holds for the word ``null``.
     """
     clean = on_strings(df, drop_delims)
     if line:

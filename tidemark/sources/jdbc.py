@@ -36,6 +36,8 @@ LIST_COLUMNS = {
     "oracle": "SELECT table_name, column_id AS ordinal, column_name AS name, data_type AS type FROM user_tab_columns",
 }
 FETCH_SIZE = 10_000
+# Readers of a scan that names a split column but no number of its own.
+DEFAULT_READERS = 16
 
 
 @dataclass(frozen=True)

@@ -25,10 +25,17 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def describe_columns(spark: SparkSession, table: str) -> list[tuple[str, str]]:
-    """Names and types in order, without partition columns; empty if the table is missing."""
+    """Names and types in order, without partition columns; empty if the table is missing.
+
+    The catalog tells partition columns apart; DESCRIBE gives the declared
+    type, with the length of a varchar.
+    """
     if not table_exists(spark, table):
         return []
-    return [(c.name, c.dataType) for c in spark.catalog.listColumns(table) if not c.isPartition]
+    names = [c.name for c in spark.catalog.listColumns(table) if not c.isPartition]
+    described = spark.sql(f"DESCRIBE TABLE {quoted(table)}").collect()
+    kinds = {r["col_name"]: r["data_type"] for r in reversed(described)}
+    return [(name, kinds[name]) for name in names]
 
 
 def list_source_tables(spark: SparkSession, namespace: str) -> DataFrame:
