@@ -12,6 +12,7 @@ from tidemark.functions.types import (
     normalize_types,
     override_column_types,
     parse_overrides,
+    type_name,
 )
 
 CASES = {
@@ -53,7 +54,7 @@ def test_import_type(source, wanted):
 
 def test_import_type_as_column(spark):
     df = spark.createDataFrame(list(CASES.items()), "t string, w string")
-    assert df.where(map_types_import("t") != F.col("w")).count() == 0
+    assert df.where(map_types_import(type_name("t")) != F.col("w")).count() == 0
 
 
 def test_exact_decimals():

@@ -73,3 +73,14 @@ def export_table(spark, sf_dir):
     names = spark.sql(f"SHOW TABLES IN `{database}` LIKE 'party*'").collect()
     held = [spark.table(f"{database}.{n['tableName']}").withColumn("table_name", F.lit(n["tableName"])) for n in names]
     return held[0].unionByName(held[1])
+
+
+@query(f"SELECT * EXCLUDE (segment) FROM ({CUSTOMERS_SQL})")
+def create_target_like(spark, sf_dir):
+    """A staging table takes the target's columns, not those of the rows."""
+    database = scratch_database(spark, "create_target_like")
+    target, rows = f"spark_catalog.{database}.party", customers(spark, sf_dir).drop("segment")
+    sink.export_create_target(spark, rows, target)
+    sink.create_target_like(spark, f"{target}_20240102", target)
+    sink.jdbc_export_insert(rows.select("balance", "id", "name", "nation"), f"{target}_20240102")
+    return spark.table(f"{target}_20240102")

@@ -4,12 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..functions.dates import yesterday
-from ..functions.names import matches, replace_layer
-from ..functions.types import normalize_types as normalize
-from ..operators.projections import project_except as without
-from ..operators.projections import project_listed as listed
+from ..functions import dates, names, text, types
+from ..operators import projections
 from ..plans.importing import ImportTask
 from ..plans.importing import import_table as run_import
 from ..session import scratch_database
@@ -50,43 +46,86 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey, o_orderstatus, CAST
        CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""")
 def normalize_types(spark, sf_dir):
     orders = given(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(15,2)"))
-    return normalize(orders, {"o_orderkey": "string"})
+    return types.normalize_types(orders, {"o_orderkey": "string"})
 
 
 @query("SELECT l_orderkey, l_linenumber, l_tax FROM lineitem")
 def project_listed(spark, sf_dir):
-    return listed(given(spark, sf_dir, "lineitem"), ["L_TAX", "l_orderkey", " l_linenumber"])
+    return projections.project_listed(given(spark, sf_dir, "lineitem"), ["L_TAX", "l_orderkey", " l_linenumber"])
 
 
 @query("SELECT * EXCLUDE (props, value) FROM events")
 def project_except(spark, sf_dir):
-    return without(given(spark, sf_dir, "events"), ["props", "value", "rank_tmp"])
+    return projections.project_except(given(spark, sf_dir, "events"), ["props", "value", "rank_tmp"])
 
 
-@query("""
-SELECT conv_id, turn, coalesce(trim(text, E' \\t\\r\\n') = '', TRUE) AS blank, lower(role) AS role,
-       regexp_matches(text, '(?i)the') AS has_word
-FROM conversations""")
+@query("SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem")
+def project_fixed_order(spark, sf_dir):
+    return projections.project_fixed_order(given(spark, sf_dir, "lineitem"), ["l_returnflag", "l_orderkey", "l_linenumber"])
+
+
+@query("SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, * EXCLUDE (l_orderkey) FROM lineitem")
+def override_column_types(spark, sf_dir):
+    return types.override_column_types(given(spark, sf_dir, "lineitem"), types.parse_overrides("L_ORDERKEY=string"))
+
+
+@query("SELECT conv_id, turn, coalesce(trim(text, E' \\t\\r\\n') = '', TRUE) AS blank FROM conversations")
 def is_blank(spark, sf_dir):
-    return given(spark, sf_dir, "conversations").select(
-        "conv_id",
-        "turn",
-        text.is_blank("text").alias("blank"),
-        F.lower("role").alias("role"),
-        matches("text", "the").alias("has_word"),
-    )
+    return given(spark, sf_dir, "conversations").select("conv_id", "turn", text.is_blank("text").alias("blank"))
+
+
+@query("SELECT conv_id, turn, lower(text) AS text FROM conversations")
+def lower(spark, sf_dir):
+    return given(spark, sf_dir, "conversations").select("conv_id", "turn", F.lower("text").alias("text"))
+
+
+@query("SELECT * FROM conversations WHERE lower(role) = lower('USER')")
+def filter_ci_equal(spark, sf_dir):
+    return given(spark, sf_dir, "conversations").where(names.same_text("role", F.lit("USER")))
+
+
+@query("SELECT doc_id, regexp_matches(text, '(?i)the|der|les') AS found FROM documents")
+def regex_match(spark, sf_dir):
+    return given(spark, sf_dir, "documents").select("doc_id", names.matches("text", "the|der|les").alias("found"))
+
+
+@query("SELECT page_id, regexp_replace(url || '(' || page_id || ',2)', '\\(.*', '') AS name FROM pages")
+def regex_strip(spark, sf_dir):
+    typed = F.concat("url", F.lit("("), "page_id", F.lit(",2)"))
+    return given(spark, sf_dir, "pages").select("page_id", types.base_type(typed).alias("name"))
+
+
+@query("SELECT c_custkey, 'dw.ods_' || lower(c_mktsegment) || '_src_' || c_name AS name FROM customer")
+def replace_layer(spark, sf_dir):
+    name = F.concat(F.lit("dw."), names.concat_name(F.lower("c_mktsegment"), F.concat(F.lit("src_"), "c_name")))
+    return given(spark, sf_dir, "customer").select("c_custkey", names.replace_layer(name, "src_", "ods_").alias("name"))
+
+
+@query("SELECT c_custkey, 'src_' || c_mktsegment || '_' || c_name AS name FROM customer")
+def concat_name(spark, sf_dir):
+    name = names.concat_name(F.col("c_mktsegment"), F.col("c_name"))
+    return given(spark, sf_dir, "customer").select("c_custkey", name.alias("name"))
+
+
+@query("SELECT c_custkey, lower(c_mktsegment) AS db FROM customer")
+def substr_locate(spark, sf_dir):
+    name = names.concat_name(F.lower("c_mktsegment"), F.concat(F.lit("x_"), "c_name"))
+    return given(spark, sf_dir, "customer").select("c_custkey", names.database_part(name).alias("db"))
+
+
+@query("SELECT l_orderkey, l_linenumber, strftime(l_shipdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before FROM lineitem")
+def yesterday(spark, sf_dir):
+    before = dates.yesterday(F.col("l_shipdate")).alias("day_before")
+    return given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", before)
 
 
 @query("""
-SELECT c_custkey, 'dw.ods_' || lower(c_mktsegment) || '_src_' || c_name AS name,
-       regexp_extract(c_name, '#(.*)', 1) AS digits FROM customer""")
-def replace_layer_names(spark, sf_dir):
-    name = F.concat(F.lit("dw.src_"), F.lower("c_mktsegment"), F.lit("_src_"), F.col("c_name"))
-    return given(spark, sf_dir, "customer").select(
-        "c_custkey",
-        replace_layer(name, "src_", "ods_").alias("name"),
-        F.regexp_extract("c_name", "#(.*)", 1).alias("digits"),
-    )
+SELECT o_orderkey, try_strptime(strftime(o_orderdate, '%Y%m') ||
+  CASE o_orderstatus WHEN 'F' THEN '31' WHEN 'O' THEN '15' ELSE '1x' END, '%Y%m%d') AS day FROM orders""")
+def parse_date(spark, sf_dir):
+    day = F.when(F.col("o_orderstatus") == "F", "31").when(F.col("o_orderstatus") == "O", "15").otherwise("1x")
+    written = F.concat(F.date_format("o_orderdate", "yyyyMM"), day)
+    return given(spark, sf_dir, "orders").select("o_orderkey", dates.parse_date(written).cast("timestamp_ntz").alias("day"))
 
 
 @query("""
@@ -98,21 +137,11 @@ def split_list(spark, sf_dir):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
-       CASE WHEN l_quantity > 10 THEN l_extendedprice END AS price,
-       strftime(l_shipdate - INTERVAL 1 DAY, '%Y%m%d') AS day_before
-FROM lineitem""")
+SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_quantity > 10 THEN l_extendedprice END AS price FROM lineitem""")
 def nan_to_null(spark, sf_dir):
     price = F.when(F.col("l_quantity") > 10, F.col("l_extendedprice")).otherwise(F.lit(float("nan")))
-    return given(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        "l_quantity",
-        text.nan_to_null(price).alias("price"),
-        yesterday(F.col("l_shipdate")).alias("day_before"),
-    )
+    kept = ("l_orderkey", "l_linenumber", "l_partkey")
+    return given(spark, sf_dir, "lineitem").select(*kept, text.nan_to_null(price).alias("price"))
 
 
 @query(f"""

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ..operators import projections
 from ..operators import routing as op
 from ..plans import merge as plan
+from ..session import scratch_database
+from ..sinks.tables import ctas_replace
 from .base import given, query
 
 
@@ -155,3 +157,22 @@ def merge_passthrough(spark, sf_dir):
 def merge_prefer_new(spark, sf_dir):
     branch = plan.merge_dispatch("ods_pms_SysCategory")
     return plan.merge_frames(branch, None, new_rows(spark, sf_dir), None)
+
+
+@query(f"""
+{WITH}, mid AS ({MIDDLE_SQL})
+SELECT s.brand_code, s.clinic_name, t.* FROM mid t JOIN dim s ON t.orgid = s.clinic_id""")
+def merge_table(spark, sf_dir):
+    """Stored tables in, stored table out, with the layers in between."""
+    database, final = scratch_database(spark, "merge_table"), scratch_database(spark, "merge_final")
+    ctas_replace(old_rows(spark, sf_dir), f"{database}.ods_pms_cpayments")
+    ctas_replace(new_rows(spark, sf_dir), f"{database}.ods_pmsweb_cpayments")
+    merged = plan.merge_table(
+        spark, f"{database}.ods_pms_cpayments", clinics(spark, sf_dir), final, keep_layers=True
+    )
+    return spark.table(merged)
+
+
+@query(f"{WITH} SELECT status, amount, id, orgid FROM new")
+def project_dim_first(spark, sf_dir):
+    return projections.project_dim_first(new_rows(spark, sf_dir), ["status", "amount"], ["id", "orgid"])

@@ -124,6 +124,23 @@ def registry_left_join(spark, sf_dir):
     return plan.registry_scan(connections(spark, sf_dir), tasks(spark, sf_dir).where("db_name = 'building'"))
 
 
+@query(f"""
+SELECT c.connection_id, c.connection_name, c.status AS connection_status, t.* EXCLUDE (connection_id)
+FROM ({CONNECTIONS_SQL}) c JOIN ({TASKS_SQL}) t ON c.connection_id = t.connection_id""")
+def registry_inner_join(spark, sf_dir):
+    return plan.registry_inner_join(connections(spark, sf_dir), tasks(spark, sf_dir))
+
+
+@query(f"SELECT * FROM ({TASKS_SQL}) ORDER BY connection_id")
+def order_by_key(spark, sf_dir):
+    return plan.order_by_key(tasks(spark, sf_dir))
+
+
+@query(f"SELECT * FROM ({TASKS_SQL}) WHERE last_exec_date IS NULL OR last_exec_date <> '{TODAY}'")
+def filter_due_today(spark, sf_dir):
+    return plan.filter_due_today(tasks(spark, sf_dir), TODAY)
+
+
 @query(f"""
 SELECT * FROM ({TASKS_SQL}) WHERE lower(table_name) = 'customer#000000001'
   AND connection_id = (SELECT CAST(min(c_nationkey) AS VARCHAR) FROM customer WHERE c_name = 'Customer#000000001')

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import types
 from ..operators import schema as op
 from .base import given, query
 
@@ -80,6 +81,22 @@ EXPORT_DIFF_SQL = _diff_sql(
 )
 
 
+@query(f"SELECT table_name, ordinal, source_type, {IMPORT_TYPE_SQL} AS wanted_type FROM"
+       f" (SELECT table_name, ordinal, type AS source_type FROM ({SOURCE_SQL}))")
+def map_types_import(spark, sf_dir):
+    named = source_columns(spark, sf_dir).withColumn("kind", types.type_name("type"))
+    wanted = types.map_types_import("kind").alias("wanted_type")
+    return named.select("table_name", "ordinal", F.col("type").alias("source_type"), wanted)
+
+
+@query(f"""
+SELECT table_name, ordinal, type, CASE WHEN type = 'string' THEN 'varchar(255)' ELSE type END AS wanted_type
+FROM ({TARGET_SQL})""")
+def map_types_export(spark, sf_dir):
+    wanted = types.map_types_export("type").alias("wanted_type")
+    return target_columns(spark, sf_dir).select("table_name", "ordinal", "type", wanted)
+
+
 def _import_diff(spark, sf_dir):
     return op.schema_diff_import(source_columns(spark, sf_dir), target_columns(spark, sf_dir))
 

@@ -6,7 +6,7 @@ from ..functions.types import import_type
 from ..session import scratch_database, shared_folder
 from ..sinks import tables as sink
 from ..sinks import text as text_sink
-from ..sources.tables import warehouse_scan
+from ..sources.tables import warehouse_scan as scan
 from .base import given, query
 
 PARTY = ("id", "name", "nation", "balance")
@@ -51,7 +51,7 @@ def append_table(spark, sf_dir):
     sink.create_table(spark, table, customers(spark, sf_dir).dtypes)
     sink.append_table(customers(spark, sf_dir), table)
     sink.append_table(suppliers(spark, sf_dir), table)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(SUPPLIERS_SQL)
@@ -60,7 +60,7 @@ def overwrite_table(spark, sf_dir):
     sink.create_table(spark, table, customers(spark, sf_dir).dtypes)
     sink.append_table(customers(spark, sf_dir), table)
     sink.overwrite_table(suppliers(spark, sf_dir), table)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(SUPPLIERS_SQL)
@@ -70,7 +70,7 @@ def truncate_table(spark, sf_dir):
     sink.append_table(customers(spark, sf_dir), table)
     sink.truncate_table(spark, table)
     sink.append_table(suppliers(spark, sf_dir), table)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(f"""
@@ -79,7 +79,7 @@ def overwrite_partition(spark, sf_dir):
     table = _partitioned(spark, sf_dir, "overwrite_partition")
     reload = _days(spark, sf_dir).where("date = '20240102'").withColumn("value", -F.col("value")).drop("date")
     sink.overwrite_partition(reload, table, "date", "20240102")
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(f"""
@@ -90,7 +90,7 @@ def overwrite_partitions(spark, sf_dir):
     table = _partitioned(spark, sf_dir, "overwrite_partitions")
     reload = _days(spark, sf_dir).where("user_id < 50").withColumn("value", -F.col("value"))
     sink.overwrite_partitions(reload, table, "date")
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(f"SELECT * FROM ({DAYS_SQL}) WHERE date <> '20240102'")
@@ -98,7 +98,7 @@ def drop_partition(spark, sf_dir):
     table = _partitioned(spark, sf_dir, "drop_partition")
     sink.drop_partition(spark, table, "date", "20240102")
     sink.drop_partition(spark, table, "date", "19000101")
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query(f"SELECT * FROM ({DAYS_SQL}) UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal, '20240201' FROM supplier")
@@ -108,7 +108,7 @@ def add_partition(spark, sf_dir):
     sink.add_partition(spark, table, "date", "20240102")
     rows = suppliers(spark, sf_dir).toDF("event_id", "name", "user_id", "value").drop("name")
     sink.overwrite_partition(rows, table, "date", "20240201", append=True)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query("SELECT * FROM orders")
@@ -117,7 +117,26 @@ def rename_table(spark, sf_dir):
     sink.ctas_replace(given(spark, sf_dir, "orders"), f"{database}.before")
     sink.rename_table(spark, f"{database}.before", f"{database}.after")
     sink.drop_table(spark, f"{database}.before")
-    return warehouse_scan(spark, f"{database}.after")
+    return scan(spark, f"{database}.after")
+
+
+@query("SELECT * FROM lineitem")
+def warehouse_scan(spark, sf_dir):
+    table = f"{scratch_database(spark, 'warehouse_scan')}.lines"
+    sink.ctas_replace(given(spark, sf_dir, "lineitem"), table)
+    return scan(spark, table)
+
+
+@query(SUPPLIERS_SQL)
+def drop_table(spark, sf_dir):
+    """A table is dropped and built anew with other columns."""
+    table = f"{scratch_database(spark, 'drop_table')}.party"
+    sink.drop_table(spark, table)
+    sink.ctas_replace(given(spark, sf_dir, "customer"), table)
+    sink.drop_table(spark, table)
+    sink.create_table(spark, table, customers(spark, sf_dir).dtypes)
+    sink.append_table(suppliers(spark, sf_dir), table)
+    return scan(spark, table)
 
 
 @query("SELECT * FROM orders WHERE o_orderstatus <> 'F'")
@@ -126,7 +145,7 @@ def ctas_replace(spark, sf_dir):
     table = f"{scratch_database(spark, 'ctas_replace')}.orders"
     sink.ctas_replace(given(spark, sf_dir, "orders"), table)
     sink.ctas_replace(spark.table(table).where("o_orderstatus <> 'F'"), table)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)
 
 
 @query("SELECT * FROM lineitem")
@@ -134,7 +153,7 @@ def ctas_passthrough(spark, sf_dir):
     database = scratch_database(spark, "ctas_passthrough")
     sink.ctas_replace(given(spark, sf_dir, "lineitem"), f"{database}.ods_pms_cemrecord")
     sink.ctas_passthrough(spark, f"{database}.ods_pms_cemrecord", f"{database}.cemrecord")
-    return warehouse_scan(spark, f"{database}.cemrecord")
+    return scan(spark, f"{database}.cemrecord")
 
 
 @query("""
@@ -176,4 +195,4 @@ def create_import_target(spark, sf_dir):
     sink.append_table(orders.where("o_orderstatus <> 'P'").drop("o_orderpriority"), table)
     sink.add_columns(spark, table, columns[-1:])
     sink.append_table(orders.where("o_orderstatus = 'P'"), table)
-    return warehouse_scan(spark, table)
+    return scan(spark, table)

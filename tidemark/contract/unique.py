@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import latest_per_key as latest
 from ..operators.dedup import latest_tombstone as latest_delete
+from ..operators.dedup import filter_newer_than_delete as newer_than_delete
+from ..operators.dedup import stamp_etl_time as add_etl_time
 from ..operators.dedup import tombstone_join as drop_deleted
 from ..plans import unique as plan
 from .base import given, query
@@ -150,3 +152,47 @@ def unique_latest_orders(spark, sf_dir):
         "o_orderstatus",
     )
     return plan.unique_latest(orders, ["orgid", "o_orderstatus"], "update_time", ["id"], etl_time())
+
+
+@query(f"""
+SELECT l_orderkey AS id, l_linenumber AS orgid, max(l_shipdate) AS update_time, TIMESTAMP '{ETL_TIME}' AS etl_time
+FROM lineitem GROUP BY l_orderkey, l_linenumber""")
+def unique_dispatch(spark, sf_dir):
+    """An incremental table whose rule follows from its name."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("orgid"), F.col("l_shipdate").alias("update_time")
+    )
+    rule = plan.unique_dispatch("pet_medical.src_his_lines", incremental=True)
+    return plan.unique_table(lines, rule, etl_time=etl_time())
+
+
+@query("""
+SELECT id, filter, max_value FROM (SELECT c_custkey AS id, CASE WHEN c_acctbal > 0 THEN 'id > {max_value}' ELSE ' ' END AS filter,
+  CASE c_mktsegment WHEN 'BUILDING' THEN NULL WHEN 'MACHINERY' THEN '' ELSE 'max(id)' END AS max_value FROM customer)
+WHERE trim(filter) <> '' AND trim(max_value) <> ''""")
+def is_incremental(spark, sf_dir):
+    segment = F.col("c_mktsegment")
+    registered = given(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.when(F.col("c_acctbal") > 0, "id > {max_value}").otherwise(" ").alias("filter"),
+        F.when(segment == "MACHINERY", "").when(segment != "BUILDING", "max(id)").alias("max_value"),
+    )
+    return registered.where(plan.is_incremental())
+
+
+@query(f"SELECT *, TIMESTAMP '{ETL_TIME}' AS etl_time FROM supplier")
+def stamp_etl_time(spark, sf_dir):
+    return add_etl_time(given(spark, sf_dir, "supplier"), etl_time())
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS stamp,
+       CASE WHEN o_orderstatus = 'O' THEN NULL ELSE TIMESTAMP '1998-01-01' END AS deleted FROM orders
+WHERE o_orderstatus = 'O' OR (o_orderstatus <> 'P' AND o_orderdate > TIMESTAMP '1998-01-01')""")
+def filter_newer_than_delete(spark, sf_dir):
+    rows = given(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("stamp"),
+        F.when(F.col("o_orderstatus") != "O", F.lit("1998-01-01").cast("timestamp_ntz")).alias("deleted"),
+    )
+    return rows.where(newer_than_delete(F.col("stamp"), F.col("deleted")))

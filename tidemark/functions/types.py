@@ -3,27 +3,24 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Whole source type name -> warehouse type, first match wins.
-# A length is gone by now; anything that matches no rule becomes a string.
-IMPORT_RULES = (
-    ("tinyint", "tinyint"),
-    ("tinyint unsigned", "smallint"),
-    ("smallint", "smallint"),
-    ("smallint unsigned", "int"),
-    ("mediumint( unsigned)?", "int"),
-    ("int|integer", "int"),
-    ("(int|integer) unsigned", "bigint"),
-    ("bigint", "bigint"),
-    ("bigint unsigned", "decimal(20,0)"),
-    ("(float|double|double precision|real|decimal|dec|numeric|number)( unsigned)?", "double"),
-    ("money|smallmoney|binary_float|binary_double", "double"),
-    ("bit|bool|boolean", "boolean"),
+# Whole source type names and their warehouse type. A length is
+# gone by now; a name that is not listed becomes a string.
+IMPORT_TYPES = (
+    (("tinyint",), "tinyint"),
+    (("tinyint unsigned", "smallint"), "smallint"),
+    (("smallint unsigned", "mediumint", "mediumint unsigned", "int", "integer"), "int"),
+    (("int unsigned", "integer unsigned", "bigint"), "bigint"),
+    (("bigint unsigned",), "decimal(20,0)"),
+    (("float", "double", "double precision", "real", "decimal", "dec", "numeric", "number"), "double"),
+    (("float unsigned", "double unsigned", "double precision unsigned", "real unsigned"), "double"),
+    (("decimal unsigned", "dec unsigned", "numeric unsigned"), "double"),
+    (("money", "smallmoney", "binary_float", "binary_double"), "double"),
+    (("bit", "bool", "boolean"), "boolean"),
 )
 DEFAULT_IMPORT_TYPE = "string"
 
@@ -56,17 +53,25 @@ def import_type(source_type: str, exact_decimals: bool = False, db_type: str = "
             return f"decimal({exact[1]},{max(int(exact[2] or 0), 0)})"
         if name in ("money", "smallmoney"):
             return "decimal(19,4)"
-    return next((t for pattern, t in IMPORT_RULES if re.fullmatch(pattern, name)), DEFAULT_IMPORT_TYPE)
+    return next((kind for names, kind in IMPORT_TYPES if name in names), DEFAULT_IMPORT_TYPE)
 
 
-def map_types_import(source_type: str | Column) -> Column:
-    """Column form of :func:`import_type`, for whole column catalogues."""
-    name = F.trim(F.regexp_replace(F.regexp_replace(F.lower(source_type), _NOISE, ""), r"\s+", " "))
-    return reduce(
-        lambda rest, rule: F.when(name.rlike(rf"\A({rule[0]})\z"), F.lit(rule[1])).otherwise(rest),
-        reversed(IMPORT_RULES),
-        F.lit(DEFAULT_IMPORT_TYPE),
-    )
+def type_name(source_type: str | Column) -> Column:
+    """Source type in lower case, without length and column attributes."""
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(source_type), _NOISE, ""), r"\s+", " "))
+
+
+def map_types_import(name: str | Column) -> Column:
+    """Warehouse type of a :func:`type_name`, for whole column catalogues.
+
+    Put the name in a column of its own first; it is compared with every rule.
+    """
+    name = F.col(name) if isinstance(name, str) else name
+    rules = [(name.isin(*names), F.lit(kind)) for names, kind in IMPORT_TYPES]
+    chain = F.when(*rules[0])
+    for rule in rules[1:]:
+        chain = chain.when(*rule)
+    return chain.otherwise(F.lit(DEFAULT_IMPORT_TYPE))
 
 
 def export_type(warehouse_type: str, default: str = DEFAULT_EXPORT_TYPE) -> str:
@@ -82,7 +87,7 @@ def map_types_export(warehouse_type: str | Column, default: str = DEFAULT_EXPORT
 
 def base_type(column: str | Column) -> Column:
     """Type name without its length or precision."""
-    return F.regexp_replace(column, r"\(.*", "")
+    return F.substring_index(column, "(", 1)
 
 
 def parse_overrides(text: str | None) -> dict[str, str]:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.types import base_type, map_types_export, map_types_import
+from ..functions.types import base_type, map_types_export, map_types_import, type_name
 
 
 def column_catalogue(spark: SparkSession, tables: dict[str, Iterable[tuple[str, str]]]) -> DataFrame:
@@ -28,13 +28,12 @@ def column_catalogue(spark: SparkSession, tables: dict[str, Iterable[tuple[str,
 
 def schema_diff_import(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source database columns against warehouse columns; names ignore case."""
-    wanted = map_types_import("source_type")
+    typed = source.withColumn("_type_name", type_name("type")).withColumn("wanted_type", map_types_import("_type_name"))
     return _diff(
-        source,
+        typed,
         target,
-        wanted,
         same_name=F.lower("source_name") == F.lower("target_name"),
-        same_type=base_type(wanted) == base_type("target_type"),
+        same_type=base_type("wanted_type") == base_type("target_type"),
     )
 
 
@@ -43,14 +42,13 @@ def schema_diff_export(source: DataFrame, target: DataFrame) -> DataFrame:
 
     Text of any kind in the database satisfies a ``varchar``.
     """
-    wanted = map_types_export("source_type")
+    wanted = base_type("wanted_type")
     return _diff(
-        source,
+        source.withColumn("wanted_type", map_types_export("type")),
         target,
-        wanted,
         same_name=F.col("source_name") == F.col("target_name"),
-        same_type=(base_type(wanted) == base_type("target_type"))
-        | ((base_type(wanted) == "varchar") & F.col("target_type").rlike("(?i)char|text")),
+        same_type=(wanted == base_type("target_type"))
+        | ((wanted == "varchar") & F.col("target_type").rlike("(?i)char|text")),
     )
 
 
@@ -79,9 +77,11 @@ def missing_sources(registered: DataFrame, source: DataFrame) -> DataFrame:
     return registered.select("table_name").join(source.select("table_name").distinct(), "table_name", "left_anti")
 
 
-def _diff(source: DataFrame, target: DataFrame, wanted: Column, same_name: Column, same_type: Column) -> DataFrame:
+def _diff(source: DataFrame, target: DataFrame, same_name: Column, same_type: Column) -> DataFrame:
     # Columns only the target has are not looked at, so the source side leads.
-    left = source.select("table_name", "ordinal", F.col("name").alias("source_name"), F.col("type").alias("source_type"))
+    left = source.select(
+        "table_name", "ordinal", F.col("name").alias("source_name"), F.col("type").alias("source_type"), "wanted_type"
+    )
     right = target.select("table_name", "ordinal", F.col("name").alias("target_name"), F.col("type").alias("target_type"))
     known = target.select("table_name").distinct().withColumn("_known", F.lit(True))
     flag = (
@@ -90,17 +90,6 @@ def _diff(source: DataFrame, target: DataFrame, wanted: Column, same_name: Colum
         .when(same_type, "same")
         .otherwise("diff")
     )
-    return (
-        left.join(right, ["table_name", "ordinal"], "left")
-        .join(known, "table_name", "left")
-        .select(
-            "table_name",
-            "ordinal",
-            "source_name",
-            "source_type",
-            wanted.alias("wanted_type"),
-            "target_name",
-            "target_type",
-            flag.alias("flag"),
-        )
-    )
+    joined = left.join(right, ["table_name", "ordinal"], "left").join(known, "table_name", "left")
+    columns = ("table_name", "ordinal", "source_name", "source_type", "wanted_type", "target_name", "target_type")
+    return joined.select(*columns, flag.alias("flag"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..functions.dates import day_string
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_export
@@ -15,6 +16,30 @@ from ..sources.tables import describe_columns
 MODES = ("rename", "overwrite", "append")
 
 
+@dataclass(frozen=True)
+class ExportTask:
+    """The columns of an export registry row that drive a load."""
+
+    hive_database: str
+    hive_table: str
+    db_name: str
+    table_name: str
+    mode: str | None = None
+    m: int | None = None
+
+    @classmethod
+    def from_row(cls, row: Row) -> ExportTask:
+        """Take the known columns of a registry row."""
+        known = row.asDict()
+        return cls(**{f.name: known[f.name] for f in fields(cls) if f.name in known})
+
+    def run(self, spark: SparkSession, catalog: str, day: dt.date | None = None) -> int:
+        """Export to the catalog that the connection is mounted as; ``rename`` by default."""
+        source = f"{self.hive_database}.{self.hive_table}".lower()
+        target = f"{catalog}.{self.db_name}.{self.table_name}"
+        return export_table(spark, source, target, (self.mode or "").strip() or MODES[0], self.m, day)
+
+
 def prepare_export(spark: SparkSession, df: DataFrame, target: str) -> DataFrame:
     """Create the target or add its missing columns; returns the findings."""
     diff = schema_diff_export(

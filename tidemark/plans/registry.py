@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from ..functions.names import concat_name, database_part, same_text
 from ..operators.dedup import latest_per_key
 from ..operators.numbering import number_rows
+from ..sources.jdbc import Connection, count_scan
 from .merge import MERGE_TABLES
 from .unique import TOMBSTONE_TABLE, WAREHOUSE
 
+logger = logging.getLogger(__name__)
+
 ACTIVE = "1"
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
 
@@ -42,6 +45,11 @@ def registry_scan(connections: DataFrame, registry: DataFrame) -> DataFrame:
     return connections.withColumnRenamed("status", "connection_status").join(registry, "connection_id", "left")
 
 
+def registry_inner_join(connections: DataFrame, registry: DataFrame) -> DataFrame:
+    """Registry rows with their connection."""
+    return connections.withColumnRenamed("status", "connection_status").join(registry, "connection_id")
+
+
 def filter_active(connections: DataFrame, registry: DataFrame) -> DataFrame:
     """Registry rows that are active on an active connection."""
     active = connections.where(F.col("status") == ACTIVE).drop("status")
@@ -73,6 +81,11 @@ def order_task_plan(tasks: DataFrame) -> DataFrame:
     return tasks.orderBy(*task_order("id"))
 
 
+def order_by_key(df: DataFrame, key: str = "connection_id") -> DataFrame:
+    """Rows sorted by one key."""
+    return df.orderBy(key)
+
+
 def reverse_list_order(df: DataFrame, ordinal: str = "ordinal") -> DataFrame:
     """Last listed first."""
     return df.orderBy(F.col(ordinal).desc())
@@ -154,7 +167,30 @@ def table_rowcounts(tables: dict[str, DataFrame | None]) -> DataFrame:
     if lost:
         spark = SparkSession.active()
         opened.append(spark.createDataFrame(lost, "table_name string, table_rows bigint"))
-    return reduce(DataFrame.unionByName, opened)
+    return stack(opened)
+
+
+def source_rowcounts(spark: SparkSession, connection: Connection, tables: Iterable[str]) -> DataFrame:
+    """Row count per table of a database, which does the counting.
+
+    NULL for a table that the database does not let us read.
+    """
+    counts, lost = [], {}
+    for table in tables:
+        try:
+            counts.append(count_scan(spark, connection, table))
+        except Exception as error:  # noqa: BLE001 - whatever the driver raises
+            logger.warning("%s.%s cannot be counted: %s", connection.database, table, error)
+            lost[table] = None
+    return stack([*counts, table_rowcounts(lost)] if lost else counts)
+
+
+def stack(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union of many frames, paired up so that the plan stays shallow."""
+    if len(frames) == 1:
+        return frames[0]
+    middle = len(frames) // 2
+    return stack(frames[:middle]).unionByName(stack(frames[middle:]))
 
 
 def open_tables(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame | None]:

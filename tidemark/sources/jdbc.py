@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # JDBC address, driver class and catalogue statements per database.
 URLS = {
@@ -161,6 +162,13 @@ def jdbc_split(
     return None if bounds is None or bounds[0] is None else Split(column, bounds[0], bounds[1], readers)
 
 
+def count_scan(spark: SparkSession, connection: Connection, table: str) -> DataFrame:
+    """One row ``table_name, table_rows``, counted by the database."""
+    query = f"SELECT COUNT(1) AS table_rows FROM {relation(connection, table)}"
+    counted = jdbc_scan(spark, connection, query=query).toDF("table_rows")
+    return counted.select(F.lit(table).alias("table_name"), F.col("table_rows").cast("bigint").alias("table_rows"))
+
+
 def catalogue_query(connection: Connection, statements: dict[str, str]) -> str:
     """A catalogue statement of the connection's dialect, database name filled in."""
     database = "'" + connection.database.replace("'", "''") + "'"
