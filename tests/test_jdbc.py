@@ -41,7 +41,9 @@ class Reader:
 
 
 def test_urls():
-    assert MYSQL.url == "jdbc:mysql://db1:3306/pms?useUnicode=true&characterEncoding=utf-8"
+    assert MYSQL.url == "jdbc:mysql://db1:3306/pms?useUnicode=true&characterEncoding=utf-8&tinyInt1isBit=false"
+    assert Connection("06", "mysql", "h", 1, "d").url == "jdbc:mysql://h:1/d?tinyInt1isBit=false"
+    assert Connection("07", "mysql", "h", 1, "d", "tinyInt1isBit=true").url == "jdbc:mysql://h:1/d?tinyInt1isBit=true"
     assert SQLSERVER.url == "jdbc:sqlserver://db2:1433;databaseName=PMS;encrypt=false"
     assert ORACLE.url == "jdbc:oracle:thin:@db3:1521:ORCL"
     with pytest.raises(ValueError, match="database type"):

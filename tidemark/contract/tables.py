@@ -25,7 +25,8 @@ CUSTOMERS_SQL = (
     " FROM customer"
 )
 SUPPLIERS_SQL = (
-    "SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation, s_acctbal AS balance, NULL AS segment FROM supplier"
+    "SELECT s_suppkey AS id, s_name AS name, s_nationkey AS nation, s_acctbal AS balance, CAST(NULL AS VARCHAR) AS segment"
+    " FROM supplier"
 )
 DAYS_SQL = "SELECT event_id, user_id, value, strftime(ts, '%Y%m%d') AS date FROM events"
 

@@ -16,14 +16,15 @@ from pyspark.sql import functions as F
 
 from ..functions.types import base_type, map_types_export, map_types_import, type_name
 
+CATALOGUE_SCHEMA = "table_name string, ordinal int, name string, type string"
+
 
 def column_catalogue(spark: SparkSession, tables: dict[str, Iterable[tuple[str, str]]]) -> DataFrame:
     """Catalogue of described tables: ``{table: [(name, type), ...]}``."""
     rows = [(t, i, n, k) for t, columns in tables.items() for i, (n, k) in enumerate(columns, 1)]
     # An Arrow table becomes a local relation, whose size Spark knows.
-    columns = list(zip(*rows)) or [()] * 4
-    arrays = [pa.array(c, pa.int32() if i == 1 else pa.string()) for i, c in enumerate(columns)]
-    return spark.createDataFrame(pa.Table.from_arrays(arrays, names=["table_name", "ordinal", "name", "type"]))
+    kinds = pa.schema([("table_name", pa.string()), ("ordinal", pa.int32()), ("name", pa.string()), ("type", pa.string())])
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, row)) for row in rows], kinds))
 
 
 def schema_diff_import(source: DataFrame, target: DataFrame) -> DataFrame:

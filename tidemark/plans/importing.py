@@ -79,9 +79,10 @@ def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -
 def import_filter(spark: SparkSession, task: ImportTask, start: object = 0) -> str:
     """Filter text for this run: newer rows for an incremental task, else all.
 
-    A first load, with no target yet, takes everything.
+    A first load, with no target yet, takes everything. So does a task with its
+    own query, which says itself what to read.
     """
-    if not task.incremental or not table_exists(spark, task.target):
+    if not task.incremental or _filled(task.query_sql) or not table_exists(spark, task.target):
         return NO_FILTER
     return fill_filter(task.filter, read_mark(spark, task.target, task.max_value, start))
 

@@ -62,9 +62,13 @@ class Connection:
     @property
     def url(self) -> str:
         url = URLS[self.dialect].format(host=self.host, port=self.port, database=self.database)
-        if not self.jdbc_extend:
-            return url
-        return url + (";" if self.dialect == "sqlserver" else "?") + self.jdbc_extend
+        extras = [self.jdbc_extend] if self.jdbc_extend else []
+        if self.dialect == "mysql" and "tinyInt1isBit" not in self.jdbc_extend:
+            # Else tinyint(1) arrives as a boolean and loses its number.
+            extras.append("tinyInt1isBit=false")
+        if self.dialect == "sqlserver":
+            return ";".join([url, *extras])
+        return url + ("?" + "&".join(extras) if extras else "")
 
     def options(self) -> dict[str, str]:
         options = {"url": self.url, "driver": DRIVERS[self.dialect]}
