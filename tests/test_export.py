@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.exporting import export_table
+from tidemark.plans.exporting import ExportTask, export_table
 from tidemark.session import scratch_database
 from tidemark.sinks import export as sink
 from tidemark.sinks import tables
@@ -114,3 +114,9 @@ def test_retention_spares_other_tables(spark, db, target):
         spark.range(1).write.format("orc").saveAsTable(f"{db}.{name}")
     assert sink.backup_retention(spark, target, "20240105") == ["t_20240101_bak"]
     assert names(spark, db) == {"t", *others[1:]}
+
+
+def test_task_from_registry_row(spark, db, target):
+    row = spark.createDataFrame([(db, "FINAL_t", db, "t", " ", None)], "hive_database string, hive_table string, db_name string, table_name string, mode string, m int").first()
+    assert ExportTask.from_row(row).run(spark, "spark_catalog", dt.date(2024, 1, 2)) == 1
+    assert ids(spark, target) == [1] and names(spark, db) == {"t", "t_20240101_bak"}

@@ -3,7 +3,16 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.importing import ImportTask, import_filter, import_table
+from tidemark.plans import importing
+from tidemark.plans.importing import (
+    ImportTask,
+    import_filter,
+    import_registered,
+    import_table,
+    refresh_table,
+    registered_incremental,
+    registered_task,
+)
 from tidemark.session import scratch_database
 
 DAY = dt.date(2024, 1, 2)
@@ -110,3 +119,63 @@ def test_task_from_registry_row(spark, db):
     row = spark.createDataFrame([("pms", "visits", db, "SRC_x", "id", 4)], "db_name string, table_name string, hive_database string, hive_table string, split_by string, m int").first()
     made = ImportTask.from_row(row)
     assert made.target == f"{db}.src_x" and made.m == 4 and not made.incremental and made.partition is None
+
+
+@pytest.fixture()
+def registered(spark, db):
+    connections = spark.createDataFrame(
+        [("01", "clinic", "mysql", "h", "fallback", 1, None, "1"), ("02", "other", "oracle", "h", "orcl", 1, None, "1")],
+        "connection_id string, connection_name string, db_type string, host string, default_db string, port int,"
+        " jdbc_extend string, status string",
+    )
+    registry = spark.createDataFrame(
+        [("01", "pms", "Visits", db, "src_pms_visits", "1", "updatestamp > '{max_value}'", "max(updatestamp)"),
+         ("02", "orcl", "visits", db, "src_x_visits", "1", " ", None)],
+        "connection_id string, db_name string, table_name string, hive_database string, hive_table string, status string,"
+        " filter string, max_value string",
+    )
+    return connections, registry
+
+
+def test_lookup_by_name(db, registered):
+    connections, registry = registered
+    assert registered_task(*registered, "clinic", "PMS", "visits")["hive_table"] == "src_pms_visits"
+    with pytest.raises(ValueError, match="no connection"):
+        registered_task(*registered, "nowhere", "pms", "visits")
+    with pytest.raises(ValueError, match="not registered"):
+        registered_task(*registered, "other", "pms", "visits")
+    assert registered_incremental(registry, f"{db.upper()}.SRC_pms_visits")
+    assert not registered_incremental(registry, f"{db}.src_x_visits")
+    assert not registered_incremental(registry, f"{db}.src_unknown")
+
+
+def test_import_of_a_registered_table(spark, db, registered, monkeypatch):
+    deletes(spark, db, ("visits", 9, 9, "2024-01-03"))
+    asked = []
+
+    def scan(session, connection, table=None, query=None, where=None, split=None, types=None):
+        asked.append((connection.url, table, where))
+        return visits(spark, (1, 1, "2024-01-01", 1))
+
+    def catalogue(session, connection, tables):
+        rows = [(tables[0], 2, "orgid", "int unsigned"), (tables[0], 1, "id", "int(11)"),
+                (tables[0], 3, "updatestamp", "datetime"), (tables[0], 4, "paid", "decimal(10,2)")]
+        return spark.createDataFrame(rows, "table_name string, ordinal int, name string, type string")
+
+    monkeypatch.setattr(importing, "jdbc_scan", scan)
+    monkeypatch.setattr(importing, "source_catalogue", catalogue)
+    for _ in range(2):
+        import_registered(spark, *registered, "clinic", "pms", "visits", DAY)
+    url = "jdbc:mysql://h:1/pms?tinyInt1isBit=false"
+    assert asked == [(url, "Visits", "1=1"), (url, "Visits", "updatestamp > '2024-01-01'")]
+    assert spark.table(f"{db}.src_pms_visits").dtypes[:3] == [("id", "int"), ("orgid", "bigint"), ("updatestamp", "string")]
+    assert held(spark, f"{db}.ods_pms_visits") == [(1, "2024-01-01")]
+
+
+def test_refresh_by_name(spark, db):
+    rows = visits(spark, (1, 1, "a", 1)).withColumn("date", F.lit("20240101"))
+    rows.union(visits(spark, (2, 1, "b", 1)).withColumn("date", F.lit("20240102"))).write.saveAsTable(f"{db}.src_erp_x")
+    assert refresh_table(spark, f"{db}.src_erp_x", False, "date", DAY) == f"{db}.ods_erp_x"
+    assert held(spark, f"{db}.ods_erp_x") == [(1, "a")]
+    refresh_table(spark, f"{db}.src_erp_x", False)
+    assert spark.table(f"{db}.ods_erp_x").count() == 2

@@ -124,3 +124,29 @@ def test_layouts_hold_no_secret(spark):
     for layout in (plan.CONNECTIONS, plan.IMPORT_REGISTRY, plan.EXPORT_REGISTRY):
         assert "password" not in layout
         assert spark.createDataFrame([], layout).count() == 0
+
+
+def test_check_schemas(spark):
+    db = scratch_database(spark, "chk")
+    spark.sql(f"CREATE TABLE {db}.src_pms_visits (id int, name string) USING orc")
+    registry = spark.createDataFrame(
+        [("PMS", "Visits", db, "SRC_pms_visits"), ("pms", "fresh", db, "src_pms_fresh")],
+        "db_name string, table_name string, hive_database string, hive_table string",
+    )
+    source = spark.createDataFrame(
+        [("pms", "VISITS", 1, "ID", "int"), ("pms", "VISITS", 2, "name", "text"), ("pms", "VISITS", 3, "day", "date"),
+         ("pms", "fresh", 1, "id", "int"), ("hr", "visits", 1, "other", "int")],
+        "db_name string, table_name string, ordinal int, name string, type string",
+    )
+    diff = plan.check_schemas(registry, source, plan.warehouse_catalogue(spark, registry))
+    assert sorted((r["table_name"], r["ordinal"], r["flag"]) for r in diff.collect()) == [
+        (f"{db}.src_pms_fresh", 1, "create"),
+        (f"{db}.src_pms_visits", 1, "same"),
+        (f"{db}.src_pms_visits", 2, "same"),
+        (f"{db}.src_pms_visits", 3, "add"),
+    ]
+
+
+def test_stack_keeps_every_frame(spark):
+    frames = [spark.range(i, i + 1) for i in range(37)]
+    assert sorted(r["id"] for r in plan.stack(frames).collect()) == list(range(37))

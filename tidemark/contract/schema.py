@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import types
 from ..operators import schema as op
+from ..plans import registry
 from .base import given, query
 
 # One catalogue entry per (order, line): the order is the table, the line the position.
@@ -137,3 +138,22 @@ WHERE 't' || o_orderkey NOT IN (SELECT table_name FROM ({SOURCE_SQL}))""")
 def missing_sources(spark, sf_dir):
     registered = given(spark, sf_dir, "orders").select(F.concat(F.lit("t"), "o_orderkey").alias("table_name"))
     return op.missing_sources(registered, source_columns(spark, sf_dir))
+
+
+@query(f"""
+SELECT r.hive AS table_name, d.* EXCLUDE (table_name) FROM ({IMPORT_DIFF_SQL}) d
+JOIN (SELECT 't' || o_orderkey AS table_name, 'dw.src_' || lower(o_orderstatus) || '_t' || o_orderkey AS hive FROM orders) r
+  ON d.table_name = r.table_name""")
+def check_schemas(spark, sf_dir):
+    """Findings of a large registry, whose tables have other names in the warehouse."""
+    registered = given(spark, sf_dir, "orders").select(
+        F.lit("sales").alias("db_name"),
+        F.concat(F.lit("T"), "o_orderkey").alias("table_name"),
+        F.lit("dw").alias("hive_database"),
+        F.concat(F.lit("src_"), "o_orderstatus", F.lit("_t"), "o_orderkey").alias("hive_table"),
+    )
+    source = source_columns(spark, sf_dir).withColumn("db_name", F.lit("Sales"))
+    named = registered.select(F.lower("table_name").alias("key"), F.concat_ws(".", "hive_database", "hive_table").alias("hive"))
+    target = target_columns(spark, sf_dir).join(named, F.col("table_name") == F.col("key"))
+    target = target.select(F.col("hive").alias("table_name"), "ordinal", "name", "type")
+    return registry.check_schemas(registered, source, target)

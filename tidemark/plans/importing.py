@@ -7,15 +7,18 @@ from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.dates import day_string, partition_value
+from ..functions.names import same_text, split_name
 from ..functions.types import import_type, normalize_types, parse_overrides
 from ..operators.projections import project_listed
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_import
 from ..sinks import tables as sink
-from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split
+from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split, source_catalogue
 from ..sources.tables import describe_columns, fill_filter, read_mark, table_exists
-from .unique import current_name, unique_dispatch, unique_table
+from .registry import filter_lookup, registry_scan
+from .unique import current_name, is_incremental, unique_dispatch, unique_table
 
 NO_FILTER = "1=1"
 
@@ -136,11 +139,11 @@ def import_table(
     source_columns = [(n, t) for n, t in source_columns if n.lower() in kept]
     if _filled(task.query_sql):
         by_name = {n.lower(): (n, t) for n, t in source_columns}
-        source_columns = [by_name[c.lower()] for c in source.columns]
+        source_columns = [by_name.get(n.lower(), (n, t)) for n, t in source.dtypes]
     diff = prepare_target(spark, task, source_columns, exact_decimals)
     rows = normalize_types(source, parse_overrides(task.map_column_hive), exact_decimals)
     value = partition_value(task.hive_partition_value, day)
-    overwrite = task.is_overwrite == "1"
+    overwrite = str(task.is_overwrite) == "1"
     if task.partition:
         sink.overwrite_partition(rows, task.target, task.partition, value, append=not overwrite)
     elif overwrite:
@@ -154,15 +157,65 @@ def import_table(
 
 def refresh_current(spark: SparkSession, task: ImportTask, day: dt.date, etl_time: Column | None = None) -> str | None:
     """Rebuild the current table of an imported one; returns its name."""
-    rule = unique_dispatch(task.target, task.incremental, warehouse=task.hive_database.lower())
+    return refresh_table(spark, task.target, task.incremental, task.partition, day, etl_time)
+
+
+def refresh_table(
+    spark: SparkSession,
+    table: str,
+    incremental: bool,
+    partition_key: str | None = None,
+    day: dt.date | None = None,
+    etl_time: Column | None = None,
+) -> str | None:
+    """Rebuild the current table of ``<db>.src_<t>``; None if it is to be skipped.
+
+    A table copied as it is takes yesterday's partition when it has a key.
+    """
+    rule = unique_dispatch(table, incremental, warehouse=split_name(table)[0])
     tombstones = spark.table(rule.tombstone_table) if rule.tombstone_table else None
-    current = unique_table(
-        spark.table(task.target), rule, tombstones, task.partition, day_string(day, back=1), etl_time
-    )
+    yesterday = day_string(day or dt.date.today(), back=1)
+    current = unique_table(spark.table(table), rule, tombstones, partition_key, yesterday, etl_time)
     if current is None:
         return None
-    sink.ctas_replace(current, current_name(task.target))
-    return current_name(task.target)
+    sink.ctas_replace(current, current_name(table))
+    return current_name(table)
+
+
+def registered_incremental(registry: DataFrame, table: str) -> bool:
+    """Whether the registry marks a warehouse table as incremental."""
+    database, name = split_name(table)
+    row = registry.where(same_text("hive_database", F.lit(database)) & same_text("hive_table", F.lit(name)))
+    return not row.limit(1).where(is_incremental()).isEmpty()
+
+
+def registered_task(connections: DataFrame, registry: DataFrame, connection_name: str, db_name: str, table_name: str) -> Row:
+    """The registry row of a table with its connection; unknown names are refused."""
+    known = connections.where(F.col("connection_name") == connection_name)
+    found = known.first()
+    if found is None:
+        raise ValueError(f"no connection is named {connection_name!r}")
+    row = filter_lookup(registry_scan(known, registry), found["connection_id"], db_name, table_name).first()
+    if row is None:
+        raise ValueError(f"{db_name}.{table_name} is not registered on {connection_name!r}")
+    return row
+
+
+def import_registered(
+    spark: SparkSession,
+    connections: DataFrame,
+    registry: DataFrame,
+    connection_name: str,
+    db_name: str,
+    table_name: str,
+    day: dt.date | None = None,
+) -> DataFrame:
+    """Import one registered table from its database."""
+    row = registered_task(connections, registry, connection_name, db_name, table_name)
+    connection, task = Connection.from_row(row), ImportTask.from_row(row)
+    described = source_catalogue(spark, connection, [task.table_name]).orderBy("ordinal").collect()
+    columns = [(r["name"], r["type"]) for r in described]
+    return import_table(spark, task, jdbc_source(spark, connection, task), columns, day)
 
 
 def _filled(text: str | None) -> bool:

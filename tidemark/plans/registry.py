@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.names import concat_name, database_part, same_text
 from ..operators.dedup import latest_per_key
 from ..operators.numbering import number_rows
+from ..operators.schema import column_catalogue, schema_diff_import
 from ..sources.jdbc import Connection, count_scan
+from ..sources.tables import describe_columns
 from .merge import MERGE_TABLES
 from .unique import TOMBSTONE_TABLE, WAREHOUSE
 
@@ -243,3 +245,30 @@ def seed_registry(
 def distinct_db_map(registry: DataFrame) -> DataFrame:
     """Source database names and the names they go by in the warehouse."""
     return registry.select("db_name", database_part("hive_table").alias("hive_db_name")).distinct()
+
+
+def check_schemas(registry: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
+    """Schema findings for all registered tables at once.
+
+    ``source`` is a column catalogue with ``db_name`` besides, ``target`` one
+    whose tables are named ``<hive_database>.<hive_table>``. Feed the result to
+    ``schema_drift_report``.
+    """
+    registered = registry.select(
+        F.lower("db_name").alias("_db"),
+        F.lower("table_name").alias("_table"),
+        F.lower(F.concat_ws(".", "hive_database", "hive_table")).alias("_target"),
+    )
+    same = (F.lower("db_name") == F.col("_db")) & (F.lower("table_name") == F.col("_table"))
+    renamed = source.join(registered, same).select(F.col("_target").alias("table_name"), "ordinal", "name", "type")
+    return schema_diff_import(renamed, target.withColumn("table_name", F.lower("table_name")))
+
+
+def warehouse_catalogue(spark: SparkSession, registry: DataFrame) -> DataFrame:
+    """Column catalogue of the registered warehouse tables.
+
+    Descriptions come from the catalog, one table at a time, so this is for
+    registries of hundreds of tables.
+    """
+    named = registry.select(F.lower(F.concat_ws(".", "hive_database", "hive_table")).alias("name")).distinct()
+    return column_catalogue(spark, {r["name"]: describe_columns(spark, r["name"]) for r in named.collect()})

@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..functions.names import quoted
 from ..functions.types import export_type
-from ..sources.tables import describe_columns, table_exists
+from ..sources.tables import describe_columns, list_source_tables, table_exists
 from . import tables
 
 
@@ -103,7 +102,7 @@ def expired_backups(names: DataFrame, table: str, cutoff: str, column: str = "ta
 def backup_retention(spark: SparkSession, target: str, cutoff: str) -> list[str]:
     """Drop the expired backups of a target; returns what was dropped."""
     *namespace, table = target.split(".")
-    listed = spark.sql(f"SHOW TABLES IN {quoted('.'.join(namespace))}").select(F.col("tableName").alias("table_name"))
+    listed = list_source_tables(spark, ".".join(namespace))
     dropped = [row["table_name"] for row in expired_backups(listed, table, cutoff).collect()]
     for name in dropped:
         tables.drop_table(spark, ".".join([*namespace, name]))

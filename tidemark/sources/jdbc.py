@@ -6,7 +6,7 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 # JDBC address, driver class and catalogue statements per database.
@@ -53,6 +53,12 @@ class Connection:
     database: str
     jdbc_extend: str = ""
 
+    @classmethod
+    def from_row(cls, row: Row) -> Connection:
+        """From a registry row joined with its connection; the default database if none is named."""
+        database = (row["db_name"] or "").strip() or row["default_db"]
+        return cls(row["connection_id"], row["db_type"], row["host"], row["port"], database, row["jdbc_extend"] or "")
+
     @property
     def dialect(self) -> str:
         if self.db_type.lower() not in URLS:
@@ -189,8 +195,7 @@ def source_catalogue(spark: SparkSession, connection: Connection, tables: Sequen
     listed = jdbc_scan(spark, connection, query=catalogue_query(connection, LIST_COLUMNS))
     listed = listed.toDF("table_name", "ordinal", "name", "type")
     if tables:
-        wanted = [t.lower() for t in tables]
-        listed = listed.where(listed["table_name"].isin(*{*tables, *wanted, *[t.upper() for t in tables]}))
+        listed = listed.where(F.lower("table_name").isin(*[t.lower() for t in tables]))
     return listed
 
 
