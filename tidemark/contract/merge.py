@@ -176,3 +176,12 @@ def merge_table(spark, sf_dir):
 @query(f"{WITH} SELECT status, amount, id, orgid FROM new")
 def project_dim_first(spark, sf_dir):
     return projections.project_dim_first(new_rows(spark, sf_dir), ["status", "amount"], ["id", "orgid"])
+
+
+@query(f"""
+{WITH}, mid AS ({MIDDLE_SQL})
+SELECT s.brand_code, s.clinic_name, t.* FROM mid t JOIN dim s ON t.orgid = s.clinic_id""")
+def merge_dispatch(spark, sf_dir):
+    """A table whose branch follows from its name."""
+    branch = plan.merge_dispatch("pet_medical.ods_pms_cpaymentdetails")
+    return plan.merge_frames(branch, old_rows(spark, sf_dir), new_rows(spark, sf_dir), clinics(spark, sf_dir))

@@ -124,6 +124,13 @@ def registry_left_join(spark, sf_dir):
     return plan.registry_scan(connections(spark, sf_dir), tasks(spark, sf_dir).where("db_name = 'building'"))
 
 
+@query(f"""
+SELECT c.connection_id, c.connection_name, c.status AS connection_status, t.* EXCLUDE (connection_id)
+FROM ({CONNECTIONS_SQL}) c LEFT JOIN ({TASKS_SQL}) t ON c.connection_id = t.connection_id""")
+def registry_scan(spark, sf_dir):
+    return plan.registry_scan(connections(spark, sf_dir), tasks(spark, sf_dir))
+
+
 @query(f"""
 SELECT c.connection_id, c.connection_name, c.status AS connection_status, t.* EXCLUDE (connection_id)
 FROM ({CONNECTIONS_SQL}) c JOIN ({TASKS_SQL}) t ON c.connection_id = t.connection_id""")

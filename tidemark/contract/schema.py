@@ -98,6 +98,20 @@ def map_types_export(spark, sf_dir):
     return target_columns(spark, sf_dir).select("table_name", "ordinal", "type", wanted)
 
 
+@query(f"""
+SELECT s.* FROM ({SOURCE_SQL}) s
+WHERE EXISTS (SELECT 1 FROM ({TARGET_SQL}) t WHERE t.table_name = s.table_name AND lower(t.name) = lower(s.name))""")
+def common_column_join(spark, sf_dir):
+    return op.common_column_join(source_columns(spark, sf_dir), target_columns(spark, sf_dir))
+
+
+@query(f"""
+SELECT s.table_name, s.ordinal, s.name AS source_name, s.type AS source_type, t.name AS target_name, t.type AS target_type
+FROM ({SOURCE_SQL}) s LEFT JOIN ({TARGET_SQL}) t ON s.table_name = t.table_name AND s.ordinal = t.ordinal""")
+def ordinal_schema_join(spark, sf_dir):
+    return op.ordinal_schema_join(source_columns(spark, sf_dir), target_columns(spark, sf_dir))
+
+
 def _import_diff(spark, sf_dir):
     return op.schema_diff_import(source_columns(spark, sf_dir), target_columns(spark, sf_dir))
 

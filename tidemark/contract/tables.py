@@ -6,6 +6,7 @@ from ..functions.types import import_type
 from ..session import scratch_database, shared_folder
 from ..sinks import tables as sink
 from ..sinks import text as text_sink
+from ..sources.tables import partition_scan as one_partition
 from ..sources.tables import warehouse_scan as scan
 from .base import given, query
 
@@ -46,6 +47,12 @@ def _partitioned(spark, sf_dir, label):
     return table
 
 
+@query(f"SELECT * FROM ({DAYS_SQL}) WHERE date = '20240102'")
+def partition_scan(spark, sf_dir):
+    """One stored partition; the others' files are not read."""
+    return one_partition(scan(spark, _partitioned(spark, sf_dir, "partition_scan")), "date", "20240102")
+
+
 @query(f"{CUSTOMERS_SQL} UNION ALL {SUPPLIERS_SQL}")
 def append_table(spark, sf_dir):
     table = f"{scratch_database(spark, 'append_table')}.party"

@@ -1,7 +1,10 @@
 """Latest rows, tombstones, snapshots."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators.dedup import RANK
+from ..operators.dedup import filter_rank_first as keep_first
 from ..operators.dedup import latest_per_key as latest
 from ..operators.dedup import latest_tombstone as latest_delete
 from ..operators.dedup import filter_newer_than_delete as newer_than_delete
@@ -196,3 +199,20 @@ def filter_newer_than_delete(spark, sf_dir):
         F.when(F.col("o_orderstatus") != "O", F.lit("1998-01-01").cast("timestamp_ntz")).alias("deleted"),
     )
     return rows.where(newer_than_delete(F.col("stamp"), F.col("deleted")))
+
+
+@query("""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders)
+WHERE rn = 1""")
+def filter_rank_first(spark, sf_dir):
+    latest_first = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderdate"), "o_orderkey")
+    return keep_first(given(spark, sf_dir, "orders").withColumn(RANK, F.row_number().over(latest_first)))
+
+
+@query("SELECT o_orderkey, TRUE AS stamped FROM orders")
+def current_timestamp(spark, sf_dir):
+    """The load time differs by run, so only its nearness is compared."""
+    stamped = add_etl_time(given(spark, sf_dir, "orders"))
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("etl_time")
+    return stamped.select("o_orderkey", F.abs(age).between(0, 3600).alias("stamped"))

@@ -29,7 +29,8 @@ def column_catalogue(spark: SparkSession, tables: dict[str, Iterable[tuple[str,
 
 def schema_diff_import(source: DataFrame, target: DataFrame) -> DataFrame:
     """Source database columns against warehouse columns; names ignore case."""
-    typed = source.withColumn("_type_name", type_name("type")).withColumn("wanted_type", map_types_import("_type_name"))
+    named = source.withColumn("_type_name", type_name("type"))
+    typed = named.withColumn("wanted_type", map_types_import("_type_name")).drop("_type_name")
     return _diff(
         typed,
         target,
@@ -73,17 +74,30 @@ def schema_drift_report(diff: DataFrame) -> DataFrame:
     return counted.where("added + retyped + drifted > 0").withColumn("action", F.coalesce(action, F.lit("report only")))
 
 
+def common_column_join(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Columns of the left catalogue that the right one has under the same name."""
+    there = right.select("table_name", F.lower("name").alias("_name")).distinct()
+    same = (left["table_name"] == there["table_name"]) & (F.lower(left["name"]) == F.col("_name"))
+    return left.join(there, same, "left_semi")
+
+
+def ordinal_schema_join(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Each source column beside the target column at the same position.
+
+    Columns only the target has are not looked at, so the source side leads.
+    """
+    kept = [c for c in source.columns if c not in ("name", "type")]
+    left = source.select(*kept, F.col("name").alias("source_name"), F.col("type").alias("source_type"))
+    right = target.select("table_name", "ordinal", F.col("name").alias("target_name"), F.col("type").alias("target_type"))
+    return left.join(right, ["table_name", "ordinal"], "left")
+
+
 def missing_sources(registered: DataFrame, source: DataFrame) -> DataFrame:
     """Registered tables of which the source shows no column."""
     return registered.select("table_name").join(source.select("table_name").distinct(), "table_name", "left_anti")
 
 
 def _diff(source: DataFrame, target: DataFrame, same_name: Column, same_type: Column) -> DataFrame:
-    # Columns only the target has are not looked at, so the source side leads.
-    left = source.select(
-        "table_name", "ordinal", F.col("name").alias("source_name"), F.col("type").alias("source_type"), "wanted_type"
-    )
-    right = target.select("table_name", "ordinal", F.col("name").alias("target_name"), F.col("type").alias("target_type"))
     known = target.select("table_name").distinct().withColumn("_known", F.lit(True))
     flag = (
         F.when(F.col("target_name").isNull(), F.when(F.col("_known"), "add").otherwise("create"))
@@ -91,6 +105,6 @@ def _diff(source: DataFrame, target: DataFrame, same_name: Column, same_type: Co
         .when(same_type, "same")
         .otherwise("diff")
     )
-    joined = left.join(right, ["table_name", "ordinal"], "left").join(known, "table_name", "left")
+    joined = ordinal_schema_join(source, target).join(known, "table_name", "left")
     columns = ("table_name", "ordinal", "source_name", "source_type", "wanted_type", "target_name", "target_type")
     return joined.select(*columns, flag.alias("flag"))
