@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import drop_delims
-from tidemark.session import scratch_database, shared_folder
+from tidemark.session import scratch_database, scratch_folder
 from tidemark.sinks import tables as sink
 from tidemark.sinks.text import read_delimited, write_delimited
 from tidemark.sources.tables import (
@@ -154,11 +154,11 @@ def test_mark_reaches_the_scan(spark, db):
     assert "GreaterThan(id,2)" in newer._jdf.queryExecution().executedPlan().toString()
 
 
-def test_delimited_edges(spark, db):
+def test_delimited_edges(spark):
     values = ["a\r\nb", "c\x01d", None, "", "\\N", 'quo"te', "back\\slash", ' "x", ', "\\", '\\"', "tab\t"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
-    for i, options in enumerate([{}, {"sep": ","}, {"sep": "\t"}, {"sep": "|", "line": ";"}, {"raw_null": False}]):
-        path = f"{shared_folder(spark)}/{db}/text{i}"
+    for options in ({}, {"sep": ","}, {"sep": "\t"}, {"sep": "|", "line": ";"}, {"raw_null": False}):
+        path = scratch_folder(spark, "text")
         write_delimited(df, path, **options)
         back = [r["v"] for r in read_delimited(spark, path, df.schema, **options).orderBy("id").collect()]
         expect = [None if v is None else v.replace("\r", "").replace("\n", "").replace("\x01", "") for v in values]
@@ -171,7 +171,7 @@ def test_delimited_edges(spark, db):
 @given(st.lists(st.text(alphabet="ab\"\\,' \x01\n", max_size=8), min_size=1, max_size=30))
 def test_delimited_round_trip(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v string")
-    path = f"{shared_folder(spark)}/{scratch_database(spark, 'h')}/text"
+    path = scratch_folder(spark, "text")
     write_delimited(df, path, sep=",")
     back = read_delimited(spark, path, df.schema, sep=",").orderBy("id").collect()
     want = df.select("id", drop_delims("v").alias("v")).orderBy("id").collect()

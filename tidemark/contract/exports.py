@@ -70,6 +70,7 @@ def export_table(spark, sf_dir):
     tables.ctas_replace(customers(spark, sf_dir), source)
     for day in (2, 3):
         run_export(spark, source, target, "rename", day=dt.date(2024, 1, day))
+    tables.drop_table(spark, source)
     names = spark.sql(f"SHOW TABLES IN `{database}` LIKE 'party*'").collect()
     held = [spark.table(f"{database}.{n['tableName']}").withColumn("table_name", F.lit(n["tableName"])) for n in names]
     return held[0].unionByName(held[1])

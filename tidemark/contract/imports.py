@@ -9,6 +9,7 @@ from ..operators import projections
 from ..plans.importing import ImportTask
 from ..plans.importing import import_table as run_import
 from ..session import scratch_database
+from ..sinks.tables import drop_table
 from ..sources import tables as source
 from .base import given, query
 from .unique import ETL_TIME, etl_time
@@ -157,6 +158,7 @@ def import_table(spark, sf_dir):
     )
     orders = given(spark, sf_dir, "orders")
     run_import(spark, task, orders.where, day=dt.date(2024, 1, 2), etl_time=etl_time())
+    drop_table(spark, task.target)
     return spark.table(f"{database}.ods_sales_orders")
 
 
@@ -194,4 +196,5 @@ def import_incremental(spark, sf_dir):
     )
     run_import(spark, task, visits.where("updatestamp < '2024-01-16'").where, unique=False)
     run_import(spark, task, visits.where, etl_time=etl_time())
+    drop_table(spark, task.target)
     return spark.table(f"{database}.ods_pms_visits")

@@ -6,7 +6,7 @@ from ..operators import projections
 from ..operators import routing as op
 from ..plans import merge as plan
 from ..session import scratch_database
-from ..sinks.tables import ctas_replace
+from ..sinks.tables import ctas_replace, drop_table
 from .base import given, query
 
 
@@ -167,9 +167,9 @@ def merge_table(spark, sf_dir):
     database, final = scratch_database(spark, "merge_table"), scratch_database(spark, "merge_final")
     ctas_replace(old_rows(spark, sf_dir), f"{database}.ods_pms_cpayments")
     ctas_replace(new_rows(spark, sf_dir), f"{database}.ods_pmsweb_cpayments")
-    merged = plan.merge_table(
-        spark, f"{database}.ods_pms_cpayments", clinics(spark, sf_dir), final, keep_layers=True
-    )
+    merged = plan.merge_table(spark, f"{database}.ods_pms_cpayments", clinics(spark, sf_dir), final, keep_layers=True)
+    for layer in ("ods_pms_", "ods_pmsweb_", "mid_", "mir_"):
+        drop_table(spark, f"{database}.{layer}cpayments")
     return spark.table(merged)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.types import import_type
-from ..session import scratch_database, shared_folder
+from ..session import scratch_database, scratch_folder
 from ..sinks import tables as sink
 from ..sinks import text as text_sink
 from ..sources.tables import partition_scan as one_partition
@@ -161,6 +161,7 @@ def ctas_passthrough(spark, sf_dir):
     database = scratch_database(spark, "ctas_passthrough")
     sink.ctas_replace(given(spark, sf_dir, "lineitem"), f"{database}.ods_pms_cemrecord")
     sink.ctas_passthrough(spark, f"{database}.ods_pms_cemrecord", f"{database}.cemrecord")
+    sink.drop_table(spark, f"{database}.ods_pms_cemrecord")
     return scan(spark, f"{database}.cemrecord")
 
 
@@ -169,7 +170,7 @@ SELECT doc_id, replace(replace(replace(text, chr(10), ''), chr(13), ''), chr(1),
 FROM documents""")
 def write_delimited(spark, sf_dir):
     documents = given(spark, sf_dir, "documents")
-    path = f"{shared_folder(spark).rstrip('/')}/{scratch_database(spark, 'write_delimited')}/documents"
+    path = scratch_folder(spark, "write_delimited")
     text_sink.write_delimited(documents, path)
     return text_sink.read_delimited(spark, path, documents.schema)
 
@@ -186,7 +187,7 @@ def raw_null_sentinel(spark, sf_dir):
         F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance"),
         F.concat(F.lit(" "), "c_name", F.lit(' "\\,')).alias("name"),
     )
-    path = f"{shared_folder(spark).rstrip('/')}/{scratch_database(spark, 'raw_null_sentinel')}/customers"
+    path = scratch_folder(spark, "raw_null_sentinel")
     text_sink.write_delimited(rows, path, sep=",")
     return text_sink.read_delimited(spark, path, rows.schema, sep=",")
 

@@ -18,7 +18,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], stamp: str, tie_break: Se
     into a group limit ahead of the shuffle, so each map task sends at most one
     row per key and a hot key never gathers in one place. Ties fall to
     ``tie_break`` (descending), else to a hash of the row, so that a rerun
-    task picks the same row again.
+    task picks the same row again; an empty list leaves ties open.
     """
     order = [F.col(stamp).desc_nulls_last()]
     if tie_break is None:

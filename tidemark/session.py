@@ -50,9 +50,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """Path of a fresh folder inside the shared one; it is not created yet."""
+    return f"{shared_folder(spark).rstrip('/')}/{label}_{uuid.uuid4().hex[:12]}"
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """Create a fresh database inside the shared folder and return its name."""
-    name = f"{label}_{uuid.uuid4().hex[:12]}"
-    folder = shared_folder(spark).rstrip("/")
-    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{folder}/{name}'")
+    folder = scratch_folder(spark, label)
+    name = folder.rsplit("/", 1)[1]
+    spark.sql(f"CREATE DATABASE `{name}` LOCATION '{folder}'")
     return name

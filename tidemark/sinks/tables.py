@@ -24,7 +24,8 @@ def ctas_replace(
     The rows go to ``<table>__incoming`` first, so a lost job leaves the old
     table alone and a query may read the table it replaces. The old table is
     kept as ``<table>__previous`` during the swap and put back by the next call
-    if the program ended in between. ``bucket_by`` stores the rows bucketed and
+    if the program ended in between. The swap renames managed tables, which on
+    HDFS moves no data. ``bucket_by`` stores the rows bucketed and
     sorted for later joins on those columns.
     """
     spark = df.sparkSession
