@@ -106,6 +106,21 @@ def test_seed_registry(spark):
     assert plan.seed_registry(listed, "01", "clinicdb").first()["hive_table"] == "src_clinicdb_PPets"
 
 
+def test_register_tables(spark):
+    table = f"{scratch_database(spark, 'reg')}.meta_import"
+    sink.create_table(spark, table, [tuple(c.strip().split(" ")) for c in plan.IMPORT_REGISTRY.split(",")])
+    listed = spark.createDataFrame([("b",), ("a",)], "table_name string")
+    plan.register_tables(plan.seed_registry(listed, "01", "pms"), table)
+    plan.register_tables(plan.seed_registry(listed, "02", "pms"), table)
+    rows = spark.table(table).orderBy("id").collect()
+    assert [(r["id"], r["connection_id"], r["table_name"], r["filter"]) for r in rows] == [
+        (1, "01", "a", None), (2, "01", "b", None), (3, "02", "a", None), (4, "02", "b", None),
+    ]
+    with pytest.raises(ValueError, match="registered already"):
+        plan.register_tables(plan.seed_registry(listed, "02", "pms"), table)
+    assert spark.table(table).count() == 4
+
+
 def test_merge_plan(spark):
     rows = plan.merge_plan(spark).collect()
     assert len(rows) == 39 and (rows[0]["no"], rows[0]["table_name"]) == (1, "T_OutStore")

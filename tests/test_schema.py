@@ -1,6 +1,7 @@
 import pytest
 
 from tidemark.operators.schema import (
+    alter_statements,
     column_catalogue,
     evolve_add_columns,
     missing_sources,
@@ -52,6 +53,15 @@ def test_columns_to_add(diff):
     ]
 
 
+def test_alter_statements_show_drifted_tables_too(diff):
+    shown = {r["statement"] for r in alter_statements(diff).collect()}
+    assert shown == {
+        "ALTER TABLE grown ADD COLUMNS (born string)",
+        "ALTER TABLE grown ADD COLUMNS (paid double)",
+        "ALTER TABLE swapped ADD COLUMNS (more int)",
+    }
+
+
 def test_drift_report(diff):
     report = {r["table_name"]: (r["added"], r["retyped"], r["drifted"], r["action"]) for r in schema_drift_report(diff).collect()}
     assert report == {

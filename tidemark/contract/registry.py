@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..plans import registry as plan
+from ..session import scratch_database
 from ..sinks.export import expired_backups
+from ..sinks.tables import create_table
 from ..sources.tables import filter_name_prefix as with_prefix
 from .base import given, query
 
@@ -226,6 +228,21 @@ def seed_registry(spark, sf_dir):
     return plan.seed_registry(listed, F.col("c_nationkey").cast("string"), F.lower("c_mktsegment"))
 
 
+@query(f"""
+SELECT row_number() OVER (ORDER BY is_new, connection_id, db_name, table_name) AS id, connection_id, db_name, table_name,
+       hive_table, status
+FROM (SELECT *, FALSE AS is_new FROM ({SEED_SQL}) WHERE connection_id < '2'
+      UNION ALL SELECT *, TRUE AS is_new FROM ({SEED_SQL}) WHERE connection_id >= '2')""")
+def register_tables(spark, sf_dir):
+    """Two registrations; the second goes on from the last id of the first."""
+    table = f"{scratch_database(spark, 'register_tables')}.meta_import"
+    seeded = seed_registry(spark, sf_dir)
+    create_table(spark, table, [("id", "bigint"), *seeded.dtypes])
+    for part in ("connection_id < '2'", "connection_id >= '2'"):
+        plan.register_tables(seeded.where(part), table)
+    return spark.table(table).select("id", "connection_id", "db_name", "table_name", "hive_table", "status")
+
+
 @query(f"""
 SELECT DISTINCT db_name, CASE WHEN instr(substr(hive_table, 5), '_') > 0
   THEN substr(hive_table, 5, instr(substr(hive_table, 5), '_') - 1) ELSE '' END AS hive_db_name FROM ({SEED_SQL})""")

@@ -135,6 +135,14 @@ def evolve_add_columns(spark, sf_dir):
     return op.evolve_add_columns(_import_diff(spark, sf_dir))
 
 
+@query(f"""
+SELECT table_name, ordinal,
+       'ALTER TABLE ' || table_name || ' ADD COLUMNS (' || source_name || ' ' || wanted_type || ')' AS statement
+FROM ({IMPORT_DIFF_SQL}) WHERE flag = 'add'""")
+def alter_statements(spark, sf_dir):
+    return op.alter_statements(_import_diff(spark, sf_dir))
+
+
 @query(f"""
 SELECT table_name, added, retyped, drifted,
        CASE WHEN drifted > 0 THEN 'no alter: columns out of order' WHEN added > 0 THEN 'add columns'

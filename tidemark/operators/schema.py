@@ -61,6 +61,18 @@ def evolve_add_columns(diff: DataFrame) -> DataFrame:
     return added.select("table_name", "ordinal", F.col("source_name").alias("name"), F.col("wanted_type").alias("type"))
 
 
+def alter_statements(diff: DataFrame) -> DataFrame:
+    """Statement that adds each new trailing column, also for drifted tables.
+
+    The drift alert shows them; only those of :func:`evolve_add_columns` are to
+    be run.
+    """
+    statement = F.concat(
+        F.lit("ALTER TABLE "), "table_name", F.lit(" ADD COLUMNS ("), "source_name", F.lit(" "), "wanted_type", F.lit(")")
+    )
+    return diff.where("flag = 'add'").select("table_name", "ordinal", statement.alias("statement"))
+
+
 def schema_drift_report(diff: DataFrame) -> DataFrame:
     """One row per table with new, retyped or drifted columns and what follows."""
 

@@ -13,6 +13,7 @@ from ..functions.names import concat_name, database_part, same_text
 from ..operators.dedup import latest_per_key
 from ..operators.numbering import number_rows
 from ..operators.schema import column_catalogue, schema_diff_import
+from ..sinks.tables import append_table
 from ..sources.jdbc import Connection, count_scan
 from ..sources.tables import describe_columns
 from .merge import MERGE_TABLES
@@ -242,6 +243,21 @@ def seed_registry(
     )
 
 
+def register_tables(seeded: DataFrame, registry_table: str) -> None:
+    """Append seeded rows to the registry table with the next free ids.
+
+    A table that is registered already is an error, and nothing is appended.
+    """
+    registry = seeded.sparkSession.table(registry_table)
+    keys = ["connection_id", "db_name", "table_name"]
+    again = seeded.select(*keys).join(registry, keys, "left_semi").limit(3).collect()
+    if again:
+        raise ValueError(f"registered already: {[tuple(row) for row in again]}")
+    top = registry.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top")).first()["top"]
+    numbered = number_rows(seeded, [F.col(k).asc() for k in keys], "id")
+    append_table(numbered.withColumn("id", F.col("id") + top), registry_table)
+
+
 def distinct_db_map(registry: DataFrame) -> DataFrame:
     """Source database names and the names they go by in the warehouse."""
     return registry.select("db_name", database_part("hive_table").alias("hive_db_name")).distinct()
