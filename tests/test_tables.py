@@ -63,6 +63,19 @@ def test_partitions(spark, db):
     assert ids(spark.table(table)) == [6]
 
 
+def test_only_the_partitions_in_the_rows_are_replaced(spark, db):
+    table = f"{db}.some"
+    sink.create_table(spark, table, [("id", "int"), ("name", "string")], "date")
+    sink.overwrite_partitions(numbers(spark, 1, 2, 3).withColumn("date", F.col("name")), table, "date")
+    sink.overwrite_partitions(numbers(spark, 7).withColumn("date", F.lit("2")), table, "date")
+    assert ids(spark.table(table)) == [1, 3, 7]
+    sink.overwrite_partitions(numbers(spark, 8).withColumn("date", F.lit("2")), table, "date", append=True)
+    assert ids(spark.table(table)) == [1, 3, 7, 8]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+    sink.overwrite_table(numbers(spark, 9).withColumn("date", F.lit("9")), table)
+    assert ids(spark.table(table)) == [9]
+
+
 def test_partition_scan_reads_only_its_files(spark, db):
     table = f"{db}.pruned"
     sink.create_table(spark, table, [("id", "int"), ("name", "string")], "date")

@@ -118,12 +118,24 @@ def filter_redo(spark, sf_dir):
     return plan.filter_redo(connections(spark, sf_dir), tasks(spark, sf_dir), ["1", "3"])
 
 
-@query(f"""
-SELECT c.connection_id, c.connection_name, c.status AS connection_status, t.* EXCLUDE (connection_id)
-FROM ({CONNECTIONS_SQL}) c LEFT JOIN (SELECT * FROM ({TASKS_SQL}) WHERE db_name = 'building') t
-  ON c.connection_id = t.connection_id""")
+@query("""
+SELECT CAST(c_custkey AS VARCHAR) AS connection_id, c_name AS connection_name, c_mktsegment AS connection_status,
+       o_orderkey AS id, o_orderstatus AS status
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey""")
 def registry_left_join(spark, sf_dir):
-    return plan.registry_scan(connections(spark, sf_dir), tasks(spark, sf_dir).where("db_name = 'building'"))
+    """Customers as connections, orders as their tables; some have none."""
+    customer, orders = given(spark, sf_dir, "customer", "orders")
+    many = customer.select(
+        F.col("c_custkey").cast("string").alias("connection_id"),
+        F.col("c_name").alias("connection_name"),
+        F.col("c_mktsegment").alias("status"),
+    )
+    registered = orders.select(
+        F.col("o_custkey").cast("string").alias("connection_id"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderstatus").alias("status"),
+    )
+    return plan.registry_scan(many, registered)
 
 
 @query(f"""

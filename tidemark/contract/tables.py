@@ -91,12 +91,11 @@ def overwrite_partition(spark, sf_dir):
 
 
 @query(f"""
-SELECT event_id, user_id, CASE WHEN user_id < 50 THEN -value ELSE value END AS value, date FROM ({DAYS_SQL})
-WHERE user_id < 50 OR date NOT IN (SELECT date FROM ({DAYS_SQL}) WHERE user_id < 50)""")
+SELECT event_id, user_id, CASE WHEN date >= '20240116' THEN -value ELSE value END AS value, date FROM ({DAYS_SQL})""")
 def overwrite_partitions(spark, sf_dir):
-    """A second load replaces just the days on which its users occur."""
+    """A second load corrects the later days and leaves the others alone."""
     table = _partitioned(spark, sf_dir, "overwrite_partitions")
-    reload = _days(spark, sf_dir).where("user_id < 50").withColumn("value", -F.col("value"))
+    reload = _days(spark, sf_dir).where("date >= '20240116'").withColumn("value", -F.col("value"))
     sink.overwrite_partitions(reload, table, "date")
     return scan(spark, table)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,13 +119,14 @@ def overwrite_partition(df: DataFrame, table: str, key: str, value: str, append:
 
 
 def overwrite_partitions(df: DataFrame, table: str, key: str, append: bool = False) -> None:
-    """Replace (or append to) every partition that occurs in the rows.
+    """Replace (or append to) every partition that occurs in the rows; others stay.
 
     The rebalance hint gathers a partition's rows into files of a fair size
     and lets AQE split a partition that is too large for one task.
     """
     rows = match_columns(df, table).hint("rebalance", key)
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=not append)
+    with _session_setting(df.sparkSession, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        rows.write.insertInto(table, overwrite=not append)
 
 
 def drop_partition(spark: SparkSession, table: str, key: str, value: str) -> None:
@@ -153,6 +155,17 @@ def rename_table(spark: SparkSession, table: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted('.'.join(target))}")
 
 
+@contextmanager
+def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    # insertInto takes this from the session only; a writer option is ignored.
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _partition(key: str, value: str) -> str:
     text = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"PARTITION (`{key}` = '{text}')"
