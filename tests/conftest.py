@@ -10,6 +10,7 @@ def spark(tmp_path_factory):
     session = (
         configure(SparkSession.builder.master("local[8]").appName("tests"))
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", f"{folder}/checkpoints")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
