@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality, toxicity
 from .batches import table
 from .fingerprints import fingerprint_chain
 from .html_extract import extract_text
@@ -25,6 +26,11 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
     return fn
 
 
+def _classified(scored: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    predicted = (F.col("score") >= threshold).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @_query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
@@ -32,6 +38,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages)
 
 
+@_query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score_quality(docs.select("doc_id", "text"), quality.fit_quality(docs, labels))
+    return _classified(scored, quality.held_out(), quality.THRESHOLD)
+
+
 @_query
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
@@ -69,6 +83,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_chain(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(docs.select("doc_id", "text"), toxicity.fit_toxicity(docs, labels))
+    return _classified(scored, toxicity.held_out(), toxicity.THRESHOLD)
+
+
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in a bin."""
