@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from . import quality, toxicity
 from .batches import table
+from .embedding_dedup import near_duplicates
 from .fingerprints import fingerprint_chain
 from .html_extract import extract_text
+from .jaccard_join import jaccard_join
 from .licenses import license_sql, scan_licenses
 from .packing import pack_documents, sized_documents
 from .pieces import decode_ids, encode_texts
@@ -38,6 +40,18 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages)
 
 
+@_query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share nine tenths of their three-word shingles."""
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
