@@ -1,0 +1,82 @@
+import pytest
+
+from tidemark.llm.html_extract import extract_text, first_pass, main_blocks, names_a_side_part, read_blocks
+
+LONG = "It was the best of the times and it was the worst of the times, as they say of it in the book."
+
+
+def page(article, before="", after=""):
+    return f"<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>{before}{article}{after}</body></html>"
+
+
+def test_template_page_without_its_surroundings():
+    html = page(
+        f"<article><h1>A title</h1><p><b>{LONG}<br><p>And the end.</p></article>",
+        '<script>var t="</p>";</script><nav><ul><li><a href="/a">the menu of it</a></li></ul></nav>'
+        f'<!-- ad --><div class="ad">{LONG}</div>',
+        f"<footer>&copy; {LONG}</footer>",
+    )
+    assert main_blocks(html) == ["A title", LONG, "And the end."]
+
+
+@pytest.mark.parametrize(
+    "side",
+    [
+        f"<header><p>{LONG}</p></header>", f"<aside><p>{LONG}</p></aside>", f"<form><p>{LONG}</p></form>",
+        f'<div id="sidebar"><p>{LONG}</p></div>', f'<div class="cookie-notice">{LONG}</div>',
+        f'<section class="comments"><article><p>{LONG}</p></article></section>', f'<div role="navigation">{LONG}</div>',
+        f'<div style="display: none">{LONG}</div>', f"<noscript><p>{LONG}</p></noscript>",
+        f'<div class="advert"><div><p>{LONG}</p></div></div>', f"<textarea>{LONG}</textarea>",
+    ],
+)
+def test_side_parts_go_in_marked_and_unmarked_pages(side):
+    body = f"<p>{LONG} One.</p><p>{LONG} Two.</p>"
+    for article in (f"<article>{body}</article>", f"<div id='content'>{body}</div>"):
+        assert main_blocks(page(article, side)) == [f"{LONG} One.", f"{LONG} Two."]
+        assert main_blocks(page(article, "", side)) == [f"{LONG} One.", f"{LONG} Two."]
+
+
+def test_every_block_of_a_marked_article_stays():
+    parts = ["Wh.", LONG, "X X X", "DE!! LA!! " * 40, LONG]
+    html = page("<article>" + "".join(f"<p>{p}</p>" for p in parts) + "</article>")
+    assert main_blocks(html) == [" ".join(p.split()) for p in parts]
+
+
+def test_references_white_space_and_breaks():
+    html = "<article><p>a &amp; b &#x41;&#66; &lt;i&gt;\t\n c&nbsp;d<br>e <i>f</i>g</p><p>one<br><br>two</p></article>"
+    assert main_blocks(html) == ["a & b AB <i> c d e fg", "one", "two"]
+
+
+def test_open_blocks_follow_the_nearest_decided_neighbours():
+    links = "".join(f'<p><a href="/{k}">the link of it and the rest of the page {k}</a></p>' for k in range(3))
+    html = f"<body><div>{links}<p>short</p></div><div><p>{LONG}</p><p>near</p><p>{LONG}</p></div></body>"
+    assert main_blocks(html) == [LONG, "near", LONG]
+
+
+def test_broken_and_odd_markup():
+    assert main_blocks(None) == main_blocks("") == []
+    assert main_blocks("plain words") == ["plain words"]
+    assert main_blocks(f"<article><p>{LONG}</p><p>cut &quo") == [LONG, "cut &quo"]
+    assert main_blocks(f"<article><p>{LONG}</p><a href=\"/x") == [LONG]
+    assert main_blocks("<article><p>1 < 2 and 3 > 2 it is of the</p>") == ["1 < 2 and 3 > 2 it is of the"]
+    assert main_blocks(f"<script>never closed <p>{LONG}</p>") == []
+    assert main_blocks("<div>" * 20_000 + LONG + "</div>" * 20_000) == [LONG]
+    assert names_a_side_part("main SideBar") and not names_a_side_part("has-sidebar article-header")
+
+
+def test_first_pass_decides_by_density_length_and_links():
+    blocks, _ = read_blocks(f"<p>{LONG}</p><p>{'xyz ' * 80}</p><p><a>{LONG}</a></p><p>short of it</p><h2>{LONG}</h2>")
+    assert [first_pass(block) for block in blocks] == [True, False, False, None, None]
+
+
+def test_table_with_nulls_repeats_and_clashing_columns(spark):
+    rows = [(1, "u", f"<article><p>{LONG}</p></article>", "old"), (2, None, None, "old"), (3, "u", "", None)] + [
+        (4, "v", f"<article><p>{LONG * 3000}</p></article>", "old")
+    ] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    found = extract_text(pages).orderBy("page_id").collect()
+    assert extract_text(pages).columns == ["page_id", "url", "text", "n_chars"]
+    assert [(r.page_id, r.url) for r in found] == [(1, "u"), (2, None), (3, "u"), (4, "v"), (4, "v")]
+    assert [r.text for r in found] == [LONG, "", "", LONG * 3000, LONG * 3000]
+    assert all(r.n_chars == len(r.text) for r in found)
+    assert extract_text(pages.limit(0)).collect() == []
