@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+WORD = r"[\p{L}\p{N}]"
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 # Licence notices and texts.
@@ -90,8 +91,9 @@ def size_bounds(size: int, threshold: float) -> tuple[float, float]:
     """Sizes of sets whose Dice coefficient with a set of ``size`` can reach ``threshold``.
 
     The intersection is at most the smaller set, so 2 * min / (a + b) bounds the coefficient.
+    The bounds are eased by what rounding may take from them.
     """
-    return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
+    return size * threshold / (2 - threshold) - 1e-9, size * (2 - threshold) / threshold + 1e-9
 
 
 def anchor_words(templates: dict[str, str], threshold: float) -> list[str]:
@@ -99,7 +101,7 @@ def anchor_words(templates: dict[str, str], threshold: float) -> list[str]:
 
     A match misses at most ``size - size * threshold / (2 - threshold)`` of the
     template's bigrams; a template's anchors are in more of them than that.
-    Words that serve many templates and are long are taken first.
+    Long words that serve many templates are taken first, then rare short ones.
     """
     chosen: set[str] = set()
     usage: dict[str, int] = {}
@@ -109,7 +111,7 @@ def anchor_words(templates: dict[str, str], threshold: float) -> list[str]:
     for text in templates.values():
         bigrams = [set(pair.split()) for pair in template_bigrams(text)]
         needed = len(bigrams) - size_bounds(len(bigrams), threshold)[0]
-        words = sorted({word for pair in bigrams for word in pair}, key=lambda w: (len(w) < 7, -usage[w], -len(w), w))
+        words = sorted({word for pair in bigrams for word in pair}, key=lambda w: (len(w) < 7, usage[w] * (1 if len(w) < 7 else -1), -len(w), w))
         for word in words:
             if sum(bool(pair & chosen) for pair in bigrams) > needed + 1e-9:
                 break
@@ -147,21 +149,24 @@ def scan_licenses(
     ``line`` counts from 0; -1 is the whole text, which is a unit if it has a
     line break. The best template is told, on a tie the first by name. Null and
     empty texts match nothing; a repeated row repeats its matches; other columns
-    are ignored. No shuffle and no join: templates are literals, units without
-    an anchor word are passed over, and so are templates outside the size bounds.
+    are ignored. No shuffle and no join: templates are literals; texts and units
+    without an anchor word are passed over before they are cut into words, and so
+    are templates outside the size bounds.
     """
     sets = {name: template_bigrams(body) for name, body in sorted(templates.items())}
     longest = max((size_bounds(len(pairs), threshold)[1] for pairs in sets.values()), default=0)
-    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("body")).where(
-        F.col("body").isNotNull()
-    )
+    anchors = anchor_words(templates, threshold)
+
+    def may_match(unit: str) -> Column:
+        return F.lower(unit).rlike(rf"(?<!{WORD})(?:{'|'.join(anchors)})(?!{WORD})") if anchors else F.lit(False)
+
+    rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text}`").alias("body")).where(may_match("body"))
     lines = F.split("body", "\n")
     one = F.struct(F.lit(-1).alias("line"), F.col("body").alias("unit"))
     whole = F.when(F.size(lines) > 1, F.array(one)).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
     each = F.transform(lines, lambda unit, k: F.struct(k.alias("line"), unit.alias("unit")))
     units = rows.select("doc_id", F.explode(F.concat(whole, each)).alias("u"))
-    units = units.select("doc_id", "u.line", _words(F.col("u.unit")).alias("words"))
-    units = units.where(F.arrays_overlap("words", _strings(anchor_words(templates, threshold))))
+    units = units.where(may_match("u.unit")).select("doc_id", "u.line", _words(F.col("u.unit")).alias("words"))
     units = units.select("doc_id", "line", _bigrams(F.col("words")).alias("pairs")).where(F.size("pairs") <= longest)
     size = F.size("pairs")
     scores = []
