@@ -35,6 +35,7 @@ BLOCKS = frozenset(
 )
 DROPPED = frozenset("nav footer aside form menu dialog button select datalist search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 legend summary".split())
+LEAVES = frozenset("p li h1 h2 h3 h4 h5 h6 dt dd pre tr caption figcaption legend summary option address".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
@@ -118,8 +119,9 @@ class _Reader:
                 linked = sum(len("".join(part.split())) for part, in_link in self.parts if in_link)
                 top = self.stack[-1]
                 solid = sum(len(word) for word in text.split())
+                parent = self.stack[-2].number if top.name in LEAVES else top.number
                 self.blocks.append(
-                    Block(text, min(1000, linked * 1000 // solid), top.heading, top.dropped, top.scope, top.number)
+                    Block(text, min(1000, linked * 1000 // solid), top.heading, top.dropped, top.scope, parent)
                 )
             self.parts = []
 
@@ -211,7 +213,7 @@ def names_a_side_part(names: str) -> bool:
     for name in names.split():
         if _NOT_DROPPED.search(name.lower()):
             continue
-        words = {word.lower() for word in _CAMEL.findall(name)}
+        words = {word.lower() for word in _CAMEL.findall(name)} | set(re.split(r"[^a-z]+", name.lower()))
         side = words & DROPPED_NAMES
         if side and not (side == {"header"} and words & _OWN_HEADER):
             return True

@@ -29,12 +29,12 @@ BUCKETS = 1 << 17
 GRAMS = (3, 4, 5)
 DIMENSIONS = 8
 # Words in a passage.
-PASSAGE = 32
+PASSAGE = 8
 # Bound on the labelled rows that training reads, and on the passages of one of them that enter it.
 SAMPLE = 8000
-PASSAGES = 64
+PASSAGES = 256
 ROUNDS = 8
-RATE = 0.5
+RATE = 0.3
 THRESHOLD = 0.3
 # Folds by crc32 of the id, and the one whose labels are never learned.
 FOLDS, HELD_OUT = 4, 2

@@ -41,4 +41,5 @@ def fit(rows: DataFrame, train: Callable[[list[str], np.ndarray], bytes]) -> byt
         model = train([text for _, text, _ in found], np.asarray([label for *_, label in found], np.int64))
         yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
-    return rows.repartition(1).mapInArrow(work, "model binary").first()["model"]
+    row = rows.repartition(1).mapInArrow(work, "model binary").first()
+    return bytes(row["model"]) if row else train([], np.zeros(0, np.int64))
