@@ -9,9 +9,10 @@ smaller of their two ``l`` is required.
 
 The join runs in three steps, all linear in the index:
 
-1. Prefixes are indexed. Pairs in small lists are counted and kept if they share
-   enough; a long list links its documents to its first one. Components of these
-   links are groups that hold every similar pair.
+1. The longest prefixes are indexed, the lists' lengths go back to the documents,
+   and each chooses its prefix by them. Pairs in short lists are counted and kept
+   if they share enough; a long list links its documents to its first one.
+   Components of these links are groups that hold every similar pair.
 2. The sets of grouped documents are sent to their group: small groups are put
    together, large ones are cut into blocks and every pair of blocks is a task.
 3. A task indexes prefixes again, with lengths chosen by the true lists, and
@@ -43,8 +44,9 @@ SKETCH = 1 << 21
 _SLICES = 256
 # Largest number of prefix tokens that a pair may be asked to share.
 MOST_SHARED = 8
-# Cost of an index entry and of a candidate, in steps along a list.
-ENTRY, CANDIDATE = 8.0, 64.0
+# Cost of an index entry and of a candidate, in steps along a list; outside a task a candidate sends two texts.
+ENTRY, CANDIDATE = 8.0, 1000.0
+TASK_CANDIDATE = 64.0
 # Lists up to this length give pairs, so pairs are at most 16 times the entries; longer ones link to their first document.
 SHORT_LIST = 32
 # Tokens that small groups share a task with, and documents in a block of a large group.
@@ -81,7 +83,7 @@ def least_shared(size: int | np.ndarray, percent: int) -> int | np.ndarray:
 def chosen_shared(lists: np.ndarray, size: int, percent: int) -> int:
     """How many prefix tokens to require, by the least estimated cost.
 
-    ``lists`` are the estimated lengths of the lists of the tokens in order. A
+    ``lists`` are the lengths of the lists of the tokens in order. A
     candidate is met in at least as many lists as are required, so the steps
     divided by that number bound the candidates.
     """
@@ -90,7 +92,7 @@ def chosen_shared(lists: np.ndarray, size: int, percent: int) -> int:
     shared = np.arange(1, most + 1)
     length = size - alpha + shared
     steps = np.cumsum(np.maximum(lists[: length[-1]] - 1, 0))[length - 1]
-    return int(shared[np.argmin(ENTRY * length + steps + CANDIDATE * steps / shared)])
+    return int(shared[np.argmin(ENTRY * shared + steps + TASK_CANDIDATE * steps / shared)])
 
 
 def _count_tokens(docs: DataFrame, width: int) -> np.ndarray:
@@ -131,36 +133,34 @@ def _count_tokens(docs: DataFrame, width: int) -> np.ndarray:
     return sketch
 
 
-INDEXED = "doc_id long, n_shingles long, node long, shared int, prefix array<long>"
+INDEXED = "doc_id long, n_shingles long, node long, prefix array<long>"
 
 
 def _index(docs: DataFrame, sketch: np.ndarray, percent: int, width: int) -> DataFrame:
-    """One row for each document: its set's size and class, and the prefix it is indexed by."""
+    """One row for each document: its set's size and class, and the longest prefix it may be indexed by."""
     shared_sketch = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared_sketch.value
-        noise = counts.mean()
         for batch in batches:
             for at in range(0, batch.num_rows, TEXT_ROWS):
                 part = batch.slice(at, TEXT_ROWS)
                 rows = []
                 for doc_id, tokens in zip(part.column("doc_id").to_pylist(), shingle_sets(texts_of(part, "text"), width), strict=True):
                     if not len(tokens):
-                        rows.append((doc_id, 0, None, 0, []))
+                        rows.append((doc_id, 0, None, []))
                         continue
-                    lists = counts[(tokens % np.uint64(SKETCH)).astype(np.int64)]
-                    order = np.lexsort((tokens, lists))
-                    need = chosen_shared(np.maximum(lists[order] - noise, 1.0), len(tokens), percent)
-                    length = len(tokens) - int(least_shared(len(tokens), percent)) + need
-                    rows.append((doc_id, len(tokens), class_of(tokens), need, tokens[order[:length]].view(np.int64)))
-                ids, sizes, nodes, needs, prefixes = zip(*rows, strict=True)
+                    order = np.lexsort((tokens, counts[(tokens % np.uint64(SKETCH)).astype(np.int64)]))
+                    alpha = int(least_shared(len(tokens), percent))
+                    length = len(tokens) - alpha + min(MOST_SHARED, alpha)
+                    rows.append((doc_id, len(tokens), class_of(tokens), tokens[order[:length]].view(np.int64)))
+                ids, sizes, nodes, prefixes = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                        pa.array(needs, pa.int32()), pa.array(prefixes, pa.list_(pa.int64())),
+                        pa.array(prefixes, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "node", "shared", "prefix"],
+                    names=["doc_id", "n_shingles", "node", "prefix"],
                 )
 
     return docs.mapInArrow(work, INDEXED)
@@ -173,12 +173,26 @@ def class_of(tokens: np.ndarray) -> int:
 
 def _groups(nodes: DataFrame, percent: int) -> DataFrame:
     """``node``, ``root``: components of the pairs that share enough of their prefixes, and of long lists."""
-    entries = nodes.select("node", "size", "shared", F.explode("prefix").alias("token"))
-    lists = entries.groupBy("token").agg(F.count("*").alias("length"), F.min("node").alias("first")).where("length > 1")
+    entries = nodes.select("node", F.posexplode("prefix").alias("at", "token"))
+    lists = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
     listed = entries.join(lists, "token").checkpoint()
-    long_links = listed.where(F.col("length") > SHORT_LIST).where("node <> first").select(
-        F.col("node").alias("a"), F.col("first").alias("b")
-    )
+    # Every document weighs its prefixes by the true lengths of their lists.
+    sized = listed.join(nodes.select("node", "size"), "node")
+    alpha = F.floor((percent * F.col("size") + 99) / 100)
+    steps = [
+        F.sum(F.when(F.col("at") < F.col("size") - alpha + k, F.col("length") - 1).otherwise(0)).alias(f"steps_{k}")
+        for k in range(1, MOST_SHARED + 1)
+    ]
+    costs = F.array(*[
+        F.when(alpha >= k, F.struct((ENTRY * k + F.col(f"steps_{k}") * (1 + CANDIDATE / k)).alias("cost"), F.lit(k).alias("k")))
+        for k in range(1, MOST_SHARED + 1)
+    ])
+    weighed = sized.groupBy("node").agg(F.max("size").alias("size"), *steps)
+    chosen = weighed.select("node", "size", F.array_min(F.filter(costs, lambda c: c.isNotNull())).k.alias("shared"))
+    listed = listed.join(chosen, "node").where(F.col("at") < F.col("size") - alpha + F.col("shared")).checkpoint()
+    far = listed.where(F.col("length") > SHORT_LIST)
+    far = far.join(far.groupBy("token").agg(F.min("node").alias("first")), "token")
+    long_links = far.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     short = listed.where(F.col("length") <= SHORT_LIST).select("token", "node", "size", "shared")
     a, b = short.alias("a"), short.alias("b")
     met = a.join(
@@ -351,7 +365,6 @@ def jaccard_join(
             F.min("doc_id").alias("first_id"),
             F.count("*").alias("weight"),
             F.max("n_shingles").alias("size"),
-            F.max("shared").alias("shared"),
             F.any_value("prefix").alias("prefix"),
         )
         .checkpoint()
