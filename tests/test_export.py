@@ -42,12 +42,12 @@ def test_target_is_created_with_database_types(spark, db, target):
 
 
 def test_modes(spark, db, target):
-    assert export_table(spark, f"{db}.final_t", target, "append") == 1
+    assert export_table(spark, f"{db}.final_t", target, "append").rows == 1
     refill(spark, db, 2, 3)
-    assert export_table(spark, f"{db}.final_t", target, "append") == 2
+    assert export_table(spark, f"{db}.final_t", target, "append").rows == 2
     assert ids(spark, target) == [1, 2, 3]
     refill(spark, db, 4)
-    assert export_table(spark, f"{db}.final_t", target, "overwrite", writers=1) == 1
+    assert export_table(spark, f"{db}.final_t", target, "overwrite", writers=1).rows == 1
     assert ids(spark, target) == [4]
     with pytest.raises(ValueError):
         export_table(spark, f"{db}.final_t", target, "upsert")
@@ -91,11 +91,12 @@ def test_repeated_rows_are_noticed(spark, db, target, monkeypatch):
 
     def twice(df, name, writers=None, overwrite=False):
         insert(df, name, writers, overwrite)
-        insert(df, name, writers)
+        insert(spark.table(f"{db}.final_t"), name, writers)
 
     monkeypatch.setattr(sink, "jdbc_export_insert", twice)
     with pytest.raises(RuntimeError, match="1 rows sent, 2 rows arrived"):
-        sink.export_append(spark.table(f"{db}.final_t"), target)
+        sink.export_rename(spark.table(f"{db}.final_t"), target, "20240102", "20240101")
+    assert ids(spark, target) == [1]
 
 
 def test_missing_columns_are_added(spark, db, target):
@@ -118,5 +119,5 @@ def test_retention_spares_other_tables(spark, db, target):
 
 def test_task_from_registry_row(spark, db, target):
     row = spark.createDataFrame([(db, "FINAL_t", db, "t", " ", None)], "hive_database string, hive_table string, db_name string, table_name string, mode string, m int").first()
-    assert ExportTask.from_row(row).run(spark, "spark_catalog", dt.date(2024, 1, 2)) == 1
+    assert ExportTask.from_row(row).run(spark, "spark_catalog", dt.date(2024, 1, 2)).rows == 1
     assert ids(spark, target) == [1] and names(spark, db) == {"t", "t_20240101_bak"}

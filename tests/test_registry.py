@@ -89,8 +89,10 @@ def test_row_counts(spark, tasks):
     spark.range(3).createOrReplaceTempView("three")
     counts = plan.table_rowcounts(plan.open_tables(spark, ["three", "missing_table"]))
     assert {tuple(r) for r in counts.collect()} == {("three", 3), ("missing_table", None)}
-    stored = tasks.select("id", "db_name", "table_name", F.lit(1).cast("bigint").alias("table_rows"), F.lit("old").alias("rows_updatetime"))
-    fresh = spark.createDataFrame([("a", "first", 9), ("a", "second", None)], "db_name string, table_name string, table_rows bigint")
+    stored = tasks.select("id", "connection_id", "db_name", "table_name", F.lit(1).cast("bigint").alias("table_rows"), F.lit("old").alias("rows_updatetime"))
+    layout = "connection_id string, db_name string, table_name string, table_rows bigint"
+    own = {r["table_name"]: r["connection_id"] for r in tasks.collect()}
+    fresh = spark.createDataFrame([(own["first"], "a", "first", 9), (own["second"], "a", "second", None), ("?", "a", "done", 5)], layout)
     out = {r["table_name"]: (r["table_rows"], r["rows_updatetime"]) for r in plan.store_rowcounts(stored, fresh, F.lit("now")).collect()}
     assert out["first"] == (9, "now") and out["second"] == (1, "old") and out["done"] == (1, "old")
     with pytest.raises(ValueError):
@@ -147,12 +149,12 @@ def test_check_schemas(spark):
     registry = spark.createDataFrame(
         [("PMS", "Visits", db, "SRC_pms_visits"), ("pms", "fresh", db, "src_pms_fresh")],
         "db_name string, table_name string, hive_database string, hive_table string",
-    )
+    ).withColumn("connection_id", F.lit("01"))
     source = spark.createDataFrame(
         [("pms", "VISITS", 1, "ID", "int"), ("pms", "VISITS", 2, "name", "text"), ("pms", "VISITS", 3, "day", "date"),
          ("pms", "fresh", 1, "id", "int"), ("hr", "visits", 1, "other", "int")],
         "db_name string, table_name string, ordinal int, name string, type string",
-    )
+    ).withColumn("connection_id", F.lit("01"))
     diff = plan.check_schemas(registry, source, plan.warehouse_catalogue(spark, registry))
     assert sorted((r["table_name"], r["ordinal"], r["flag"]) for r in diff.collect()) == [
         (f"{db}.src_pms_fresh", 1, "create"),
@@ -160,8 +162,3 @@ def test_check_schemas(spark):
         (f"{db}.src_pms_visits", 2, "same"),
         (f"{db}.src_pms_visits", 3, "add"),
     ]
-
-
-def test_stack_keeps_every_frame(spark):
-    frames = [spark.range(i, i + 1) for i in range(37)]
-    assert sorted(r["id"] for r in plan.stack(frames).collect()) == list(range(37))

@@ -29,7 +29,7 @@ def high_water_mark(spark, sf_dir):
 
 @query("SELECT * FROM events WHERE strftime(ts, '%Y%m%d') = '20240102'")
 def partition_snapshot(spark, sf_dir):
-    return source.partition_scan(given(spark, sf_dir, "events"), F.date_format("ts", "yyyyMMdd"), "20240102")
+    return source.day_scan(given(spark, sf_dir, "events"), "ts", "20240102")
 
 
 @query("SELECT doc_id, replace(replace(replace(text, chr(10), ''), chr(13), ''), chr(1), '') AS text FROM documents")

@@ -86,9 +86,14 @@ def union_all(spark, sf_dir):
     return op.union_all(old_rows(spark, sf_dir), new_rows(spark, sf_dir))
 
 
-@query(f"{WITH} SELECT id, orgid, code, status, amount, updatestamp FROM new")
+@query(f"""{WITH} SELECT id, orgid, CAST(code AS VARCHAR) AS code, CAST(status AS VARCHAR) AS status, amount, updatestamp,
+  'old' AS side FROM old
+UNION ALL SELECT id, orgid, CAST(code AS VARCHAR), CAST(status AS VARCHAR), amount, updatestamp, 'new' FROM new""")
 def project_common(spark, sf_dir):
-    return projections.project_common(old_rows(spark, sf_dir), new_rows(spark, sf_dir))[1]
+    old, new = projections.project_common(old_rows(spark, sf_dir), new_rows(spark, sf_dir))
+    text = {name: F.col(name).cast("string") for name in ("code", "status")}
+    sides = [df.withColumns({**text, "side": F.lit(side)}) for df, side in ((old, "old"), (new, "new"))]
+    return sides[0].unionByName(sides[1])
 
 
 @query(f"{WITH} {MIDDLE_SQL}")

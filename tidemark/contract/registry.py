@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from ..plans import registry as plan
 from ..session import scratch_database
 from ..sinks.export import expired_backups
@@ -79,9 +80,15 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id
   ORDER BY ended DESC NULLS LAST, started DESC, status DESC) AS rn FROM ({LEDGER_SQL})) WHERE rn = 1"""
 
 
-@query(f"SELECT * FROM ({TASKS_SQL}) ORDER BY task_order ASC NULLS LAST, connection_id, id")
+def in_order(df):
+    """Number the rows as they come."""
+    return number_rows(df.withColumn("_seen", F.monotonically_increasing_id()), [F.col("_seen").asc()], "place").drop("_seen")
+
+
+@query(f"""
+SELECT *, row_number() OVER (ORDER BY task_order ASC NULLS LAST, connection_id, id) AS place FROM ({TASKS_SQL})""")
 def order_task_plan(spark, sf_dir):
-    return plan.order_task_plan(tasks(spark, sf_dir))
+    return in_order(plan.order_task_plan(tasks(spark, sf_dir)))
 
 
 @query(f"""
@@ -152,9 +159,15 @@ def registry_inner_join(spark, sf_dir):
     return plan.registry_inner_join(connections(spark, sf_dir), tasks(spark, sf_dir))
 
 
-@query(f"SELECT * FROM ({TASKS_SQL}) ORDER BY connection_id")
+@query(f"""
+SELECT connection_id, count(*) AS n, row_number() OVER (ORDER BY connection_id) AS place
+FROM ({TASKS_SQL}) GROUP BY connection_id""")
 def order_by_key(spark, sf_dir):
-    return plan.order_by_key(tasks(spark, sf_dir))
+    """Place of each key among the keys, from the places of its rows, which lie together."""
+    placed = in_order(plan.order_by_key(tasks(spark, sf_dir))).groupBy("connection_id")
+    runs = placed.agg(F.count("*").alias("n"), F.min("place").alias("first"), F.max("place").alias("last"))
+    together = runs.where("last - first + 1 = n").select("connection_id", "n", "first")
+    return number_rows(together, [F.col("first").asc()], "place").drop("first")
 
 
 @query(f"SELECT * FROM ({TASKS_SQL}) WHERE last_exec_date IS NULL OR last_exec_date <> '{TODAY}'")
@@ -179,9 +192,9 @@ def distinct_keep_first(spark, sf_dir):
     return plan.distinct_keep_first(tasks(spark, sf_dir), ["connection_id", "db_name"])
 
 
-@query(f"SELECT * FROM ({TASKS_SQL}) ORDER BY id DESC")
+@query(f"SELECT *, row_number() OVER (ORDER BY id DESC) AS place FROM ({TASKS_SQL})")
 def reverse_list_order(spark, sf_dir):
-    return plan.reverse_list_order(tasks(spark, sf_dir), "id")
+    return in_order(plan.reverse_list_order(tasks(spark, sf_dir), "id"))
 
 
 @query(f"""
@@ -212,20 +225,31 @@ def table_rowcounts(spark, sf_dir):
 SELECT t.id, t.connection_id, t.db_name, t.table_name, coalesce(n.rows, -1) AS table_rows,
        CASE WHEN n.rows IS NULL THEN 'never' ELSE '2024-01-02 00:00:00' END AS rows_updatetime
 FROM ({TASKS_SQL}) t LEFT JOIN (
-  SELECT lower(c_mktsegment) AS db_name, c_name AS table_name, count(*) AS rows
-  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2) n
-  ON t.db_name = n.db_name AND t.table_name = n.table_name""")
+  SELECT CAST(c_nationkey AS VARCHAR) AS connection_id, lower(c_mktsegment) AS db_name, c_name AS table_name,
+         count(*) AS rows
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3) n
+  ON t.connection_id = n.connection_id AND t.db_name = n.db_name AND t.table_name = n.table_name
+UNION ALL SELECT c_custkey, 'other', lower(c_mktsegment), c_name, -1, 'never' FROM customer""")
 def store_rowcounts(spark, sf_dir):
+    """Counts of one connection; another one has tables of the same names."""
     customer, orders = given(spark, sf_dir, "customer", "orders")
     counts = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("table_rows"))
     counts = counts.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.lower("c_mktsegment").alias("db_name"), F.col("c_name").alias("table_name"), "table_rows"
+        F.col("c_nationkey").cast("string").alias("connection_id"),
+        F.lower("c_mktsegment").alias("db_name"),
+        F.col("c_name").alias("table_name"),
+        "table_rows",
     )
     registered = tasks(spark, sf_dir).select(
         "id", "connection_id", "db_name", "table_name",
         F.lit(-1).cast("bigint").alias("table_rows"), F.lit("never").alias("rows_updatetime"),
     )
-    return plan.store_rowcounts(registered, counts, F.lit("2024-01-02 00:00:00"))
+    same_names = customer.select(
+        F.col("c_custkey").alias("id"), F.lit("other").alias("connection_id"),
+        F.lower("c_mktsegment").alias("db_name"), F.col("c_name").alias("table_name"),
+        F.lit(-1).cast("bigint").alias("table_rows"), F.lit("never").alias("rows_updatetime"),
+    )
+    return plan.store_rowcounts(registered.unionByName(same_names), counts, F.lit("2024-01-02 00:00:00"))
 
 
 SEED_SQL = """

@@ -169,12 +169,13 @@ JOIN (SELECT 't' || o_orderkey AS table_name, 'dw.src_' || lower(o_orderstatus)
 def check_schemas(spark, sf_dir):
     """Findings of a large registry, whose tables have other names in the warehouse."""
     registered = given(spark, sf_dir, "orders").select(
+        F.lit("01").alias("connection_id"),
         F.lit("sales").alias("db_name"),
         F.concat(F.lit("T"), "o_orderkey").alias("table_name"),
         F.lit("dw").alias("hive_database"),
         F.concat(F.lit("src_"), "o_orderstatus", F.lit("_t"), "o_orderkey").alias("hive_table"),
     )
-    source = source_columns(spark, sf_dir).withColumn("db_name", F.lit("Sales"))
+    source = source_columns(spark, sf_dir).withColumns({"db_name": F.lit("Sales"), "connection_id": F.lit("01")})
     named = registered.select(F.lower("table_name").alias("key"), F.concat_ws(".", "hive_database", "hive_table").alias("hive"))
     target = target_columns(spark, sf_dir).join(named, F.col("table_name") == F.col("key"))
     target = target.select(F.col("hive").alias("table_name"), "ordinal", "name", "type")

@@ -10,7 +10,10 @@ from ..operators.dedup import latest_tombstone as latest_delete
 from ..operators.dedup import filter_newer_than_delete as newer_than_delete
 from ..operators.dedup import stamp_etl_time as add_etl_time
 from ..operators.dedup import tombstone_join as drop_deleted
+from ..plans import refresh
 from ..plans import unique as plan
+from ..session import scratch_database
+from ..sinks import tables as sink
 from .base import given, query
 
 LINE_TIES = [
@@ -106,6 +109,28 @@ def unique_incremental(spark, sf_dir):
     )
 
 
+@query(f"""
+WITH log AS ({LINE_LOG_SQL}), deletes AS ({LINE_DELETES_SQL}),
+     a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, orgid
+             ORDER BY updatestamp DESC NULLS LAST, partkey DESC, price DESC) AS rn FROM log) WHERE rn = 1),
+     b AS (SELECT p_id, p_orgid, max(updatestamp) AS p_ts FROM deletes GROUP BY p_id, p_orgid)
+SELECT a.id, a.orgid, a.updatestamp, a.partkey, a.price, TIMESTAMP '{ETL_TIME}' AS etl_time
+FROM a LEFT JOIN b ON a.id = b.p_id AND a.orgid = b.p_orgid WHERE b.p_ts IS NULL OR a.updatestamp > b.p_ts""")
+def unique_refresh(spark, sf_dir):
+    """A part of the log built, the rest and its deletes applied in two steps: the same as a rebuild."""
+    table = f"{scratch_database(spark, 'unique_refresh')}.ods_pms_lines"
+    log, deletes = line_log(spark, sf_dir), line_deletes(spark, sf_dir)
+    keys, ties = ["id", "orgid"], ["partkey", "price"]
+    first = "p_id % 5 < 3"
+    refresh.build_current(log.where("partkey % 3 = 0"), deletes.where(first), table, keys, "updatestamp", 64, ties, etl_time())
+    for part, known, new in ((1, "p_id % 5 < 4", "p_id % 5 = 3"), (2, "true", "p_id % 5 = 4 OR p_id IS NULL")):
+        refresh.refresh_current(
+            spark, table, log.where(f"partkey % 3 = {part}"), deletes.where(known), deletes.where(new), keys,
+            "updatestamp", ties, etl_time(),
+        )
+    return spark.table(table).drop(refresh.BUCKET)
+
+
 @query("""
 WITH a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type
              ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn FROM events WHERE event_type <> 'error') WHERE rn = 1),
@@ -132,8 +157,12 @@ def unique_latest(spark, sf_dir):
 SELECT *, strftime(ts, '%Y%m%d') AS date, TIMESTAMP '{ETL_TIME}' AS etl_time
 FROM events WHERE strftime(ts, '%Y%m%d') = '20240102'""")
 def unique_snapshot(spark, sf_dir):
+    """One stored partition; the filter reaches the partition column."""
+    table = f"{scratch_database(spark, 'unique_snapshot')}.src_log_events"
     events = given(spark, sf_dir, "events").withColumn("date", F.date_format("ts", "yyyyMMdd"))
-    return plan.unique_snapshot(events, "date", "20240102", etl_time())
+    sink.create_table(spark, table, events.drop("date").dtypes, "date")
+    sink.overwrite_partitions(events, table, "date")
+    return plan.unique_snapshot(spark.table(table), "date", "20240102", etl_time())
 
 
 @query(f"SELECT *, TIMESTAMP '{ETL_TIME}' AS etl_time FROM orders")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,13 +62,29 @@ def type_name(source_type: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(source_type), _NOISE, ""), r"\s+", " "))
 
 
-def map_types_import(name: str | Column) -> Column:
+def map_types_import(
+    name: str | Column, db_type: str = "", exact_decimals: bool = False, source_type: str | Column | None = None
+) -> Column:
     """Warehouse type of a :func:`type_name`, for whole column catalogues.
 
-    Put the name in a column of its own first; it is compared with every rule.
+    Column form of :func:`import_type`. Put the name in a column of its own
+    first; it is compared with every rule. ``exact_decimals`` needs the
+    ``source_type`` with its precision as well.
     """
     name = F.col(name) if isinstance(name, str) else name
     rules = [(name.isin(*names), F.lit(kind)) for names, kind in IMPORT_TYPES]
+    if db_type.lower() == "sqlserver":
+        rules.insert(0, (name == "tinyint", F.lit(import_type("tinyint", db_type=db_type))))
+    if exact_decimals:
+        told = F.trim(F.col(source_type) if isinstance(source_type, str) else source_type)
+        pattern = rf"^{_EXACT}$"
+        precision = F.regexp_extract(told, pattern, 1).try_cast("int")
+        scale = F.greatest(F.coalesce(F.regexp_extract(told, pattern, 2).try_cast("int"), F.lit(0)), F.lit(0))
+        kept = F.concat(F.lit("decimal("), precision, F.lit(","), scale, F.lit(")"))
+        rules[:0] = [
+            (F.coalesce(precision <= 38, F.lit(False)), kept),
+            (name.isin("money", "smallmoney"), F.lit(import_type("money", exact_decimals=True))),
+        ]
     chain = F.when(*rules[0])
     for rule in rules[1:]:
         chain = chain.when(*rule)
@@ -104,18 +121,37 @@ def cast_to(field: T.StructField, kind: str) -> Column:
     return column.cast(kind).alias(field.name)
 
 
+def wanted_types(
+    columns: Iterable[tuple[str, str]],
+    overrides: dict[str, str] | None = None,
+    exact_decimals: bool = False,
+    db_type: str = "",
+) -> list[tuple[str, str]]:
+    """Warehouse types of described columns, overrides first: decided once for DDL, rows and comparison."""
+    overrides = overrides or {}
+    return [(n, overrides.get(n.lower()) or import_type(t, exact_decimals, db_type)) for n, t in columns]
+
+
+def cast_columns(df: DataFrame, wanted: Iterable[tuple[str, str]]) -> DataFrame:
+    """Cast the columns to types decided elsewhere, matched by name; the order stays."""
+    kinds = {name.lower(): kind for name, kind in wanted}
+    return df.select(*[cast_to(f, kinds[f.name.lower()]) for f in df.schema.fields])
+
+
+def described(df: DataFrame) -> list[tuple[str, str]]:
+    """Columns of a DataFrame as a source describes them; long whole numbers are no approximate decimals."""
+    return [
+        (f.name, "bigint unsigned" if f.dataType == T.DecimalType(20, 0) else f.dataType.simpleString())
+        for f in df.schema.fields
+    ]
+
+
 def normalize_types(df: DataFrame, overrides: dict[str, str] | None = None, exact_decimals: bool = False) -> DataFrame:
     """Cast every column to its warehouse type, overrides first.
 
     Dates and times become strings whose text order is their time order.
     """
-    overrides = overrides or {}
-    return df.select(
-        *[
-            cast_to(f, overrides.get(f.name.lower()) or import_type(f.dataType.simpleString(), exact_decimals))
-            for f in df.schema.fields
-        ]
-    )
+    return cast_columns(df, wanted_types(described(df), overrides, exact_decimals))
 
 
 def override_column_types(df: DataFrame, overrides: dict[str, str]) -> DataFrame:

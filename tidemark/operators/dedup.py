@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 RANK = "rank_tmp"
 
@@ -81,4 +80,4 @@ def stamp_etl_time(df: DataFrame, at: Column | None = None) -> DataFrame:
 
 
 def _row_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])

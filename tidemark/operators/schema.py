@@ -11,10 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.types import base_type, map_types_export, map_types_import, type_name
+from ..functions.types import DEFAULT_EXPORT_TYPE, base_type, map_types_export, map_types_import, type_name
 
 CATALOGUE_SCHEMA = "table_name string, ordinal int, name string, type string"
 
@@ -27,10 +27,13 @@ def column_catalogue(spark: SparkSession, tables: dict[str, Iterable[tuple[str,
     return spark.createDataFrame(pa.Table.from_pylist([dict(zip(kinds.names, row)) for row in rows], kinds))
 
 
-def schema_diff_import(source: DataFrame, target: DataFrame) -> DataFrame:
+def schema_diff_import(
+    source: DataFrame, target: DataFrame, db_type: str = "", exact_decimals: bool = False
+) -> DataFrame:
     """Source database columns against warehouse columns; names ignore case."""
     named = source.withColumn("_type_name", type_name("type"))
-    typed = named.withColumn("wanted_type", map_types_import("_type_name")).drop("_type_name")
+    wanted = map_types_import("_type_name", db_type, exact_decimals, "type")
+    typed = named.withColumn("wanted_type", wanted).drop("_type_name")
     return _diff(
         typed,
         target,
@@ -39,25 +42,25 @@ def schema_diff_import(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def schema_diff_export(source: DataFrame, target: DataFrame) -> DataFrame:
+def schema_diff_export(source: DataFrame, target: DataFrame, text_type: str = DEFAULT_EXPORT_TYPE) -> DataFrame:
     """Warehouse columns against database columns; names must match exactly.
 
-    Text of any kind in the database satisfies a ``varchar``.
+    Text of any kind in the database satisfies the text type.
     """
     wanted = base_type("wanted_type")
     return _diff(
-        source.withColumn("wanted_type", map_types_export("type")),
+        source.withColumn("wanted_type", map_types_export("type", text_type)),
         target,
         same_name=F.col("source_name") == F.col("target_name"),
         same_type=(wanted == base_type("target_type"))
-        | ((wanted == "varchar") & F.col("target_type").rlike("(?i)char|text")),
+        | ((F.col("wanted_type") == text_type) & F.col("target_type").rlike("(?i)char|text|clob|string")),
     )
 
 
 def evolve_add_columns(diff: DataFrame) -> DataFrame:
     """New trailing columns to add; none for a table with any drift."""
-    drifted = diff.where("flag = 'drift'").select("table_name").distinct()
-    added = diff.where("flag = 'add'").join(drifted, "table_name", "left_anti")
+    drifted = F.max(F.col("flag") == "drift").over(Window.partitionBy("table_name"))
+    added = diff.withColumn("_drifted", drifted).where("flag = 'add' AND NOT _drifted")
     return added.select("table_name", "ordinal", F.col("source_name").alias("name"), F.col("wanted_type").alias("type"))
 
 
@@ -110,13 +113,36 @@ def missing_sources(registered: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def _diff(source: DataFrame, target: DataFrame, same_name: Column, same_type: Column) -> DataFrame:
-    known = target.select("table_name").distinct().withColumn("_known", F.lit(True))
+    """Pair both catalogues by position in one exchange: side by side, partitioned by table."""
+    left = source.select(
+        "table_name", "ordinal", F.col("name").alias("source_name"), F.col("type").alias("source_type"), "wanted_type",
+        F.lit(None).cast("string").alias("target_name"), F.lit(None).cast("string").alias("target_type"),
+    )
+    right = target.select(
+        "table_name", "ordinal", F.lit(None).cast("string").alias("source_name"),
+        F.lit(None).cast("string").alias("source_type"), F.lit(None).cast("string").alias("wanted_type"),
+        F.col("name").alias("target_name"), F.col("type").alias("target_type"),
+    )
+    marked = left.withColumn("_side", F.lit(0)).unionByName(right.withColumn("_side", F.lit(1)))
+    table = Window.partitionBy("table_name")
+    # A target position holds one column, and its row sorts last.
+    place = Window.partitionBy("table_name").orderBy("ordinal").rangeBetween(0, 0)
+    paired = marked.select(
+        "table_name",
+        "ordinal",
+        "source_name",
+        "source_type",
+        "wanted_type",
+        F.max("target_name").over(place).alias("target_name"),
+        F.max("target_type").over(place).alias("target_type"),
+        "_side",
+        (F.max("_side").over(table) == 1).alias("_known"),
+    ).where("_side = 0")
     flag = (
         F.when(F.col("target_name").isNull(), F.when(F.col("_known"), "add").otherwise("create"))
         .when(~same_name, "drift")
         .when(same_type, "same")
         .otherwise("diff")
     )
-    joined = ordinal_schema_join(source, target).join(known, "table_name", "left")
     columns = ("table_name", "ordinal", "source_name", "source_type", "wanted_type", "target_name", "target_type")
-    return joined.select(*columns, flag.alias("flag"))
+    return paired.select(*columns, flag.alias("flag"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -11,16 +12,22 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_string, partition_value
 from ..functions.names import same_text, split_name
-from ..functions.types import import_type, normalize_types, parse_overrides
+from ..functions.text import drop_delims, on_strings, sanitize_text
+from ..functions.types import cast_columns, described, parse_overrides, wanted_types
 from ..operators.projections import project_listed
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_import
 from ..sinks import tables as sink
 from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split, source_catalogue
 from ..sources.tables import describe_columns, fill_filter, read_mark, table_exists
 from .registry import filter_lookup, registry_scan
-from .unique import current_name, is_incremental, unique_dispatch, unique_table
+from .unique import UniqueRule, current_name, is_incremental, unique_dispatch, unique_table
 
 NO_FILTER = "1=1"
+# What becomes of line breaks in text: dropped as the bulk loader does, turned
+# into spaces as the copying engine does, or kept.
+TEXT_POLICIES = {"drop": drop_delims, "space": sanitize_text, "keep": None}
+# The registry's engines and their text policy.
+ENGINE_POLICIES = {"sqoop": "drop", "datax": "space"}
 
 
 @dataclass(frozen=True)
@@ -41,6 +48,7 @@ class ImportTask:
     hive_partition_value: str | None = None
     split_by: str | None = None
     m: int | None = None
+    exec_engine: str | None = None
 
     @classmethod
     def from_row(cls, row: Row) -> ImportTask:
@@ -48,6 +56,11 @@ class ImportTask:
         known = row.asDict()
         return cls(**{f.name: known[f.name] for f in fields(cls) if f.name in known})
 
+    @property
+    def text_policy(self) -> str:
+        """Policy of the task's engine; text is kept where no engine is named."""
+        return ENGINE_POLICIES.get((self.exec_engine or "").strip().lower(), "keep")
+
     @property
     def target(self) -> str:
         return f"{self.hive_database}.{self.hive_table}".lower()
@@ -66,8 +79,11 @@ def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -
     """Scan of the task's table or query for :func:`import_table`.
 
     With a split column the read runs in ``m`` ranges between the bounds that
-    the database reports. A query overrides table and filter.
+    the database reports. A query overrides table and filter. Several readers
+    without a split column are refused, as one task would read everything.
     """
+    if (task.m or 1) > 1 and not _filled(task.split_by):
+        raise ValueError(f"{task.db_name}.{task.table_name}: {task.m} readers need a split column")
 
     def scan(where: str) -> DataFrame:
         what = {"table": task.table_name, "query": task.query_sql if _filled(task.query_sql) else None, "where": where}
@@ -79,18 +95,30 @@ def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -
     return scan
 
 
-def import_filter(spark: SparkSession, task: ImportTask, start: object = 0) -> str:
+def import_filter(
+    spark: SparkSession, task: ImportTask, start: object = 0, source_columns: Iterable[tuple[str, str]] = ()
+) -> str:
     """Filter text for this run: newer rows for an incremental task, else all.
 
     A first load, with no target yet, takes everything. So does a task with its
-    own query, which says itself what to read.
+    own query, which says itself what to read. The marked column's source type
+    says where an empty target starts.
     """
     if not task.incremental or _filled(task.query_sql) or not table_exists(spark, task.target):
         return NO_FILTER
-    return fill_filter(task.filter, read_mark(spark, task.target, task.max_value, start))
+    marked = re.search(r"(\w+)\W*$", task.max_value)
+    kinds = {name.lower(): kind for name, kind in source_columns}
+    kind = kinds.get(marked[1].lower(), "") if marked else ""
+    return fill_filter(task.filter, read_mark(spark, task.target, task.max_value, start, kind))
 
 
-def prepare_target(spark: SparkSession, task: ImportTask, source_columns: list[tuple[str, str]], exact_decimals: bool = False) -> DataFrame:
+def prepare_target(
+    spark: SparkSession,
+    task: ImportTask,
+    source_columns: list[tuple[str, str]],
+    exact_decimals: bool = False,
+    db_type: str = "",
+) -> DataFrame:
     """Create the target or add its new columns; returns the schema findings.
 
     No column is added when any position drifted, nor for a task with its own
@@ -102,9 +130,11 @@ def prepare_target(spark: SparkSession, task: ImportTask, source_columns: list[t
     diff = schema_diff_import(
         column_catalogue(spark, {task.target: source_columns}),
         column_catalogue(spark, {task.target: describe_columns(spark, task.target)}),
+        db_type,
+        exact_decimals,
     )
     if not table_exists(spark, task.target):
-        wanted = [(n, overrides.get(n.lower()) or import_type(t, exact_decimals)) for n, t in source_columns]
+        wanted = wanted_types(source_columns, overrides, exact_decimals, db_type)
         sink.create_table(spark, task.target, wanted, task.partition)
     elif not _filled(task.query_sql) and not _filled(task.columns):
         added = evolve_add_columns(diff).orderBy("ordinal").collect()
@@ -122,42 +152,63 @@ def import_table(
     unique: bool = True,
     exact_decimals: bool = False,
     etl_time: Column | None = None,
+    db_type: str = "",
+    text_policy: str | None = None,
 ) -> DataFrame:
     """Run one import and, unless told not to, rebuild the current table.
 
     ``scan`` takes the filter text and returns the lazy source: for a database
-    :func:`jdbc_source`, for any DataFrame its ``where``. The column descriptors default to the scan's schema. Returns the schema
-    findings.
+    :func:`jdbc_source`, for any DataFrame its ``where``. The column descriptors
+    default to the scan's schema. The warehouse types are decided once, from the
+    descriptors, for the target, the rows and the comparison. What can be
+    refused is refused before the first write. Returns the schema findings.
     """
     day = day or dt.date.today()
-    source = scan(import_filter(spark, task, start))
+    overwrite = str(task.is_overwrite) == "1"
+    if overwrite and task.incremental and not task.partition and not _filled(task.query_sql):
+        raise ValueError(f"{task.target}: an incremental load that overwrites would keep the last increment only")
+    clean = TEXT_POLICIES[text_policy or task.text_policy]
+    rule = checked_rule(spark, task.target, task.incremental) if unique else None
+    if source_columns is None:
+        source_columns = described(scan(NO_FILTER))
+    source = scan(import_filter(spark, task, start, source_columns))
     if _filled(task.columns) and not _filled(task.query_sql):
         source = project_listed(source, task.columns.split(","))
     kept = {c.lower() for c in source.columns}
-    if source_columns is None:
-        source_columns = source.dtypes
     source_columns = [(n, t) for n, t in source_columns if n.lower() in kept]
     if _filled(task.query_sql):
         by_name = {n.lower(): (n, t) for n, t in source_columns}
-        source_columns = [by_name.get(n.lower(), (n, t)) for n, t in source.dtypes]
-    diff = prepare_target(spark, task, source_columns, exact_decimals)
-    rows = normalize_types(source, parse_overrides(task.map_column_hive), exact_decimals)
+        source_columns = [by_name.get(n.lower(), (n, t)) for n, t in described(source)]
+    diff = prepare_target(spark, task, source_columns, exact_decimals, db_type)
+    overrides = parse_overrides(task.map_column_hive)
+    rows = cast_columns(source, wanted_types(source_columns, overrides, exact_decimals, db_type))
+    if clean:
+        rows = on_strings(rows, clean)
     value = partition_value(task.hive_partition_value, day)
-    overwrite = str(task.is_overwrite) == "1"
     if task.partition:
         sink.overwrite_partition(rows, task.target, task.partition, value, append=not overwrite)
     elif overwrite:
         sink.overwrite_table(rows, task.target)
     else:
         sink.append_table(rows, task.target)
-    if unique:
-        refresh_current(spark, task, day, etl_time)
+    if rule:
+        _rebuild(spark, task.target, rule, task.partition, value, etl_time)
     return diff
 
 
+def checked_rule(spark: SparkSession, table: str, incremental: bool) -> UniqueRule:
+    """The rule of ``<db>.src_<t>``; unknown names and a missing tombstone table are refused."""
+    rule = unique_dispatch(table, incremental, warehouse=split_name(table)[0])
+    if rule.tombstone_table and not table_exists(spark, rule.tombstone_table):
+        raise ValueError(f"{table} needs {rule.tombstone_table}, which does not exist")
+    return rule
+
+
 def refresh_current(spark: SparkSession, task: ImportTask, day: dt.date, etl_time: Column | None = None) -> str | None:
     """Rebuild the current table of an imported one; returns its name."""
-    return refresh_table(spark, task.target, task.incremental, task.partition, day, etl_time)
+    rule = checked_rule(spark, task.target, task.incremental)
+    value = partition_value(task.hive_partition_value, day)
+    return _rebuild(spark, task.target, rule, task.partition, value, etl_time)
 
 
 def refresh_table(
@@ -170,12 +221,23 @@ def refresh_table(
 ) -> str | None:
     """Rebuild the current table of ``<db>.src_<t>``; None if it is to be skipped.
 
-    A table copied as it is takes yesterday's partition when it has a key.
+    A table copied as it is takes yesterday's partition when it has a key; if
+    that holds no rows, a current table with rows is not replaced.
     """
-    rule = unique_dispatch(table, incremental, warehouse=split_name(table)[0])
-    tombstones = spark.table(rule.tombstone_table) if rule.tombstone_table else None
+    rule = checked_rule(spark, table, incremental)
     yesterday = day_string(day or dt.date.today(), back=1)
-    current = unique_table(spark.table(table), rule, tombstones, partition_key, yesterday, etl_time)
+    if rule.strategy == "snapshot" and partition_key and table_exists(spark, current_name(table)):
+        nothing = spark.table(table).where(F.col(partition_key) == yesterday).isEmpty()
+        if nothing and not spark.table(current_name(table)).isEmpty():
+            raise ValueError(f"{table} has no rows of {partition_key}={yesterday}; {current_name(table)} stays")
+    return _rebuild(spark, table, rule, partition_key, yesterday, etl_time)
+
+
+def _rebuild(
+    spark: SparkSession, table: str, rule: UniqueRule, partition_key: str | None, value: str | None, etl_time: Column | None
+) -> str | None:
+    tombstones = spark.table(rule.tombstone_table) if rule.tombstone_table else None
+    current = unique_table(spark.table(table), rule, tombstones, partition_key, value, etl_time)
     if current is None:
         return None
     sink.ctas_replace(current, current_name(table))
@@ -209,13 +271,18 @@ def import_registered(
     db_name: str,
     table_name: str,
     day: dt.date | None = None,
+    start: object = 0,
+    exact_decimals: bool = False,
 ) -> DataFrame:
     """Import one registered table from its database."""
     row = registered_task(connections, registry, connection_name, db_name, table_name)
     connection, task = Connection.from_row(row), ImportTask.from_row(row)
     described = source_catalogue(spark, connection, [task.table_name]).orderBy("ordinal").collect()
     columns = [(r["name"], r["type"]) for r in described]
-    return import_table(spark, task, jdbc_source(spark, connection, task), columns, day)
+    return import_table(
+        spark, task, jdbc_source(spark, connection, task), columns, day, start,
+        exact_decimals=exact_decimals, db_type=connection.db_type,
+    )
 
 
 def _filled(text: str | None) -> bool:

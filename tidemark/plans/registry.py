@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,9 +23,13 @@ from .unique import TOMBSTONE_TABLE, WAREHOUSE
 logger = logging.getLogger(__name__)
 
 ACTIVE = "1"
+# What names a registered table.
+KEY = ("connection_id", "db_name", "table_name")
+# Tables counted at the same time.
+COUNTERS = 4
 SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
 
-# Column layouts. Secrets have no column.
+# Column layouts of the registry tables. Secrets have no column.
 CONNECTIONS = (
     "connection_id string, connection_name string, db_type string, host string, default_db string, port int,"
     " jdbc_extend string, status string"
@@ -158,42 +163,49 @@ def record_run(spark: SparkSession, ledger_table: str, rows: Iterable[tuple]) ->
 
 
 def table_rowcounts(tables: dict[str, DataFrame | None]) -> DataFrame:
-    """Row count per table in one job; NULL for a table that could not be opened."""
+    """Row count per table; NULL for a table that cannot be opened or read.
 
-    def counted(name: str, df: DataFrame | None) -> DataFrame:
-        return df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("table_rows"))
-
-    opened = [counted(name, df) for name, df in tables.items() if df is not None]
-    lost = [(name, None) for name, df in tables.items() if df is None]
-    if not opened and not lost:
+    One scalar a table, several at a time, so that one failure loses no other count.
+    """
+    if not tables:
         raise ValueError("no table to count")
-    if lost:
-        spark = SparkSession.active()
-        opened.append(spark.createDataFrame(lost, "table_name string, table_rows bigint"))
-    return stack(opened)
+
+    def counted(name: str) -> tuple[str, int | None]:
+        try:
+            return name, None if tables[name] is None else tables[name].count()
+        except Exception as error:  # noqa: BLE001 - whatever the reader raises
+            logger.warning("%s cannot be counted: %s", name, error)
+            return name, None
+
+    with ThreadPoolExecutor(COUNTERS) as pool:
+        rows = list(pool.map(counted, tables))
+    return SparkSession.active().createDataFrame(rows, "table_name string, table_rows bigint")
 
 
 def source_rowcounts(spark: SparkSession, connection: Connection, tables: Iterable[str]) -> DataFrame:
-    """Row count per table of a database, which does the counting.
+    """Row count per table of a database, which does the counting, as :func:`store_rowcounts` takes it.
 
     NULL for a table that the database does not let us read.
     """
-    counts, lost = [], {}
+    opened = {}
     for table in tables:
         try:
-            counts.append(count_scan(spark, connection, table))
+            opened[table] = count_scan(spark, connection, table)
         except Exception as error:  # noqa: BLE001 - whatever the driver raises
             logger.warning("%s.%s cannot be counted: %s", connection.database, table, error)
-            lost[table] = None
-    return stack([*counts, table_rowcounts(lost)] if lost else counts)
+            opened[table] = None
 
+    def counted(table: str) -> tuple:
+        try:
+            rows = None if opened[table] is None else opened[table].first()["table_rows"]
+        except Exception as error:  # noqa: BLE001
+            logger.warning("%s.%s cannot be counted: %s", connection.database, table, error)
+            rows = None
+        return connection.connection_id, connection.database, table, rows
 
-def stack(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union of many frames, paired up so that the plan stays shallow."""
-    if len(frames) == 1:
-        return frames[0]
-    middle = len(frames) // 2
-    return stack(frames[:middle]).unionByName(stack(frames[middle:]))
+    with ThreadPoolExecutor(COUNTERS) as pool:
+        rows = list(pool.map(counted, opened))
+    return spark.createDataFrame(rows, "connection_id string, db_name string, table_name string, table_rows bigint")
 
 
 def open_tables(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFrame | None]:
@@ -210,11 +222,15 @@ def open_tables(spark: SparkSession, names: Iterable[str]) -> dict[str, DataFram
 def store_rowcounts(registry: DataFrame, counts: DataFrame, at: Column | None = None) -> DataFrame:
     """Registry with fresh row counts; a failed count keeps the old values.
 
-    ``counts`` holds ``db_name, table_name, table_rows``.
+    ``counts`` holds ``connection_id, db_name, table_name, table_rows``, a table
+    once; a table that is counted twice is an error.
     """
-    fresh = counts.where(F.col("table_rows").isNotNull()).withColumnRenamed("table_rows", "_rows")
+    fresh = counts.where(F.col("table_rows").isNotNull()).groupBy(*KEY)
+    fresh = fresh.agg(F.max("table_rows").alias("_rows"), F.count("*").alias("_times"))
+    twice = F.raise_error(F.concat(F.lit("counted twice: "), F.concat_ws(".", *KEY)))
+    fresh = fresh.select(*KEY, F.when(F.col("_times") > 1, twice.cast("bigint")).otherwise(F.col("_rows")).alias("_rows"))
     at = (F.current_timestamp() if at is None else at).cast("string")
-    joined = registry.join(fresh, ["db_name", "table_name"], "left")
+    joined = registry.join(fresh, list(KEY), "left")
     return joined.withColumns(
         {
             "rows_updatetime": F.when(F.col("_rows").isNotNull(), at).otherwise(F.col("rows_updatetime")),
@@ -229,8 +245,10 @@ def seed_registry(
     db_name: str | Column,
     target_db: str | Column | None = None,
     warehouse: str = WAREHOUSE,
+    exec_engine: str | None = None,
 ) -> DataFrame:
-    """Inactive registry rows for the tables of a source database."""
+    """Inactive registry rows for the tables of a source database; with their engine if one is named."""
+    engine = [] if exec_engine is None else [F.lit(exec_engine).alias("exec_engine")]
     db_name = F.lit(db_name)
     return tables.select(
         F.lit(connection_id).alias("connection_id"),
@@ -238,6 +256,7 @@ def seed_registry(
         "table_name",
         F.lit(warehouse).alias("hive_database"),
         concat_name(db_name if target_db is None else F.lit(target_db), F.col("table_name")).alias("hive_table"),
+        *engine,
         F.lit("1").alias("is_overwrite"),
         F.lit("0").alias("status"),
     )
@@ -246,10 +265,13 @@ def seed_registry(
 def register_tables(seeded: DataFrame, registry_table: str) -> None:
     """Append seeded rows to the registry table with the next free ids.
 
-    A table that is registered already is an error, and nothing is appended.
+    A table that is registered already is an error, and so is a source without
+    tables; nothing is appended then.
     """
+    if seeded.isEmpty():
+        raise ValueError("the source has no tables to register")
     registry = seeded.sparkSession.table(registry_table)
-    keys = ["connection_id", "db_name", "table_name"]
+    keys = list(KEY)
     again = seeded.select(*keys).join(registry, keys, "left_semi").limit(3).collect()
     if again:
         raise ValueError(f"registered already: {[tuple(row) for row in again]}")
@@ -263,21 +285,29 @@ def distinct_db_map(registry: DataFrame) -> DataFrame:
     return registry.select("db_name", database_part("hive_table").alias("hive_db_name")).distinct()
 
 
-def check_schemas(registry: DataFrame, source: DataFrame, target: DataFrame) -> DataFrame:
+def check_schemas(
+    registry: DataFrame, source: DataFrame, target: DataFrame, db_type: str = "", exact_decimals: bool = False
+) -> DataFrame:
     """Schema findings for all registered tables at once.
 
-    ``source`` is a column catalogue with ``db_name`` besides, ``target`` one
-    whose tables are named ``<hive_database>.<hive_table>``. Feed the result to
+    ``source`` is a column catalogue with ``connection_id`` and ``db_name``
+    besides, as ``source_catalogue`` delivers it, ``target`` one whose tables
+    are named ``<hive_database>.<hive_table>``. Feed the result to
     ``schema_drift_report``.
     """
     registered = registry.select(
+        F.col("connection_id").alias("_connection"),
         F.lower("db_name").alias("_db"),
         F.lower("table_name").alias("_table"),
         F.lower(F.concat_ws(".", "hive_database", "hive_table")).alias("_target"),
     )
-    same = (F.lower("db_name") == F.col("_db")) & (F.lower("table_name") == F.col("_table"))
+    same = (
+        (F.col("connection_id") == F.col("_connection"))
+        & (F.lower("db_name") == F.col("_db"))
+        & (F.lower("table_name") == F.col("_table"))
+    )
     renamed = source.join(registered, same).select(F.col("_target").alias("table_name"), "ordinal", "name", "type")
-    return schema_diff_import(renamed, target.withColumn("table_name", F.lower("table_name")))
+    return schema_diff_import(renamed, target.withColumn("table_name", F.lower("table_name")), db_type, exact_decimals)
 
 
 def warehouse_catalogue(spark: SparkSession, registry: DataFrame) -> DataFrame:

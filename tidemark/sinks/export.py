@@ -7,76 +7,103 @@ work on a warehouse catalog.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..functions.types import export_type
+from ..functions.types import DEFAULT_EXPORT_TYPE, export_type
 from ..sources.tables import describe_columns, list_source_tables, table_exists
 from . import tables
 
 
-def export_create_target(spark: SparkSession, df: DataFrame, target: str) -> None:
-    """Create a missing target from the warehouse schema."""
-    columns = [(name, export_type(kind)) for name, kind in df.dtypes]
+# Connections that an export opens unless told otherwise.
+DEFAULT_WRITERS = 8
+
+
+def export_create_target(
+    spark: SparkSession, df: DataFrame, target: str, text_type: str = DEFAULT_EXPORT_TYPE
+) -> None:
+    """Create a missing target from the warehouse schema; what has no type of its own becomes ``text_type``."""
+    columns = [(name, export_type(kind, text_type)) for name, kind in df.dtypes]
     tables.create_table(spark, target, columns, fmt=None)
 
 
 def create_target_like(spark: SparkSession, table: str, like: str) -> None:
-    """Create an empty table with the columns of another."""
+    """Create an empty table with the columns of another; keys and indexes are not copied."""
     tables.create_table(spark, table, describe_columns(spark, like), fmt=None)
 
 
-def jdbc_export_insert(df: DataFrame, target: str, writers: int | None = None, overwrite: bool = False) -> None:
+def jdbc_export_insert(
+    df: DataFrame, target: str, writers: int | None = DEFAULT_WRITERS, overwrite: bool = False
+) -> None:
     """Insert rows, matched by name, over at most ``writers`` connections.
 
-    Without a number every task writes; the JDBC catalog's ``numPartitions``
-    then protects the database. ``coalesce`` keeps the read and the insert in
-    the same tasks, without a shuffle.
+    With None every task writes; the JDBC catalog's ``numPartitions`` then
+    protects the database. ``coalesce`` keeps the read and the insert in the
+    same tasks, without a shuffle.
     """
-    rows = tables.match_columns(df, target)
-    if writers:
-        rows = rows.coalesce(writers)
-    rows.write.insertInto(target, overwrite=overwrite)
+    rows = df.coalesce(writers) if writers else df
+    if overwrite:
+        tables.overwrite_table(rows, target)
+    else:
+        tables.append_table(rows, target)
 
 
-def load_checked(df: DataFrame, target: str, writers: int | None = None, overwrite: bool = False) -> int:
-    """Insert and compare row counts, as a database insert is not atomic over tasks.
+def load_checked(
+    df: DataFrame, target: str, writers: int | None = DEFAULT_WRITERS, overwrite: bool = False, own: bool = False
+) -> int:
+    """Insert and return the rows sent, which are counted on their way.
 
-    A task that is lost after its commit runs again and inserts twice; that
-    shows up here as an error rather than as duplicate rows.
+    A database insert is not atomic over tasks: one that is lost after its
+    commit runs again and inserts twice. An ``own`` target, which no one else
+    writes, is counted afterwards, so that this shows up as an error.
     """
-    spark = df.sparkSession
-    before = 0 if overwrite else spark.table(target).count()
-    expected = df.count()
-    jdbc_export_insert(df, target, writers, overwrite)
-    loaded = spark.table(target).count() - before
-    if loaded != expected:
-        raise RuntimeError(f"{target}: {expected} rows sent, {loaded} rows arrived")
-    return loaded
+    sent = Observation()
+    jdbc_export_insert(df.observe(sent, F.count(F.lit(1)).alias("rows")), target, writers, overwrite)
+    rows = sent.get["rows"]
+    if own:
+        arrived = df.sparkSession.table(target).count()
+        if arrived != rows:
+            raise RuntimeError(f"{target}: {rows} rows sent, {arrived} rows arrived")
+    return rows
 
 
-def export_append(df: DataFrame, target: str, writers: int | None = None) -> int:
+def export_append(df: DataFrame, target: str, writers: int | None = DEFAULT_WRITERS) -> int:
     """Mode ``append``: insert only."""
     return load_checked(df, target, writers)
 
 
-def export_overwrite(df: DataFrame, target: str, writers: int | None = None) -> int:
+def export_overwrite(df: DataFrame, target: str, writers: int | None = DEFAULT_WRITERS) -> int:
     """Mode ``overwrite``: truncate, then insert; the definition stays."""
     return load_checked(df, target, writers, overwrite=True)
 
 
-def export_rename(df: DataFrame, target: str, today: str, yesterday: str, writers: int | None = None) -> int:
+def export_rename(
+    df: DataFrame,
+    target: str,
+    today: str,
+    yesterday: str,
+    writers: int | None = DEFAULT_WRITERS,
+    staging_like: str | None = None,
+) -> int:
     """Mode ``rename``: load ``t_<today>``, then swap, keeping ``t_<yesterday>_bak``.
 
+    The loaded table has the target's columns, but not its keys and indexes,
+    which a catalog does not show. A caller that needs them prepares the
+    staging table in the database and names it as ``staging_like``; it must be
+    ``t_<today>`` and empty.
+
     The two renames are separate statements. If the second fails, the first is
     undone and the error passed on.
     """
     spark = df.sparkSession
     staging, backup = f"{target}_{today}", f"{target}_{yesterday}_bak"
-    tables.drop_table(spark, staging)
-    create_target_like(spark, staging, target)
-    loaded = load_checked(df, staging, writers)
+    if staging_like is None:
+        tables.drop_table(spark, staging)
+        create_target_like(spark, staging, target)
+    elif staging_like != staging or not spark.table(staging).isEmpty():
+        raise ValueError(f"{staging_like} is not the empty table {staging}")
+    loaded = load_checked(df, staging, writers, own=True)
     tables.drop_table(spark, backup)
     tables.rename_table(spark, target, backup)
     try:
@@ -109,9 +136,9 @@ def backup_retention(spark: SparkSession, target: str, cutoff: str) -> list[str]
     return dropped
 
 
-def ensure_target(spark: SparkSession, df: DataFrame, target: str) -> bool:
+def ensure_target(spark: SparkSession, df: DataFrame, target: str, text_type: str = DEFAULT_EXPORT_TYPE) -> bool:
     """Create the target if missing; True when it was created."""
     if table_exists(spark, target):
         return False
-    export_create_target(spark, df, target)
+    export_create_target(spark, df, target, text_type)
     return True

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -102,8 +103,14 @@ def append_table(df: DataFrame, table: str) -> None:
 
 
 def overwrite_table(df: DataFrame, table: str) -> None:
-    """Replace all rows and keep the table's definition."""
-    match_columns(df, table).write.insertInto(table, overwrite=True)
+    """Replace all rows, of every partition, and keep the table's definition."""
+    spark = df.sparkSession
+    rows = match_columns(df, table)
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        with _session_setting(spark, "spark.sql.sources.partitionOverwriteMode", "static"):
+            rows.write.insertInto(table, overwrite=True)
+    else:
+        rows.write.insertInto(table, overwrite=True)
 
 
 def overwrite_partition(df: DataFrame, table: str, key: str, value: str, append: bool = False) -> None:
@@ -155,15 +162,20 @@ def rename_table(spark: SparkSession, table: str, new_name: str) -> None:
     spark.sql(f"ALTER TABLE {quoted(table)} RENAME TO {quoted('.'.join(target))}")
 
 
+# Two loads in threads of one session would see each other's setting.
+_SETTING = threading.RLock()
+
+
 @contextmanager
 def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     # insertInto takes this from the session only; a writer option is ignored.
-    before = spark.conf.get(key)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    with _SETTING:
+        before = spark.conf.get(key)
+        spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, before)
 
 
 def _partition(key: str, value: str) -> str:

@@ -31,10 +31,15 @@ LIST_COLUMNS = {
         " FROM information_schema.columns WHERE table_schema = {database}"
     ),
     "sqlserver": (
-        "SELECT table_name, ordinal_position AS ordinal, column_name AS name, data_type AS type"
-        " FROM information_schema.columns"
+        "SELECT table_name, ordinal_position AS ordinal, column_name AS name, CASE WHEN data_type IN"
+        " ('decimal', 'numeric') THEN CONCAT(data_type, '(', numeric_precision, ',', numeric_scale, ')')"
+        " ELSE data_type END AS type FROM information_schema.columns"
+    ),
+    "oracle": (
+        "SELECT table_name, column_id AS ordinal, column_name AS name, CASE WHEN data_type = 'NUMBER' AND"
+        " data_precision IS NOT NULL THEN data_type || '(' || data_precision || ',' || data_scale || ')'"
+        " ELSE data_type END AS type FROM user_tab_columns"
     ),
-    "oracle": "SELECT table_name, column_id AS ordinal, column_name AS name, data_type AS type FROM user_tab_columns",
 }
 FETCH_SIZE = 10_000
 # Readers of a scan that names a split column but no number of its own.
@@ -191,12 +196,13 @@ def list_source_tables(spark: SparkSession, connection: Connection) -> DataFrame
 
 
 def source_catalogue(spark: SparkSession, connection: Connection, tables: Sequence[str] = ()) -> DataFrame:
-    """Column catalogue of the whole database or of some tables, in one query."""
+    """Column catalogue of the whole database or of some tables, in one query, with ``connection_id`` and ``db_name``."""
     listed = jdbc_scan(spark, connection, query=catalogue_query(connection, LIST_COLUMNS))
     listed = listed.toDF("table_name", "ordinal", "name", "type")
     if tables:
         listed = listed.where(F.lower("table_name").isin(*[t.lower() for t in tables]))
-    return listed
+    own = {"connection_id": F.lit(connection.connection_id), "db_name": F.lit(connection.database)}
+    return listed.withColumns(own)
 
 
 def catalog_options(connection: Connection, catalog: str, writers: int | None = None) -> dict[str, str]:

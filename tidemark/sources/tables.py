@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.names import quoted
 
@@ -19,6 +20,13 @@ def partition_scan(df: DataFrame, key: str | Column, value: str) -> DataFrame:
     return df.where((F.col(key) if isinstance(key, str) else key) == value)
 
 
+def day_scan(df: DataFrame, column: str, day: str) -> DataFrame:
+    """Rows of one day, ``yyyyMMdd``, as a time range, which reaches the scan."""
+    start = F.to_timestamp(F.lit(day), "yyyyMMdd").cast("timestamp_ntz")
+    end = start + F.expr("INTERVAL 1 DAY")
+    return df.where((F.col(column) >= start) & (F.col(column) < end))
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """True if the table is there, in whichever catalog its name gives."""
     return spark.catalog.tableExists(table)
@@ -49,21 +57,30 @@ def filter_name_prefix(names: DataFrame, prefix: str, column: str = "table_name"
     return names.where(F.col(column).startswith(prefix))
 
 
+def first_mark(kind: str, start: object = 0) -> object:
+    """Where an empty target starts: ``start``, or 1970-01-01 for a date or time that names none."""
+    timed = re.match(r"(?i)(small)?(date|time)", kind.strip()) is not None
+    return "1970-01-01" if start == 0 and timed else start
+
+
 def high_water_mark(target: DataFrame, max_value: str, start: object = 0) -> DataFrame:
     """One row with the value of a stored aggregate expression as ``max_value``.
 
-    An empty target gives ``start`` instead of NULL; for a date or time the
-    default start is 1970-01-01.
+    An empty target gives :func:`first_mark` of the expression's type instead of NULL.
     """
     marked = target.agg(F.expr(max_value).alias("max_value"))
     kind = marked.schema["max_value"].dataType
-    if start == 0 and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        start = "1970-01-01"
+    start = first_mark(kind.simpleString(), start)
     return marked.select(F.coalesce("max_value", F.lit(start).cast(kind)).alias("max_value"))
 
 
-def read_mark(spark: SparkSession, table: str, max_value: str, start: object = 0) -> object:
-    """High-water mark as a driver-side scalar; ``start`` if the table is missing."""
+def read_mark(spark: SparkSession, table: str, max_value: str, start: object = 0, kind: str = "") -> object:
+    """High-water mark as a driver-side scalar.
+
+    A missing or empty table gives :func:`first_mark`. Stamps are stored as
+    text, so ``kind`` is the marked column's type at the source.
+    """
+    start = first_mark(kind, start)
     if not table_exists(spark, table):
         return start
     value = spark.table(table).agg(F.expr(max_value).alias("max_value")).first()["max_value"]
