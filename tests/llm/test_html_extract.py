@@ -64,6 +64,18 @@ def test_broken_and_odd_markup():
     assert names_a_side_part("main SideBar") and not names_a_side_part("has-sidebar article-header")
 
 
+def test_names_of_the_whole_layout_drop_nothing():
+    body = f"<p>{LONG} One.</p><p>{LONG} Two.</p>"
+    whole = [f"{LONG} One.", f"{LONG} Two."]
+    assert main_blocks(page(f'<div class="container sidebar-right">{body}</div>', f"<nav>{LONG}</nav>")) == whole
+    assert main_blocks(page(f'<div class="post comments-open">{body}</div>', f'<div class="ad-slot-2">{LONG}</div>')) == whole
+    assert main_blocks(page(f"<div>{body}</div>", "", f'<div class="side-bar">{LONG}</div><p class="adbox">{LONG}</p>')) == whole
+
+
+def test_a_page_of_side_parts_has_no_text():
+    assert main_blocks(page("", f"<nav>{LONG}</nav>", f'<div class="ad">{LONG}</div><footer>{LONG}</footer>')) == []
+
+
 def test_first_pass_decides_by_density_length_and_links():
     blocks, _ = read_blocks(f"<p>{LONG}</p><p>{'xyz ' * 80}</p><p><a>{LONG}</a></p><p>short of it</p><h2>{LONG}</h2>")
     assert [first_pass(block) for block in blocks] == [True, False, False, None, None]

@@ -46,9 +46,13 @@ DROPPED_NAMES = frozenset(
     navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidenav aside footer header masthead topbar toolbar cookie
     cookies consent gdpr notice notices newsletter subscribe subscription signup login modal popup overlay share
     sharing social comment comments commentlist respond replies disqus related recommended recommendations
-    widget pagination pager legal disclaimer""".split()
+    widget pagination pager legal disclaimer alert paywall toast notification""".split()
 )
-_NOT_DROPPED = re.compile(r"(?:^|[-_])(?:has|no|with|without)(?:[-_]|$)")
+# Parts of longer names that mean the same.
+_DROPPED_PART = re.compile(
+    r"sidebar|advert|breadcrumb|newsletter|cookie|masthead|navbar|(?:^|[-_])ads?(?:box|slot|unit|space|wrap|block|container)"
+)
+_NOT_DROPPED = re.compile(r"(?:^|[-_])(?:has|no|with|without)(?:[-_]|$)|[-_](?:open|closed|enabled|disabled)$")
 _OWN_HEADER = frozenset("article post entry content story page title".split())
 
 # What decides a block: code points, share of stop words, share of linked code points.
@@ -109,6 +113,7 @@ class _Reader:
     link_depth: int = 0
     opened: int = 0
     broken: bool = False
+    by_name: bool = True
 
     def flush(self) -> None:
         """End the current block."""
@@ -154,7 +159,7 @@ class _Reader:
             style = "".join(found.get("style", "").lower().split())
             if "display:none" in style or "hidden" in found or found.get("aria-hidden") == "true" or role in DROPPED_ROLES:
                 dropped = True
-            if name not in ("html", "body", "main") and names_a_side_part(
+            if self.by_name and name not in ("html", "body", "main") and names_a_side_part(
                 f"{found.get('class', '')} {found.get('id', '')}"
             ):
                 dropped = True
@@ -215,14 +220,16 @@ def names_a_side_part(names: str) -> bool:
             continue
         words = {word.lower() for word in _CAMEL.findall(name)} | set(re.split(r"[^a-z]+", name.lower()))
         side = words & DROPPED_NAMES
+        if _DROPPED_PART.search(name.lower()) or _DROPPED_PART.search(re.sub("[-_]", "", name.lower())):
+            return True
         if side and not (side == {"header"} and words & _OWN_HEADER):
             return True
     return False
 
 
-def read_blocks(page: str) -> tuple[list[Block], dict[int, str]]:
-    """The blocks of a page, and the marked articles they may lie in."""
-    reader, at = _Reader(), 0
+def read_blocks(page: str, by_name: bool = True) -> tuple[list[Block], dict[int, str]]:
+    """The blocks of a page, and the marked articles they may lie in; ``by_name``: class and id names count."""
+    reader, at = _Reader(by_name=by_name), 0
     while match := _MARKUP.search(page, at):
         reader.text(page[at : match.start()])
         at = match.end()
@@ -309,9 +316,14 @@ def second_pass(blocks: list[Block]) -> None:
         block.label = label
 
 
-def main_blocks(page: str | None) -> list[str]:
-    """The blocks of the article, in page order."""
-    blocks, scopes = read_blocks(page or "")
+def main_blocks(page: str | None, by_name: bool = True) -> list[str]:
+    """The blocks of the article, in page order.
+
+    If the names of containers leave nothing, they may mean the layout of the
+    whole page, and the page is read again without them; what is found so counts
+    if it is a text of several blocks.
+    """
+    blocks, scopes = read_blocks(page or "", by_name)
     for block in blocks:
         block.label = first_pass(block)
     second_pass(blocks)
@@ -324,6 +336,9 @@ def main_blocks(page: str | None) -> list[str]:
             break
     if not good:  # nothing decided for: what is neither linked nor a side part
         good = [block for block in blocks if not block.dropped and block.linked <= 1000 * LINKED]
+    if not good and by_name and any(block.dropped for block in blocks):
+        whole = main_blocks(page, False)
+        return whole if len(whole) > 1 and sum(map(len, whole)) >= PLAIN_LONG else []
     return [block.text for block in good]
 
 
