@@ -338,7 +338,7 @@ def main_blocks(page: str | None, by_name: bool = True) -> list[str]:
         good = [block for block in blocks if not block.dropped and block.linked <= 1000 * LINKED]
     if not good and by_name and any(block.dropped for block in blocks):
         whole = main_blocks(page, False)
-        return whole if len(whole) > 1 and sum(map(len, whole)) >= PLAIN_LONG else []
+        return whole if len(whole) > 1 and sum(map(len, whole)) >= 2 * LONG else []
     return [block.text for block in good]
 
 

@@ -16,8 +16,9 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -27,7 +28,7 @@ from .batches import extend, pick, texts_of
 
 SPACE = "▁"
 # Distinct segments that a worker remembers; the results do not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -180,12 +181,19 @@ class Encoder:
         # Normalised bytes of each piece: one for a byte piece, none for a control piece.
         self.lengths = [1 if kind == 6 else 0 if kind in (2, 3) else len(text) for text, kind in pieces]
         # The same in source bytes, where every boundary stands for one space.
-        self.sizes = [
+        self.sizes = np.array([
             size - 2 * text.count(SPACE.encode()) if size > 1 else size
             for size, (text, _) in zip(self.lengths, pieces, strict=True)
-        ]
+        ])
         self.boundary = self.model.piece_to_id(SPACE)
-        self.known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start an empty memory: a number for each segment, and all their ids and sizes in a row."""
+        self.known: dict[str, int] = {}
+        self.count, self.used = 0, 0
+        self.begin, self.length = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.ids, self.steps = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int64)
 
     def _whole(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of a text and the source byte at which each piece ends."""
@@ -201,12 +209,20 @@ class Encoder:
 
     def _learn(self, segments: list[str]) -> None:
         """Remember ids and piece sizes in source bytes of segments that begin with a boundary."""
-        if len(self.known) + len(segments) > REMEMBERED:
-            self.known.clear()
-        for segment, ids in zip(segments, self.model.encode([s[1:] for s in segments], num_threads=1), strict=True):
-            ids = ids or [self.boundary]
-            sizes = [self.sizes[k] for k in ids] if SPACE not in segment else self._project(segment, ids)
-            self.known[segment] = tuple(ids), tuple(sizes)
+        found = [ids or [self.boundary] for ids in self.model.encode([s[1:] for s in segments], num_threads=1)]
+        length = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(length.sum()))
+        ends = np.cumsum(length)
+        steps = self.sizes[ids]
+        for k, segment in enumerate(segments):
+            if SPACE in segment:  # a boundary sign of the text itself is not one byte
+                steps[ends[k] - length[k] : ends[k]] = self._project(segment, found[k])
+        self.begin = _put(self.begin, self.count, ends - length + self.used)
+        self.length = _put(self.length, self.count, length)
+        self.ids, self.steps = _put(self.ids, self.used, ids), _put(self.steps, self.used, steps)
+        self.known.update(zip(segments, range(self.count, self.count + len(segments)), strict=True))
+        self.count += len(segments)
+        self.used += len(ids)
 
     def _project(self, segment: str, ids: list[int]) -> list[int]:
         source, at = [], 0
@@ -224,27 +240,51 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[list[int], list[int]]:
         """Ids, and the source byte at which each piece ends; it begins where the one before ends."""
+        ids, ends = self.arrays(text)
+        return ids.tolist(), ends.tolist()
+
+    def arrays(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`encode` as arrays."""
         if not text:
-            return [], []
-        if not self.by_segment:
-            return self._whole(text)
-        first, *segments = self._SEGMENT.findall(text)
-        known = self.known
-        missing = [s for s in set(segments) if s not in known]
-        if len(missing) > REMEMBERED:
-            return self._whole(text)
-        if missing:
-            self._learn(missing)
-            if len(known) == len(missing):  # the memory was cleared meanwhile
-                self._learn([s for s in set(segments) if s not in known])
-        ids, ends = self._whole(first)
-        found = [known[s] for s in segments]
-        ids += chain.from_iterable([f[0] for f in found])
-        sizes = chain.from_iterable([f[1] for f in found])
-        ends += [*accumulate(sizes, initial=len(first.encode()))][1:]
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        whole = None
+        if self.by_segment:
+            first, *segments = self._SEGMENT.findall(text)
+            numbers = list(map(self.known.get, segments))
+            if None in numbers:
+                missing = {s for s, number in zip(segments, numbers, strict=True) if number is None}
+                if self.count + len(missing) > REMEMBERED:
+                    self._forget()
+                    missing = set(segments)
+                if len(missing) <= REMEMBERED:
+                    self._learn(list(missing))
+                    numbers = [self.known[s] for s in segments]
+                else:
+                    whole = text
+        else:
+            whole = text
+        ids, ends = self._whole(first if whole is None else whole)
+        ids, ends = np.array(ids, np.int32), np.array(ends, np.int64)
+        if whole is None and segments:
+            at = np.array(numbers)
+            length = self.length[at]
+            stops = np.cumsum(length)
+            pick = np.arange(stops[-1]) + np.repeat(self.begin[at] - (stops - length), length)
+            ids = np.concatenate([ids, self.ids[pick]])
+            ends = np.concatenate([ends, len(first.encode()) + np.cumsum(self.steps[pick])])
         return ids, ends
 
 
+def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """Write into an array that grows by doubling."""
+    if at + len(new) > len(held):
+        grown = np.zeros(max(2 * len(held), at + len(new)), held.dtype)
+        grown[:at] = held[:at]
+        held = grown
+    held[at : at + len(new)] = new
+    return held
+
+
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
     """The encoder of a model file, once per worker."""
@@ -261,8 +301,12 @@ def encode_texts(docs: DataFrame, model: str, text: str = "text", id_column: str
     """
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        found = [encoder(model).encode(value) for value in texts_of(batch, text)]
-        return [pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.int64()))]
+        found = [encoder(model).arrays(value) for value in texts_of(batch, text)]
+        offsets = pa.array(np.cumsum([0, *[len(ids) for ids, _ in found]]), pa.int32())
+        return [
+            pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(values)))
+            for values in zip(*found, strict=True)
+        ]
 
     fields = [StructField("ids", ArrayType(IntegerType(), False)), StructField("ends", ArrayType(LongType(), False))]
     return extend(pick(docs, id_column, text), fields, compute).drop(text)
@@ -272,7 +316,8 @@ def decode_ids(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     """Append ``decoded``, the text of each row's ids; null ids decode to the empty text."""
 
     def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-        rows = [row or [] for row in batch.column(ids).to_pylist()]
-        return [pa.array(encoder(model).model.decode(rows, num_threads=1) if rows else [], pa.string())]
+        column = batch.column(ids)
+        rows = [[] if row is None else row.to_numpy().tolist() for row in (cell.values for cell in column)]
+        return [pa.array(encoder(model).model.decode(rows, num_threads=1), pa.string())]
 
     return extend(encoded, [StructField("decoded", StringType())], compute)
