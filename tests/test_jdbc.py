@@ -5,7 +5,7 @@ import pytest
 from tidemark.plans import importing
 from tidemark.plans.importing import ImportTask, jdbc_source
 from tidemark.sources import jdbc
-from tidemark.sources.jdbc import Connection, Split
+from tidemark.sources.jdbc import spread_predicates, Connection, Split
 
 MYSQL = Connection("01", "MySQL", "db1", 3306, "pms", "useUnicode=true&characterEncoding=utf-8")
 SQLSERVER = Connection("02", "sqlserver", "db2", 1433, "PMS", "encrypt=false")
@@ -109,3 +109,13 @@ def test_catalog_options():
     assert options["spark.sql.catalog.clinic"].endswith("JDBCTableCatalog")
     assert options["spark.sql.catalog.clinic.url"] == MYSQL.url
     assert options["spark.sql.catalog.clinic.numPartitions"] == "6"
+
+
+@pytest.mark.parametrize("kind", ["mysql", "sqlserver", "oracle"])
+def test_spread_readers_share_all_rows(spark, kind):
+    """Skewed, negative and NULL keys each pass one filter."""
+    keys = spark.sql("SELECT explode(array(1, 1, 1, 2, -1, -7, 0, 1000003, NULL)) AS k")
+    filters = spread_predicates(Connection("1", kind, "h", 1, "d"), "k", 4)
+    assert len(filters) == 4
+    passed = keys.selectExpr("k", " + ".join(f"IF({f}, 1, 0)" for f in filters) + " AS n")
+    assert passed.where("n <> 1").count() == 0

@@ -17,7 +17,7 @@ from ..functions.types import cast_columns, described, parse_overrides, wanted_t
 from ..operators.projections import project_listed
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_import
 from ..sinks import tables as sink
-from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split, source_catalogue
+from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split, source_catalogue, spread_scan
 from ..sources.tables import describe_columns, fill_filter, read_mark, table_exists
 from .registry import filter_lookup, registry_scan
 from .unique import UniqueRule, current_name, is_incremental, unique_dispatch, unique_table
@@ -75,11 +75,14 @@ class ImportTask:
         return self.hive_partition_key if has_both else None
 
 
-def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -> Callable[[str], DataFrame]:
+def jdbc_source(
+    spark: SparkSession, connection: Connection, task: ImportTask, spread: bool = False
+) -> Callable[[str], DataFrame]:
     """Scan of the task's table or query for :func:`import_table`.
 
     With a split column the read runs in ``m`` ranges between the bounds that
-    the database reports. A query overrides table and filter. Several readers
+    the database reports, or, ``spread``, by the remainder of a whole-number
+    key, which holds for skewed ones too. A query overrides table and filter. Several readers
     without a split column are refused, as one task would read everything.
     """
     if (task.m or 1) > 1 and not _filled(task.split_by):
@@ -88,6 +91,8 @@ def jdbc_source(spark: SparkSession, connection: Connection, task: ImportTask) -
     def scan(where: str) -> DataFrame:
         what = {"table": task.table_name, "query": task.query_sql if _filled(task.query_sql) else None, "where": where}
         split = None
+        if _filled(task.split_by) and spread:
+            return spread_scan(spark, connection, task.split_by, task.m or DEFAULT_READERS, **what)
         if _filled(task.split_by):
             split = jdbc_split(spark, connection, task.split_by, task.m or DEFAULT_READERS, **what)
         return jdbc_scan(spark, connection, split=split, **what)

@@ -177,6 +177,32 @@ def jdbc_split(
     return None if bounds is None or bounds[0] is None else Split(column, bounds[0], bounds[1], readers)
 
 
+def spread_predicates(connection: Connection, column: str, readers: int) -> list[str]:
+    """One filter a reader by the remainder of a whole-number key, so that no dense range falls to one reader.
+
+    Every row passes exactly one, a NULL key the first. Each reader makes the
+    database look at the whole table, or at the index of the key.
+    """
+    rest = f"{column} % {readers}" if connection.dialect == "sqlserver" else f"MOD({column}, {readers})"
+    first = f"({rest} = 0 OR {column} IS NULL)"
+    return [first, *[f"ABS({rest}) = {k}" for k in range(1, readers)]]
+
+
+def spread_scan(
+    spark: SparkSession,
+    connection: Connection,
+    column: str,
+    readers: int,
+    table: str | None = None,
+    query: str | None = None,
+    where: str | None = None,
+) -> DataFrame:
+    """Read a table, a filtered table or a query by :func:`spread_predicates`."""
+    options = read_options(connection, table, query, where)
+    url, what = options.pop("url"), options.pop("dbtable")
+    return spark.read.jdbc(url, what, predicates=spread_predicates(connection, column, readers), properties=options)
+
+
 def count_scan(spark: SparkSession, connection: Connection, table: str) -> DataFrame:
     """One row ``table_name, table_rows``, counted by the database."""
     query = f"SELECT COUNT(1) AS table_rows FROM {relation(connection, table)}"
