@@ -1,4 +1,5 @@
 import re
+from itertools import islice
 
 import numpy as np
 import pytest
@@ -119,6 +120,18 @@ def test_words_in_pieces(monkeypatch):
     assert whole[1].tolist() == np.cumsum([0, 150, 0, 0, 1, 3, 2]).tolist() and whole[0][-1] == whole[0][-2] == whole[0][0]
 
 
+@pytest.mark.parametrize("text", ["a " + "x" * 3_000_000, " " + "x" * 3_000_000, "a \n b" + "\t " * 900_000 + "x" * 2_000_000 + " a", " " * 3_000_000])
+def test_a_word_longer_than_a_piece_after_white_space(text):
+    import tidemark.llm.words as words
+
+    pieces = list(islice(words._pieces(["b", text, "c"]), 20))
+    assert len(pieces) < 20 and pieces[-1][1][-1] == 2
+    hashes, offsets = word_hashes(["b", text, "c"])
+    parts = text.split()
+    assert offsets.tolist() == [0, 1, 1 + len(parts), 2 + len(parts)]
+    assert hashes[1:-1].tolist() == [int(word_hashes([part])[0][0]) for part in parts]
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(300, 400)] + [(5, 5), (400, 399), (2, 7), (2, 7)]
     found = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())

@@ -8,6 +8,7 @@ grow with the longest text.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,6 +18,7 @@ PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SEPARATORS = b" \t\n\x0b\x0c\r"
+_BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]*")
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(_SEPARATORS)] = True
@@ -76,6 +78,7 @@ def _pieces(texts: Iterable[str]) -> Iterator[tuple[bytes, list[int], list[int]]
             owners.append(index)
             begins.append(len(data))
             room = max(PIECE - len(data), 1)
+            at = _BLANK.match(raw, at).end()  # so that a cut lies behind at least one word
             if len(raw) - at <= room:
                 data += raw[at:]
                 data += b" "
