@@ -83,6 +83,24 @@ def test_snapshot_of_a_missing_partition_keeps_the_current_table(spark):
     assert spark.table(f"{db}.ods_erp_x").count() == 2
 
 
+def test_an_import_without_rows_keeps_the_current_table(spark):
+    db = scratch_database(spark, "norows")
+    rows = spark.createDataFrame([(1,), (2,)], "id int")
+    own = task(db, is_overwrite="1", hive_partition_key="part", hive_partition_value="$yesterday")
+    importing.import_table(spark, own, rows.where, day=DAY)
+    later = DAY + dt.timedelta(days=1)
+    with pytest.raises(ValueError, match="no rows of part=20240102"):
+        importing.import_table(spark, own, rows.limit(0).where, day=later)
+    with pytest.raises(ValueError, match="no rows"):
+        importing.refresh_current(spark, own, later)
+    assert spark.table(f"{db}.ods_erp_x").count() == 2
+    importing.import_table(spark, own, rows.where("id = 1").where, day=later)
+    assert spark.table(f"{db}.ods_erp_x").count() == 1
+    empty = task(db, "src_erp_y", is_overwrite="1", hive_partition_key="part", hive_partition_value="first")
+    importing.import_table(spark, empty, rows.limit(0).where, day=DAY)
+    assert spark.table(f"{db}.ods_erp_y").isEmpty()
+
+
 def test_one_rule_for_the_first_mark(spark):
     table = f"{scratch_database(spark, 'mark')}.t"
     spark.sql(f"CREATE TABLE {table} (at timestamp, n int, s string) USING orc")

@@ -166,7 +166,9 @@ def import_table(
     :func:`jdbc_source`, for any DataFrame its ``where``. The column descriptors
     default to the scan's schema. The warehouse types are decided once, from the
     descriptors, for the target, the rows and the comparison. What can be
-    refused is refused before the first write. Returns the schema findings.
+    refused is refused before the first write; that a snapshot's partition holds
+    no rows shows after it, and then a current table with rows is not replaced.
+    Returns the schema findings.
     """
     day = day or dt.date.today()
     overwrite = str(task.is_overwrite) == "1"
@@ -231,16 +233,17 @@ def refresh_table(
     """
     rule = checked_rule(spark, table, incremental)
     yesterday = day_string(day or dt.date.today(), back=1)
-    if rule.strategy == "snapshot" and partition_key and table_exists(spark, current_name(table)):
-        nothing = spark.table(table).where(F.col(partition_key) == yesterday).isEmpty()
-        if nothing and not spark.table(current_name(table)).isEmpty():
-            raise ValueError(f"{table} has no rows of {partition_key}={yesterday}; {current_name(table)} stays")
     return _rebuild(spark, table, rule, partition_key, yesterday, etl_time)
 
 
 def _rebuild(
     spark: SparkSession, table: str, rule: UniqueRule, partition_key: str | None, value: str | None, etl_time: Column | None
 ) -> str | None:
+    """Replace the current table; a snapshot of a partition without rows does not replace one that has some."""
+    if rule.strategy == "snapshot" and partition_key and table_exists(spark, current_name(table)):
+        nothing = spark.table(table).where(F.col(partition_key) == value).isEmpty()
+        if nothing and not spark.table(current_name(table)).isEmpty():
+            raise ValueError(f"{table} has no rows of {partition_key}={value}; {current_name(table)} stays")
     tombstones = spark.table(rule.tombstone_table) if rule.tombstone_table else None
     current = unique_table(spark.table(table), rule, tombstones, partition_key, value, etl_time)
     if current is None:
