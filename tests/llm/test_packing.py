@@ -3,7 +3,7 @@ from collections import defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.packing import pack, pack_documents, sized_documents
+from tidemark.llm.packing import clustered_documents, pack, pack_documents, sized_documents
 
 
 def brute(sizes, sources, clusters, capacity):
@@ -73,3 +73,24 @@ def test_pieces_without_a_cluster_stay_apart_and_empty_tables(spark):
     check(found, 10, {1: 25, 2: 0})
     assert pack_documents(items_.limit(0)).count() == 0
     assert pack_documents(items_.unionAll(items_.where("doc_id = 2")), capacity=10).count() == 5
+
+
+def test_near_copies_lie_in_different_bins(spark):
+    base = [f"w{k}" for k in range(80)]
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (0, 79)]
+    other = " ".join(f"v{k}" for k in range(80))
+    rows = [(1, "a", " ".join(base)), (2, "b", near[0]), (3, "c", near[1].upper()), (None, "d", near[0]), (5, "e", other)]
+    rows += [(6, "f", " ".join(base)), (6, "g", other + " x"), (7, "h", ""), (8, None, None), (None, "i", "ÉÀ é"), (9, "j", "éà  É")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").selectExpr("*", "'x' AS known", "1 AS cluster")
+    items_ = clustered_documents(docs)
+    cluster = {(r.doc_id, r.source): r.cluster for r in items_.collect()}
+    assert len(cluster) == len(rows) == items_.count()
+    # 6 is the id of a copy of 1 and of a near copy of 5, so these clusters are one.
+    assert len({cluster[k] for k in [(1, "a"), (2, "b"), (3, "c"), (None, "d"), (5, "e"), (6, "f"), (6, "g")]}) == 1
+    assert cluster[7, "h"] is cluster[8, None] is None
+    assert cluster[None, "i"] == cluster[9, "j"] not in (None, cluster[1, "a"])
+    found = pack_documents(items_, capacity=1000).collect()
+    assert len({r.bin_id for r in found if r.n_words >= 80}) == 7
+    plain = clustered_documents(docs.where("doc_id < 6"))
+    assert len({r.cluster for r in plain.collect()}) == 2
+    assert clustered_documents(docs.limit(0)).count() == 0

@@ -15,9 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import components
+from .jaccard_join import jaccard_join
+
 CAPACITY = 2048
 # Pieces in one shard: packing one is a task's work, and the loss from half-full bins is a few bins in each.
 SHARD = 4096
+# Near copies share four fifths of their five-word shingles.
+PERCENT, WIDTH = 80, 5
 
 RESULT = "bin_id long, doc_id long, piece long, start_word long, n_words long, source string, cluster long"
 _ARROW = pa.schema([
@@ -107,17 +112,50 @@ def pack_documents(
     return dealt.groupBy("shard").applyInArrow(place, RESULT)
 
 
-def sized_documents(docs: DataFrame, text: str = "text", id_column: str = "doc_id", source: str = "source") -> DataFrame:
+def sized_documents(
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", source: str = "source", *keep: str
+) -> DataFrame:
     """Items of a table of texts: words between white space, and equal word sequences as one cluster.
 
-    Null and empty texts have no words and no cluster.
+    Null and empty texts have no words and no cluster. Columns named in ``keep`` stay.
     """
     words = F.filter(F.split(F.lower(F.col(f"`{text}`")), "[\\x20\\x09-\\x0D]+"), lambda word: word != "")
     return docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), words.alias("words")
+        F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), words.alias("words"), *keep
     ).select(
         "doc_id",
         "source",
         F.coalesce(F.size("words"), F.lit(0)).alias("n_words"),
         F.when(F.size("words") > 0, F.xxhash64("words")).alias("cluster"),
+        *keep,
     )
+
+
+def clustered_documents(
+    docs: DataFrame,
+    percent: int = PERCENT,
+    width: int = WIDTH,
+    text: str = "text",
+    id_column: str = "doc_id",
+    source: str = "source",
+) -> DataFrame:
+    """Items of a table of texts whose clusters are the components of near copies.
+
+    Near copies share ``percent`` hundredths of their ``width``-word shingles of
+    lower-case words; equal word sequences always do. A row with a null id is
+    known by its text's hash instead, so it is in a cluster as well. If rows of
+    one id are in several clusters, these are one. Null and empty texts have no
+    words and no cluster. Only ids and sizes are joined to the clusters.
+    """
+    low = F.lower(F.col(f"`{text}`"))
+    known = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.xxhash64(low))
+    groups = jaccard_join(docs.select(known.alias("known"), low.alias("text")), percent, width, "known")
+    groups = groups.where("n_shingles > 0").select("doc_id", "component_id").distinct()
+    groups = groups.withColumnsRenamed({"doc_id": "known", "component_id": "group"}).checkpoint()
+    first = groups.groupBy("known").agg(F.min("group").alias("first"), F.max("group").alias("last"))
+    several = groups.join(first.where("first < last"), "known").where("group <> first")
+    roots = components(several.select(F.col("group").alias("a"), F.col("first").alias("b"))).toDF("first", "root")
+    clusters = first.join(roots, "first", "left").select("known", F.coalesce("root", "first").alias("near"))
+    sized = sized_documents(docs.withColumn("_known", known), text, id_column, source, "_known")
+    items = sized.join(clusters, sized["_known"] == clusters["known"], "left")
+    return items.select("doc_id", "source", "n_words", F.when(F.col("n_words") > 0, F.col("near")).alias("cluster")).checkpoint()

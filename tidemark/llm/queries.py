@@ -15,7 +15,7 @@ from .fingerprints import fingerprint_chain
 from .html_extract import extract_text
 from .jaccard_join import jaccard_join
 from .licenses import license_sql, scan_licenses
-from .packing import pack_documents, sized_documents
+from .packing import clustered_documents, pack_documents
 from .pieces import decode_ids, encode_texts
 from .secrets import scan_secrets
 
@@ -107,5 +107,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in a bin."""
-    return pack_documents(sized_documents(table(spark, sf_dir, "documents")))
+    """Every document in a bin, near copies in different ones."""
+    return pack_documents(clustered_documents(table(spark, sf_dir, "documents")))
