@@ -49,6 +49,16 @@ def test_constants_and_joined_literals_are_followed():
     assert named('x = "aB3dE6gH9jK2lM5"\ny = x\nsecret = y') == ["aB3dE6gH9jK2lM5"]
 
 
+def test_constants_of_many_literals_are_followed_to_the_last():
+    parts = [f"aB{k}dE" for k in range(200)]
+    code = "K = " + " + ".join(f'"{part}"' for part in parts) + "\nL = K\npassword = L\nsecret = K"
+    assert named(code) == parts
+    code = 'K0 = "aB0dE"\n' + "".join(f'K{k} = K{k - 1} + "aB{k}dE"\n' for k in range(1, 200)) + "password = K199"
+    assert named(code) == parts
+    code = 'K0 = "aB0dE"\nL0 = "aB1dE"\n' + "".join(f"K{k} = K{k - 1} + K{k - 1}\n" for k in range(1, 200)) + "password = K199 + L0"
+    assert named(code) == parts[:2]
+
+
 def test_harmless_names_and_literals():
     for text in (
         'name = "aB3dE6gH9jK2lM5"', 'password = "changeme"', 'token_count: 1234567', 'secret = "${SECRET_VALUE}"',

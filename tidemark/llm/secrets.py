@@ -43,6 +43,8 @@ NAME_AGAINST = {"public": 0.6, "id": 0.3, "name": 0.5, "count": 0.8, "max": 0.5,
                 "file": 0.4, "path": 0.4, "type": 0.6, "primary": 0.6, "foreign": 0.6, "index": 0.6}
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "dummy", "xxxx", "todo", "none", "null", "true", "false")
 THRESHOLD = 1.0
+# Literals of a value that count as often as they stand in it; it only bounds the text that is scored.
+REPEATED = 64
 
 # One pair: a name, an optional closing quote, an operator; the value follows.
 _TARGET = re.compile(r"""(["']?)([A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)(?:\[["']([\w.\-]+)["']\])?\1[ \t]*(=>|:=|==|[:=])[ \t]*""")
@@ -96,18 +98,15 @@ def literal_score(value: str) -> float:
     return 0.15 * kinds + (0.3 if entropy >= 3 else 0.0) + (0.2 if len(value) >= 16 else 0.0)
 
 
-def _value(text: str, at: int, constants: dict[str, list[tuple[int, int]]]) -> tuple[list[tuple[int, int]], int, str]:
-    """The literals a value is made of, where it ends, and its text; constants are followed."""
-    spans: list[tuple[int, int]] = []
-    value, end = [], at
+def _value(text: str, at: int, constants: dict[str, list]) -> tuple[list, int]:
+    """The parts a value is made of, and where it ends; a part is a literal's span or a constant's own parts."""
+    parts: list = []
+    end = at
     while True:
         if (match := _QUOTED.match(text, at)) and match.lastindex:
-            spans.append(match.span(match.lastindex))
-            value.append(match[match.lastindex])
+            parts.append(match.span(match.lastindex))
         elif (match := _NAME.match(text, at)) and match[0] in constants:
-            known = constants[match[0]]
-            spans += known
-            value += [text[start:stop] for start, stop in known]
+            parts.append(constants[match[0]])
         else:
             break
         end = match.end()
@@ -115,16 +114,35 @@ def _value(text: str, at: int, constants: dict[str, list[tuple[int, int]]]) -> t
         if "+" not in joined[0] and ".." not in joined[0] and "&" not in joined[0] and not _QUOTED.match(text, joined.end()):
             break
         at = joined.end()
-    if not spans and (match := _BARE.match(text, at)):
-        spans, value, end = [match.span()], [match[0]], match.end()
-    return spans, end, "".join(value)
+    if not parts and (match := _BARE.match(text, at)):
+        parts, end = [match.span()], match.end()
+    return parts, end
+
+
+def _literals(parts: list) -> list[tuple[int, int]]:
+    """Every literal of a value in order; after the first ``REPEATED`` each one is told once."""
+    spans: list[tuple[int, int]] = []
+    seen, entered, stack = set(), set(), [iter(parts)]
+    while stack:
+        part = next(stack[-1], None)
+        if part is None:
+            stack.pop()
+        elif isinstance(part, list):
+            if len(spans) < REPEATED or id(part) not in entered:
+                entered.add(id(part))
+                stack.append(iter(part))
+        elif len(spans) < REPEATED or part not in seen:
+            seen.add(part)
+            spans.append(part)
+    return spans
 
 
 def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, str, int]]:
-    """Literals that reach a sensitive target, directly or through constants."""
+    """Literals that reach a sensitive target, directly or through constants, however many there are."""
     if "=" not in text and ":" not in text:
         return []
-    constants: dict[str, list[tuple[int, int]]] = {}
+    constants: dict[str, list] = {}
+    tried: dict[int, tuple[list, float]] = {}
     found = set()
     at = 0
     while match := _TARGET.search(text, at):
@@ -132,16 +150,21 @@ def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, str,
         if match[4] == "==":
             continue
         name = f"{match[2]}.{match[3]}" if match[3] else match[2]
-        spans, end, value = _value(text, match.end(), constants)
-        if not spans:
+        parts, end = _value(text, match.end(), constants)
+        if not parts:
             continue
-        if not _BARE.match(text, match.end()) or len(spans) > 1 or _QUOTED.match(text, match.end()):
+        if len(parts) == 1 and isinstance(parts[0], list):
+            parts = parts[0]
+        if not _BARE.match(text, match.end()) or len(parts) > 1 or _QUOTED.match(text, match.end()):
             at = max(at, end)
         if text[match.end() : match.end() + 1] in "\"'`" or _NAME.match(text, match.end()):
-            constants[match[2]] = spans[:64]
+            constants[match[2]] = parts
         weight = name_score(name)
-        if weight > 0 and weight + literal_score(value) >= threshold:
-            found.update((start, "named", stop) for start, stop in spans if stop > start)
+        if weight > 0 and (id(parts) not in tried or weight > tried[id(parts)][1]):
+            tried[id(parts)] = parts, weight
+            spans = _literals(parts)
+            if weight + literal_score("".join(text[start:stop] for start, stop in spans)) >= threshold:
+                found.update((start, "named", stop) for start, stop in spans if stop > start)
     return list(found)
 
 
