@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import quality, toxicity
 from .batches import table
+from .centroids import assign, centroid_sql, fit_centroids
 from .embedding_dedup import near_duplicates
 from .fingerprints import fingerprint_chain
 from .html_extract import extract_text
@@ -18,6 +19,7 @@ from .licenses import license_sql, scan_licenses
 from .packing import clustered_documents, pack_documents
 from .pieces import decode_ids, encode_texts
 from .secrets import scan_secrets
+from .whitening import fit_whitening, whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,3 +111,28 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in a bin, near copies in different ones."""
     return pack_documents(clustered_documents(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds, with distances and inertias."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return assign(vectors, fit_centroids(vectors))
+
+
+SQL["op11_centroid_clustering"] = centroid_sql()
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector, a row each."""
+    vectors = table(spark, sf_dir, "embeddings")
+    found = whiten(vectors, fit_whitening(vectors))
+    rows = found.select(
+        "vec_id", "n", F.expr("try_cast(deviation AS long)").alias("deviation"), "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of"),
+    )
+    return rows.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation",
+        "of.whitened", "of.explained", "identity_error",
+    )
