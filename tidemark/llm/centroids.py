@@ -214,10 +214,10 @@ def centroid_sql(count: int = CENTROIDS, rounds: int = ROUNDS, seed: str = SEED)
         if n < rounds:
             steps.append(f"""c{n + 1} AS MATERIALIZED (
   SELECT c.k, coalesce(m.x, c.x) AS x FROM c{n} c LEFT JOIN (
-    SELECT k, list(value ORDER BY at) AS x FROM (
-      SELECT k, at, CAST((sum(value) - ((sum(value) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS value FROM (
-        SELECT a.k, unnest(v.x) AS value, unnest(range({DIMENSION})) AS at FROM a{n} a JOIN kept v USING (r))
-      GROUP BY k, at)
+    SELECT k, list(value ORDER BY place) AS x FROM (
+      SELECT k, place, CAST((sum(value) - ((sum(value) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS value FROM (
+        SELECT a.k, unnest(v.x) AS value, unnest(range({DIMENSION})) AS place FROM a{n} a JOIN kept v USING (r))
+      GROUP BY k, place)
     GROUP BY k) m USING (k)
 )""")
     return f"""
