@@ -195,9 +195,9 @@ def centroid_sql(count: int = CENTROIDS, rounds: int = ROUNDS, seed: str = SEED)
     """The same clusters in SQL: every distance in full, one pair of steps for each round."""
     steps = [
         f"""kept AS MATERIALIZED (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, c -> CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT) FOR c IN embedding] AS x
   FROM embeddings
-  WHERE len(embedding) = {DIMENSION} AND len(list_filter(embedding, c -> c IS NOT NULL AND isfinite(c))) = {DIMENSION}
+  WHERE len(embedding) = {DIMENSION} AND len([c FOR c IN embedding IF c IS NOT NULL AND isfinite(c)]) = {DIMENSION}
 )""",
         f"""c0 AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY h) - 1 AS k, x FROM (
@@ -207,7 +207,7 @@ def centroid_sql(count: int = CENTROIDS, rounds: int = ROUNDS, seed: str = SEED)
     for n in range(rounds + 1):
         steps.append(f"""a{n} AS MATERIALIZED (
   SELECT r, min_by(k, (distance, k)) AS k, min(distance) AS distance FROM (
-    SELECT v.r, c.k, CAST(list_sum(list_transform(list_zip(v.x, c.x), p -> (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+    SELECT v.r, c.k, CAST(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.x, c.x)]) AS BIGINT) AS distance
     FROM kept v CROSS JOIN c{n} c)
   GROUP BY r
 )""")

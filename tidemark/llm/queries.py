@@ -18,6 +18,7 @@ from .jaccard_join import jaccard_join
 from .licenses import license_sql, scan_licenses
 from .packing import clustered_documents, pack_documents
 from .pieces import decode_ids, encode_texts
+from .repeats import remove_repeats, repeats_sql
 from .secrets import scan_secrets
 from .whitening import fit_whitening, whiten
 
@@ -123,6 +124,20 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 SQL["op11_centroid_clustering"] = centroid_sql()
 
 
+@_query
+def op12_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 bytes or more that earlier documents have."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+SQL["op12_suffix_array_dedup"] = repeats_sql()
+
+
 @_query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whitened components of every vector, a row each."""
