@@ -27,7 +27,7 @@ ACTIVE = "1"
 KEY = ("connection_id", "db_name", "table_name")
 # Tables counted at the same time.
 COUNTERS = 4
-SUCCEEDED, FAILED = "SUCCEEDED", "FAILED"
+SUCCEEDED, FAILED, CANCELLED = "SUCCEEDED", "FAILED", "CANCELLED"
 
 # Column layouts of the registry tables. Secrets have no column.
 CONNECTIONS = (
