@@ -56,12 +56,12 @@ def _doubled(rank: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
         if not len(some):
             break
         # No suffix is the beginning of another, since ends have symbols of their own: members of a group end together.
-        ahead = rank[some + reach]
-        order = np.lexsort([ahead, rank[some]])
-        of, then = rank[some][order], ahead[order]
+        keys = rank[some] * len(rank) + rank[some + reach]
+        order = np.argsort(keys)
+        keys, of = keys[order], rank[some[order]]
         at = np.arange(len(some))
         fresh_group = np.concatenate([[True], of[1:] != of[:-1]])
-        fresh = fresh_group | np.concatenate([[True], then[1:] != then[:-1]])
+        fresh = np.concatenate([[True], keys[1:] != keys[:-1]])
         group, start = np.maximum.accumulate(np.where(fresh_group, at, 0)), np.maximum.accumulate(np.where(fresh, at, 0))
         rank = rank.copy()
         rank[some[order]] = of + start - group
@@ -73,8 +73,9 @@ def _doubled(rank: np.ndarray, ends: np.ndarray, reach: int) -> np.ndarray:
 
 def _ranked(keys: np.ndarray) -> np.ndarray:
     """Place of each key's first equal in sorted order."""
-    order = np.argsort(keys, kind="stable")
-    fresh = np.concatenate([[True], keys[order[1:]] != keys[order[:-1]]])
+    order = np.argsort(keys)
+    ordered = keys[order]
+    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
     rank = np.empty(len(keys), np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), 0))
     return rank
@@ -130,7 +131,7 @@ class Corpus:
         phrase = np.searchsorted(self.begins, places, "right") - 1
         rest = self.rest_rank[self.phrase_starts[self.parse[phrase]] + places - self.begins[phrase]]
         follows = np.where(self.last[phrase], 0, 1 + self.parse_rank[np.minimum(phrase + 1, len(self.parse_rank) - 1)])
-        return places[np.argsort(rest * (len(self.begins) + 1) + follows, kind="stable")]
+        return places[np.argsort(rest * (len(self.begins) + 1) + follows)]
 
     def repeats(self, ordered: np.ndarray, depth: int) -> np.ndarray:
         """For places in suffix order: whether the ``depth`` symbols there equal those of the place before."""

@@ -231,13 +231,13 @@ def _shared(prints: DataFrame) -> DataFrame:
 def _told(chunk: Chunk, runs: tuple, bits: list[dict], buckets: int) -> np.ndarray:
     """Whether each phrase's trigger is in two documents or in two chunks."""
     trigger, owner = runs[0], chunk.ids[runs[3]]
-    order = np.lexsort([owner, trigger])
-    of, doc = trigger[order], owner[order]
-    group = np.cumsum(np.concatenate([[True], of[1:] != of[:-1]])) - 1 if len(of) else np.zeros(0, np.int64)
-    twice = np.zeros(len(of) + 1, bool)
-    twice[group[1:][(of[1:] == of[:-1]) & (doc[1:] != doc[:-1])]] = True
+    order = np.argsort(trigger)
+    _, begins = _split(trigger[order])
     told = np.zeros(len(trigger), bool)
-    told[order] = twice[group]
+    if len(trigger):
+        docs, sizes = owner[order], np.diff(begins)
+        least, largest = np.minimum.reduceat(docs, begins[:-1]), np.maximum.reduceat(docs, begins[:-1])
+        told[order] = np.repeat(least < largest, sizes)
     if bits:
         places = _places(trigger, buckets)
         known = np.unique(places)
@@ -252,7 +252,7 @@ def _told(chunk: Chunk, runs: tuple, bits: list[dict], buckets: int) -> np.ndarr
 
 
 def _phrases(chunks: DataFrame, shared: DataFrame, buckets: int, depth: int) -> DataFrame:
-    """bucket, chunk and the chunk's phrases there: documents, places, numbers of strings, bytes."""
+    """bucket, chunk and the chunk's phrases there: documents, places, tags of triggers, numbers of strings, bytes."""
     bits = shared.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
     joined = chunks.join(bits, "chunk", "left")
 
@@ -264,6 +264,7 @@ def _phrases(chunks: DataFrame, shared: DataFrame, buckets: int, depth: int) ->
             trigger, start, count, owner = (column[told] for column in runs)
             order = np.lexsort([trigger, trigger % np.uint64(buckets)])
             start, count, owner = start[order], count[order], owner[order]
+            tags = (trigger[order] >> np.uint64(48)).astype(np.uint16)
             found, begins = _split((trigger[order] % np.uint64(buckets)).astype(np.int32))
             sizes = count + depth - 1
             ends = np.cumsum(sizes)
@@ -274,7 +275,8 @@ def _phrases(chunks: DataFrame, shared: DataFrame, buckets: int, depth: int) ->
                     low = ends[a] - sizes[a]
                     place = np.arange(low, ends[b - 1]) + np.repeat(start[a:b] - ends[a:b] + sizes[a:b], sizes[a:b])
                     packed.append(_pack(
-                        np.array([b - a]), chunk.ids[owner[a:b]], start[a:b], count[a:b].astype(np.uint8), chunk.text[place]
+                        np.array([b - a]), chunk.ids[owner[a:b]], start[a:b], np.diff(tags[a:b], prepend=np.uint16(0)),
+                        count[a:b].astype(np.uint8), chunk.text[place],
                     ))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(numbers), pa.array(np.full(len(numbers), chunk.number)), pa.array(packed, pa.binary())],
@@ -306,15 +308,16 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, numbers, packed in _by_bucket(batches, "chunk", "phrases"):
             codes: dict[bytes, int] = {}
-            ids, starts, counts, sizes, code = [], [], [], [], []
+            ids, starts, tags, counts, sizes, code = [], [], [], [], [], []
             for data in packed:
                 raw = _unpack(data)
                 n = int.from_bytes(raw[:8], "little")
                 ids.append(np.frombuffer(raw, np.int64, n, 8))
                 starts.append(np.frombuffer(raw, np.int64, n, 8 + 8 * n))
-                counts.append(np.frombuffer(raw, np.uint8, n, 8 + 16 * n).astype(np.int64))
-                ends = (8 + 17 * n + np.cumsum(counts[-1] + depth - 1)).tolist()
-                code += [codes.setdefault(raw[a:b], len(codes)) for a, b in zip([8 + 17 * n, *ends[:-1]], ends, strict=True)]
+                tags.append(np.cumsum(np.frombuffer(raw, np.uint16, n, 8 + 16 * n), dtype=np.uint16))
+                counts.append(np.frombuffer(raw, np.uint8, n, 8 + 18 * n).astype(np.int64))
+                ends = (8 + 19 * n + np.cumsum(counts[-1] + depth - 1)).tolist()
+                code += [codes.setdefault(raw[a:b], len(codes)) for a, b in zip([8 + 19 * n, *ends[:-1]], ends, strict=True)]
                 sizes.append(n)
             ids, starts, counts = np.concatenate(ids), np.concatenate(starts), np.concatenate(counts)
             code = np.array(code)
@@ -322,7 +325,13 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
             np.minimum.at(least, code, ids)
             lengths = np.zeros(len(codes), np.int64)
             lengths[code] = counts
-            firsts = first_documents(list(codes), lengths, least, depth)
+            tag = np.zeros(len(codes), np.uint16)
+            tag[code] = np.concatenate(tags)
+            # A phrase whose trigger no other one has shares no string with another.
+            several = np.bincount(tag, minlength=1 << 16)[tag] > 1
+            firsts = np.repeat(least, lengths)
+            some = [phrase for phrase, open_ in zip(codes, several.tolist(), strict=True) if open_]
+            firsts[np.repeat(several, lengths)] = first_documents(some, lengths[several], least[several], depth)
             # Every string of every phrase of the bucket, by its distinct phrase.
             step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             later = firsts[np.repeat((np.cumsum(lengths) - lengths)[code], counts) + step] < np.repeat(ids, counts)
