@@ -1,6 +1,7 @@
 """Current tables merged on reading."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ def rows_of(df):
     return sorted(map(str, df.collect()))
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_equals_a_rebuild(spark, seed):
     """NULL stamps and keys, ties, late rows and deletes, revived keys, repeated increments."""
     rng = random.Random(seed)
@@ -27,7 +28,7 @@ def test_equals_a_rebuild(spark, seed):
     rows = [(rng.randint(1, 25), rng.choice([1, 2, None]), stamp(), k % 7) for k in range(160)]
     dead = [(rng.choice([*range(1, 26), None]), rng.choice([1, 2, None]), stamp(), rng.choice("xXy")) for _ in range(50)]
     ties = None if seed else ["n"]
-    cuts = sorted(rng.sample(range(161), 8))
+    cuts = sorted(rng.sample(range(161), 5))
     runs.create_runs(spark, table, spark.createDataFrame([], LOG), KEYS, "at", ties)
     for low, high in zip([0, *cuts], [*cuts, 160]):
         from_dead, to_dead = low * 50 // 160, high * 50 // 160
@@ -39,7 +40,7 @@ def test_equals_a_rebuild(spark, seed):
             spark.createDataFrame(rows[:high], LOG), spark.createDataFrame(dead[:to_dead], DELETES), KEYS, "at", "x", ties, F.lit(0)
         )
         assert rows_of(runs.current_rows(spark, table, F.lit(0))) == rows_of(whole)
-    assert len(runs.live_runs(runs.stored_runs(spark, table))) < 9
+    assert len(runs.live_runs(runs.stored_runs(spark, table))) < 6
 
 
 def sizes(spark, table):
@@ -52,7 +53,7 @@ def test_writes_in_proportion_to_the_increment(spark):
     """Random keys all over a table of two sizes: the same bytes are written for the same increments."""
     written = {}
     log = spark.range(100_000).select(
-        F.col("id").cast("int"), F.lit(1).alias("orgid"), F.lit("b").alias("at"), F.xxhash64("id").cast("int").alias("n")
+        F.col("id").cast("int"), F.lit(1).alias("orgid"), F.lit("b").alias("at"), F.hash("id").alias("n")
     )
     for scale in (1, 10):
         table = f"{scratch_database(spark, 'bytes')}.ods_x"
@@ -75,7 +76,7 @@ def test_which_runs_merge():
     assert runs.run_to_merge([100, 5, 5, 5], 4) == 4
     assert runs.run_to_merge([100, 5, 5, 5, 5], 4) == 1
     assert runs.run_to_merge([100, 20, 20, 20, 5, 5, 5, 17], 4) == 1  # smaller ones between go with them
-    assert runs.run_to_merge([1000, 900, 800, 700], 4) == 4 and runs.run_to_merge([1000, 900, 800, 400], 4) == 0
+    assert runs.run_to_merge([5000, 900, 800, 700], 4) == 4 and runs.run_to_merge([1000, 900, 800, 400], 4) == 0
     live, rewritten = [10**6], 0
     for _ in range(2000):
         live.append(100)
@@ -110,6 +111,7 @@ def test_reading_takes_live_runs_only(spark):
         found = runs.refresh_runs(spark, table, first.withColumn("n", F.lit(k)).withColumn("at", F.lit(f"a{k}")), None, KEYS, "at")
     assert [r["n"] for r in found.collect()] == [3]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [(first_run" in plan and "WindowGroupLimit" in plan
+    filters = re.findall(r"PartitionFilters: \[(.*?)\], Push", plan)
+    assert filters and all("first_run" in f and "last_run" in f for f in filters) and "WindowGroupLimit" in plan
     with pytest.raises(ValueError, match="own columns"):
         runs.create_runs(spark, table + "2", first.withColumnRenamed("n", runs.FIRST), KEYS, "at")

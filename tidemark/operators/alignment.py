@@ -32,7 +32,7 @@ def rising_chain(pairs: Column) -> Column:
 
     def step(held: Column, pair: Column) -> Column:
         lower = F.filter(held, lambda x: x["t"] < pair["t"])
-        ended = F.struct(pair["t"].alias("t"), F.concat(best(lower), F.array(pair["s"])).alias("chain"))
+        ended = F.named_struct(F.lit("t"), pair["t"], F.lit("chain"), F.concat(best(lower), F.array(pair["s"])))
         return F.concat(held, F.array(ended))
 
     empty = F.array().cast("array<struct<t: int, chain: array<int>>>")

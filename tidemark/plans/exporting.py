@@ -12,6 +12,7 @@ from ..functions.types import DEFAULT_EXPORT_TYPE
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_export
 from ..sinks import export as sink
 from ..sinks import tables
+from ..sinks.batches import Database, Inserted, insert_once
 from ..sources.tables import describe_columns
 from .importing import registered_task
 
@@ -92,6 +93,25 @@ def export_table(
     return Exported(loaded, findings)
 
 
+def export_once(
+    spark: SparkSession,
+    source: str,
+    database: Database,
+    table: str,
+    day: dt.date | None = None,
+    writers: int = sink.DEFAULT_WRITERS,
+    batches: int | None = None,
+) -> Inserted:
+    """Append a warehouse table to a table of a database, each row once however often tasks or the call run again.
+
+    The load is named by source and day: a second call of the day inserts what
+    is missing of the first, so the source must not change in between. The
+    target is there already, with columns of the source's names.
+    """
+    load_id = f"{source}@{day_string(day or dt.date.today())}"
+    return insert_once(spark.table(source), database, table, load_id, writers, batches)
+
+
 def export_registered(
     spark: SparkSession,
     connections: DataFrame,

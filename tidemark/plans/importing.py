@@ -16,8 +16,12 @@ from ..functions.text import drop_delims, on_strings, sanitize_text
 from ..functions.types import cast_columns, described, parse_overrides, wanted_types
 from ..operators.projections import project_listed
 from ..operators.schema import column_catalogue, evolve_add_columns, schema_diff_import
+from ..session import ensure_checkpoint_dir
 from ..sinks import tables as sink
+from ..sinks.text import clean_delimited, delimiter, table_options
 from ..sources.jdbc import DEFAULT_READERS, Connection, jdbc_scan, jdbc_split, source_catalogue, spread_scan
+from ..sources.marks import Mark, read_composite_mark, unseen
+from ..sources.splits import even_scan
 from ..sources.tables import describe_columns, fill_filter, read_mark, table_exists
 from .registry import filter_lookup, registry_scan
 from .unique import UniqueRule, current_name, is_incremental, unique_dispatch, unique_table
@@ -49,6 +53,12 @@ class ImportTask:
     split_by: str | None = None
     m: int | None = None
     exec_engine: str | None = None
+    fields_terminated_by: str | None = None
+    line_terminated_by: str | None = None
+    use_raw_null: str | None = None
+    # How far an incremental load goes back behind its mark, and the columns that tell its rows apart.
+    overlap: str | None = None
+    seen_by: str | None = None
 
     @classmethod
     def from_row(cls, row: Row) -> ImportTask:
@@ -69,6 +79,20 @@ class ImportTask:
     def incremental(self) -> bool:
         return _filled(self.filter) and _filled(self.max_value)
 
+    @property
+    def delimited(self) -> dict[str, str] | None:
+        """Options of the target's text files; None without a field or line mark, which leaves the warehouse's format."""
+        field_mark, line = delimiter(self.fields_terminated_by), delimiter(self.line_terminated_by)
+        if not field_mark and not line:
+            return None
+        return table_options(field_mark, line, str(self.use_raw_null or "0").strip() == "1")
+
+    @property
+    def stamp(self) -> str | None:
+        """The column whose maximum is the mark, as in ``max(updatestamp)``."""
+        marked = re.search(r"(\w+)\W*$", self.max_value or "")
+        return marked[1].lower() if marked else None
+
     @property
     def partition(self) -> str | None:
         has_both = _filled(self.hive_partition_key) and _filled(self.hive_partition_value)
@@ -76,13 +100,14 @@ class ImportTask:
 
 
 def jdbc_source(
-    spark: SparkSession, connection: Connection, task: ImportTask, spread: bool = False
+    spark: SparkSession, connection: Connection, task: ImportTask, spread: bool = False, even: bool = False
 ) -> Callable[[str], DataFrame]:
     """Scan of the task's table or query for :func:`import_table`.
 
     With a split column the read runs in ``m`` ranges between the bounds that
     the database reports, or, ``spread``, by the remainder of a whole-number
-    key, which holds for skewed ones too. A query overrides table and filter. Several readers
+    key, which holds for skewed ones too, or, ``even``, in ranges of equal row
+    counts, which the database counts first. A query overrides table and filter. Several readers
     without a split column are refused, as one task would read everything.
     """
     if (task.m or 1) > 1 and not _filled(task.split_by):
@@ -91,6 +116,8 @@ def jdbc_source(
     def scan(where: str) -> DataFrame:
         what = {"table": task.table_name, "query": task.query_sql if _filled(task.query_sql) else None, "where": where}
         split = None
+        if _filled(task.split_by) and even:
+            return even_scan(spark, connection, task.split_by, task.m or DEFAULT_READERS, **what)
         if _filled(task.split_by) and spread:
             return spread_scan(spark, connection, task.split_by, task.m or DEFAULT_READERS, **what)
         if _filled(task.split_by):
@@ -107,16 +134,44 @@ def import_filter(
 
     A first load, with no target yet, takes everything. So does a task with its
     own query, which says itself what to read. The marked column's source type
-    says where an empty target starts.
+    says where an empty target starts. With an overlap the filter's
+    ``{max_value}`` is the mark less the overlap, so the filter should use ``>=``.
     """
     if not task.incremental or _filled(task.query_sql) or not table_exists(spark, task.target):
         return NO_FILTER
-    marked = re.search(r"(\w+)\W*$", task.max_value)
+    mark = _overlap_mark(spark, task)
+    if mark is not None:
+        return fill_filter(task.filter, mark.low)
     kinds = {name.lower(): kind for name, kind in source_columns}
-    kind = kinds.get(marked[1].lower(), "") if marked else ""
+    kind = kinds.get(task.stamp, "")
     return fill_filter(task.filter, read_mark(spark, task.target, task.max_value, start, kind))
 
 
+def _overlap_mark(spark: SparkSession, task: ImportTask) -> Mark | None:
+    """The mark of a task with an overlap; None without one, or if the target holds no stamp."""
+    if not _filled(task.overlap) or not task.incremental or not table_exists(spark, task.target):
+        return None
+    return read_composite_mark(spark.table(task.target), task.stamp, (), task.overlap)
+
+
+def _without_seen(spark: SparkSession, task: ImportTask, rows: DataFrame, mark: Mark, value: str, overwrite: bool) -> DataFrame:
+    """Rows that the target lacks in the window of an overlapping load.
+
+    A partition that the load replaces counts as empty, and the rows are fixed
+    before it goes.
+    """
+    held = spark.table(task.target).where(F.col(task.stamp) >= F.lit(mark.low))
+    if task.partition and overwrite:
+        held = held.where(~F.col(task.partition).eqNullSafe(F.lit(value)))
+    by = [c.strip().lower() for c in task.seen_by.split(",")] if _filled(task.seen_by) else []
+    by = [c for c in by if c != task.stamp] + [task.stamp] if by else [c.lower() for c in rows.columns]
+    new = unseen(rows.toDF(*[c.lower() for c in rows.columns]), held.select(*by), by)
+    if overwrite:
+        ensure_checkpoint_dir(spark)
+        new = new.checkpoint()
+    return new
+
+
 def prepare_target(
     spark: SparkSession,
     task: ImportTask,
@@ -140,7 +195,8 @@ def prepare_target(
     )
     if not table_exists(spark, task.target):
         wanted = wanted_types(source_columns, overrides, exact_decimals, db_type)
-        sink.create_table(spark, task.target, wanted, task.partition)
+        fmt = "csv" if task.delimited else sink.WAREHOUSE_FORMAT
+        sink.create_table(spark, task.target, wanted, task.partition, fmt, task.delimited)
     elif not _filled(task.query_sql) and not _filled(task.columns):
         added = evolve_add_columns(diff).orderBy("ordinal").collect()
         sink.add_columns(spark, task.target, [(r["name"], overrides.get(r["name"].lower()) or r["type"]) for r in added])
@@ -159,6 +215,7 @@ def import_table(
     etl_time: Column | None = None,
     db_type: str = "",
     text_policy: str | None = None,
+    replace: Callable[[DataFrame, str], object] = sink.ctas_replace,
 ) -> DataFrame:
     """Run one import and, unless told not to, rebuild the current table.
 
@@ -168,6 +225,12 @@ def import_table(
     descriptors, for the target, the rows and the comparison. What can be
     refused is refused before the first write; that a snapshot's partition holds
     no rows shows after it, and then a current table with rows is not replaced.
+
+    A task with field or line marks is stored as text with them. A task with an
+    overlap reads again behind its mark and leaves out what the target has, so
+    rows that were committed late are neither lost nor doubled. ``replace``
+    says how the current table is replaced, by
+    :func:`versions.replace_versioned` without a moment in which it is missing.
     Returns the schema findings.
     """
     day = day or dt.date.today()
@@ -178,6 +241,7 @@ def import_table(
     rule = checked_rule(spark, task.target, task.incremental) if unique else None
     if source_columns is None:
         source_columns = described(scan(NO_FILTER))
+    mark = _overlap_mark(spark, task)
     source = scan(import_filter(spark, task, start, source_columns))
     if _filled(task.columns) and not _filled(task.query_sql):
         source = project_listed(source, task.columns.split(","))
@@ -191,7 +255,11 @@ def import_table(
     rows = cast_columns(source, wanted_types(source_columns, overrides, exact_decimals, db_type))
     if clean:
         rows = on_strings(rows, clean)
+    if task.delimited:
+        rows = clean_delimited(rows, delimiter(task.line_terminated_by))
     value = partition_value(task.hive_partition_value, day)
+    if mark is not None and not _filled(task.query_sql):
+        rows = _without_seen(spark, task, rows, mark, value, overwrite)
     if task.partition:
         sink.overwrite_partition(rows, task.target, task.partition, value, append=not overwrite)
     elif overwrite:
@@ -199,7 +267,7 @@ def import_table(
     else:
         sink.append_table(rows, task.target)
     if rule:
-        _rebuild(spark, task.target, rule, task.partition, value, etl_time)
+        _rebuild(spark, task.target, rule, task.partition, value, etl_time, replace)
     return diff
 
 
@@ -237,7 +305,13 @@ def refresh_table(
 
 
 def _rebuild(
-    spark: SparkSession, table: str, rule: UniqueRule, partition_key: str | None, value: str | None, etl_time: Column | None
+    spark: SparkSession,
+    table: str,
+    rule: UniqueRule,
+    partition_key: str | None,
+    value: str | None,
+    etl_time: Column | None,
+    replace: Callable[[DataFrame, str], object] = sink.ctas_replace,
 ) -> str | None:
     """Replace the current table; a snapshot of a partition without rows does not replace one that has some."""
     if rule.strategy == "snapshot" and partition_key and table_exists(spark, current_name(table)):
@@ -248,7 +322,7 @@ def _rebuild(
     current = unique_table(spark.table(table), rule, tombstones, partition_key, value, etl_time)
     if current is None:
         return None
-    sink.ctas_replace(current, current_name(table))
+    replace(current, current_name(table))
     return current_name(table)
 
 

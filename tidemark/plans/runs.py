@@ -124,7 +124,7 @@ def _alive(df: DataFrame, rule: RunRule) -> DataFrame:
 
 
 def _written(spark: SparkSession, table: str, rows: DataFrame, deletes: DataFrame, rule: RunRule, run: Run) -> None:
-    """Write one run, replacing one of the same name; ranges of keys lie in files of their own, sorted."""
+    """Write one run; ranges of keys lie in files of their own, sorted. Rows that are there twice change nothing."""
     stored = spark.table(table)
     columns = [f for f in stored.schema.fields if f.name not in (FIRST, LAST)]
     marks = deletes.where(F.col("p_updatestamp").isNotNull())
@@ -143,7 +143,7 @@ def _written(spark: SparkSession, table: str, rows: DataFrame, deletes: DataFram
     placed = parts[0].unionByName(parts[1])
     placed = placed.repartitionByRange(*rule.keys).sortWithinPartitions(*rule.keys)
     spark.sql(
-        f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION ({FIRST} = {run.first}, {LAST} = {run.last}) SELECT * FROM {{rows}}",
+        f"INSERT INTO TABLE {quoted(table)} PARTITION ({FIRST} = {run.first}, {LAST} = {run.last}) SELECT * FROM {{rows}}",
         rows=placed,
     )
 

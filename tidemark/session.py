@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Tasks of a plan that run at a time share the cluster evenly.
+    "spark.scheduler.mode": "FAIR",
     "spark.sql.orc.filterPushdown": "true",
     "spark.sql.parquet.filterPushdown": "true",
     # Checkpoint files go when nothing refers to them any more.

@@ -59,13 +59,17 @@ def create_table(
     columns: Iterable[tuple[str, str]],
     partition_key: str | None = None,
     fmt: str | None = WAREHOUSE_FORMAT,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Create a table if missing, names in lower case, one optional string partition.
 
-    ``fmt=None`` leaves the format to the catalog, as a database needs.
+    ``fmt=None`` leaves the format to the catalog, as a database needs;
+    ``options`` are those of the format.
     """
     body = ", ".join(f"`{name.lower()}` {kind}" for name, kind in columns)
     using = f" USING {fmt}" if fmt else ""
+    if options:
+        using += f" OPTIONS ({', '.join(f'{_text(key)} {_text(value)}' for key, value in options.items())})"
     if partition_key:
         body += f", `{partition_key.lower()}` string"
         using += f" PARTITIONED BY (`{partition_key.lower()}`)"
@@ -179,5 +183,10 @@ def _session_setting(spark: SparkSession, key: str, value: str) -> Iterator[None
 
 
 def _partition(key: str, value: str) -> str:
-    text = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"PARTITION (`{key}` = '{text}')"
+    return f"PARTITION (`{key}` = {_text(value)})"
+
+
+def _text(value: str) -> str:
+    """A string literal of a statement."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n").replace("\r", "\\r")
+    return f"'{escaped}'"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +31,30 @@ def _options(sep: str | None, line: str | None, raw_null: bool) -> dict[str, str
     return options
 
 
+def delimiter(text: str | None) -> str | None:
+    """A registry's mark as a character: ``\\001``, ``\\x01``, ``\\u0001``, ``\\t``, or the mark itself; None if blank."""
+    if text is None or text == "":
+        return None
+    named = {"\\t": "\t", "\\n": "\n", "\\r": "\r", "\\0": "\0", "\\\\": "\\"}
+    if text in named:
+        return named[text]
+    coded = re.fullmatch(r"\\([0-7]{3})|\\(?:x([0-9a-fA-F]{2})|u([0-9a-fA-F]{4}))", text)
+    if coded:
+        return chr(int(coded[1], 8) if coded[1] else int(coded[2] or coded[3], 16))
+    return text
+
+
+def table_options(sep: str | None, line: str | None, raw_null: bool) -> dict[str, str]:
+    """Options of a text table that reads and writes as :func:`write_delimited` does."""
+    return _options(sep, line, raw_null)
+
+
+def clean_delimited(df: DataFrame, line: str | None = None) -> DataFrame:
+    """Strings without line breaks and \\x01 marks, nor a line mark of their own."""
+    clean = on_strings(df, drop_delims)
+    return on_strings(clean, lambda c: F.translate(c, line, "")) if line else clean
+
+
 def write_delimited(
     df: DataFrame,
     path: str,
@@ -46,10 +72,7 @@ def write_delimited(
     as they were. A value that is literally ``\\N`` reads back as NULL. With
     ``raw_null`` off the same holds for the word ``null``.
     """
-    clean = on_strings(df, drop_delims)
-    if line:
-        clean = on_strings(clean, lambda c: F.translate(c, line, ""))
-    clean.write.mode(mode).options(**_options(sep, line, raw_null)).csv(path)
+    clean_delimited(df, line).write.mode(mode).options(**_options(sep, line, raw_null)).csv(path)
 
 
 def read_delimited(

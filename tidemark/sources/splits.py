@@ -73,12 +73,13 @@ def key_histogram(count: Count, low: object, high: object, readers: int) -> list
 def equal_cuts(steps: Sequence[Step], readers: int) -> list[object]:
     """Keys at which a new reader begins, at most ``readers - 1``, so that the fullest range is as small as it can be.
 
-    Steps are not split; the least possible fullest range is found by halving,
-    since fewer readers suffice the fuller a range may be.
+    Steps are not split; one that is fuller than the others may be is a range of
+    its own. How full these must be is found by halving, since fewer readers
+    suffice the fuller a range may be.
     """
     if not steps:
         return []
-    low, high = max(s.rows for s in steps), sum(s.rows for s in steps)
+    low, high = 1, sum(s.rows for s in steps)
     while low < high:
         middle = (low + high) // 2
         if len(_cuts(steps, middle)) < readers:
@@ -89,7 +90,7 @@ def equal_cuts(steps: Sequence[Step], readers: int) -> list[object]:
 
 
 def _cuts(steps: Sequence[Step], most: int) -> list[object]:
-    """Where ranges begin that are filled up to ``most`` rows, but for the first."""
+    """Where ranges begin that are filled up to ``most`` rows, or hold one step, but for the first."""
     cuts, held = [], steps[0].rows
     for step in steps[1:]:
         if held + step.rows > most:
