@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import concat_name, database_part, same_text
-from ..operators.dedup import latest_per_key
 from ..operators.numbering import number_rows
 from ..operators.schema import column_catalogue, schema_diff_import
 from ..sinks.tables import append_table
@@ -138,10 +137,16 @@ def merge_plan(spark: SparkSession) -> DataFrame:
 
 
 def latest_runs(ledger: DataFrame, run_date: str | Column | None = None) -> DataFrame:
-    """Last run per task, of one day if given."""
+    """Last run per task, of one day if given; a run without an end comes before all others.
+
+    A maximum of whole rows, combined on the map side, so one row a task is shuffled.
+    """
     if run_date is not None:
         ledger = ledger.where(F.col("run_date") == run_date)
-    return latest_per_key(ledger, ["id"], "ended", tie_break=["started", "status"])
+    order = ["ended", "started", "status"]
+    rest = [c for c in ledger.columns if c not in (*order, "id")]
+    last = ledger.groupBy("id").agg(F.max(F.struct(*order, *rest)).alias("_last"))
+    return last.select(*[F.col("id") if c == "id" else F.col(f"_last.{c}") for c in ledger.columns])
 
 
 def failed_tasks(ledger: DataFrame, run_date: str | Column | None = None) -> DataFrame:
