@@ -33,11 +33,19 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one of ``spark.checkpoint.dir``, else one beside the warehouse's tables."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        _refuse_local_folder(spark)
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _refuse_local_folder(spark: SparkSession) -> None:
+    """On a cluster a warehouse folder of the driver alone cannot be shared."""
+    folder, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    if not master.startswith("local") and folder.startswith(("file:", "/")):
+        raise ValueError(f"set spark.checkpoint.dir: {folder} may be a folder of the driver alone")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make ``DataFrame.checkpoint`` usable on this session."""
     folder = shared_folder(spark)
@@ -50,6 +58,12 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}_{uuid.uuid4().hex[:12]}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, through the file system that Spark reads it by."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """Create a fresh database inside the shared folder and return its name."""
     folder = scratch_folder(spark, label)

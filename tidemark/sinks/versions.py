@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import quoted, split_name
+from ..session import remove_folder
 from ..sources.tables import table_exists
 from .tables import WAREHOUSE_FORMAT, add_columns
 
@@ -96,7 +97,7 @@ def expire_versions(spark: SparkSession, table: str, keep: int = KEEP) -> list[i
     gone = [n for n, done in stored.items() if n < current and (not done or n not in whole[-max(1, keep) :])]
     folder = versions_folder(spark, table)
     for number in gone:
-        _files(spark, folder).delete(_path(spark, f"{folder}/{number:08d}"), True)
+        remove_folder(spark, f"{folder}/{number:08d}")
     return gone
 
 
@@ -118,4 +119,4 @@ def drop_versioned(spark: SparkSession, table: str) -> None:
     """Drop a table with all its versions."""
     folder = versions_folder(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
-    _files(spark, folder).delete(_path(spark, folder), True)
+    remove_folder(spark, folder)
