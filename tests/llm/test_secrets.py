@@ -1,8 +1,11 @@
 import hashlib
+import random
 import re
+import time
 
 import pytest
 
+from tidemark.llm import secrets
 from tidemark.llm.secrets import base_spans, joined, named_spans, redact, redact_secrets, scan_secrets
 
 TOKEN = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
@@ -90,3 +93,63 @@ def test_tables(spark):
     assert sorted(r.text for r in clean if r.doc_id == 1) == ["é [secret]"] * 2 and clean[0].n_chars == 10
     assert [(r.text, r.n_chars) for r in clean if r.doc_id in (2, 3)] == [(None, 1), ("", 0)]
     assert scan_secrets(docs.limit(0)).count() == redact_secrets(docs.limit(0)).count() == 0
+
+
+# One pattern with backtracking: what the lexer finds step by step.
+TARGET = re.compile(r"""(["']?)([A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)(?:\[["']([\w.\-]+)["']\])?\1[ \t]*(=>|:=|==|[:=])[ \t]*""")
+TOKENS = [
+    "a", "pwd", ".", "-", '"', "'", "`", "=", ":", "=>", ":=", "==", " ", "\t", "\n", "[", "]", '["k"]', "['secret']", "9", "é",
+    "_", "$", "+", "..", "&", "aB3dE6gH9jK2", "token", "key", "(", "}", ",", ";", "x1", "\\",
+]
+
+
+def test_targets_equal_one_pattern():
+    rng = random.Random(1)
+    for _ in range(20_000):
+        text, at = "".join(rng.choices(TOKENS, k=rng.randint(1, 25))), 0
+        while match := TARGET.search(text, at):
+            name = f"{match[2]}.{match[3]}" if match[3] else match[2]
+            assert secrets._targets(text, at) == (match.start(), match.end(), match[2], name, match[4]), (text, at)
+            at = max(match.end(), match.start() + 1)
+        assert secrets._targets(text, at) is None
+
+
+def plain_named(text):
+    """Sensitive pairs of a name and one quoted literal, without constants and joined literals."""
+    found = []
+    for match in re.finditer(r"""(?<![\w.$-])([A-Za-z_]\w*)[ \t]*=[ \t]*"([^"\\\n]*)"(?![ \t]*[+"'`\\\n])""", text):
+        if match[2] and secrets.name_score(match[1]) > 0 and secrets.name_score(match[1]) + secrets.literal_score(match[2]) >= 1:
+            found.append(match.span(2))
+    return found
+
+
+def test_plain_pairs_equal_brute_force():
+    rng = random.Random(2)
+    names = ["password", "user_name", "apiToken", "client_secret", "count", "key", "db_pwd", "public_key", "x"]
+    letters = "abcdefgh0123456789ABCDEF-_/#!"
+    for _ in range(300):
+        lines = [f'{rng.choice(names)}{rng.choice(["", " "])}= "{"".join(rng.choices(letters, k=rng.randint(0, 30)))}";' for _ in range(20)]
+        text = "\n".join(lines)
+        assert sorted((start, end) for start, _, end in named_spans(text)) == plain_named(text)
+
+
+HARD = {
+    "word": "x" * 3_000_000 + " a=b", "dots": "x." * 1_500_000 + "=1", "dashes": "key: 1" + "x-" * 1_500_000,
+    "quotes": '"' * 3_000_000 + "a=b", "blanks": "a" + " " * 3_000_000 + "=b", "blob": "key: 1 " + "aB3" * 1_000_000,
+    "unclosed": 'a["' * 1_000_000, "chain": 'token="a" + ' * 100_000, "pairs": "key=" * 250_000, "query": "u?a=1&key=2" * 90_000,
+}
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_time_is_linear_in_the_text(name):
+    start = time.process_time()
+    named_spans(HARD[name])
+    base_spans(HARD[name])
+    assert time.process_time() - start < 10
+
+
+def test_helper_names_do_not_clash(spark):
+    docs = spark.createDataFrame([(1, f"token={TOKEN}", 7)], "doc_id long, text string, n_chars int")
+    docs = docs.selectExpr("*", "'kept' AS clean_text", "5 AS _clean_length", "6 AS Clean_Length")
+    row = redact_secrets(docs).first()
+    assert (row["text"], row["clean_text"], row["_clean_length"], row["Clean_Length"]) == ("[secret]", "kept", 5, 6)

@@ -23,6 +23,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in names])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of the DataFrame is called so, in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def extend(
     df: DataFrame, fields: Sequence[StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]
 ) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
 
-from .batches import extend, pick, texts_of
+from .batches import extend, pick, texts_of, unused
 
 # The base kinds in their order, their patterns and least lengths.
 ASSIGN = re.compile(
@@ -43,14 +43,20 @@ NAME_AGAINST = {"public": 0.6, "id": 0.3, "name": 0.5, "count": 0.8, "max": 0.5,
                 "file": 0.4, "path": 0.4, "type": 0.6, "primary": 0.6, "foreign": 0.6, "index": 0.6}
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "dummy", "xxxx", "todo", "none", "null", "true", "false")
 THRESHOLD = 1.0
+# A value that takes more steps to tell is no credential; it bounds the work for each target.
+LONGEST = 4096
 # Literals of a value that count as often as they stand in it; it only bounds the text that is scored.
 REPEATED = 64
 
-# One pair: a name, an optional closing quote, an operator; the value follows.
-_TARGET = re.compile(r"""(["']?)([A-Za-z_$][\w$]*(?:[.\-][\w$]+)*)(?:\[["']([\w.\-]+)["']\])?\1[ \t]*(=>|:=|==|[:=])[ \t]*""")
+# One pair: a dotted name, perhaps an index, a closing quote, an operator; the value follows. No part gives back what
+# it took, and a search goes on behind a whole name, so the time is linear in the text.
+_DOTTED = re.compile(r"[A-Za-z_$][\w$]*+(?:[.\-][\w$]++)*+")
+_INDEX = re.compile(r"""\[["']([\w.\-]++)["']\]""")
+_OPERATOR = re.compile(r"[ \t]*+(=>|:=|==|[:=])[ \t]*+")
 _QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)*+)\"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`")
-_BARE = re.compile(r"[^\s,;\"'`(){}\[\]<>#]+")
-_NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[\w$]+)*")
+_BARE = re.compile(r"[^\s,;\"'`(){}\[\]<>#]++")
+_NAME = re.compile(r"[A-Za-z_$][\w$]*+(?:\.[\w$]++)*+")
+_NAME_START = re.compile(r"[A-Za-z_$]")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)?[ \t]*(?:\\?\n[ \t]*(?:\+[ \t]*)?)?")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -98,7 +104,7 @@ def literal_score(value: str) -> float:
     return 0.15 * kinds + (0.3 if entropy >= 3 else 0.0) + (0.2 if len(value) >= 16 else 0.0)
 
 
-def _value(text: str, at: int, constants: dict[str, list]) -> tuple[list, int]:
+def _value(text: str, at: int, constants: dict[str, list], bare: _Bare) -> tuple[list, int]:
     """The parts a value is made of, and where it ends; a part is a literal's span or a constant's own parts."""
     parts: list = []
     end = at
@@ -114,55 +120,104 @@ def _value(text: str, at: int, constants: dict[str, list]) -> tuple[list, int]:
         if "+" not in joined[0] and ".." not in joined[0] and "&" not in joined[0] and not _QUOTED.match(text, joined.end()):
             break
         at = joined.end()
-    if not parts and (match := _BARE.match(text, at)):
-        parts, end = [match.span()], match.end()
+    if not parts and bare.stop(at) > at:
+        parts, end = [(at, bare.stop(at))], bare.stop(at)
     return parts, end
 
 
-def _literals(parts: list) -> list[tuple[int, int]]:
-    """Every literal of a value in order; after the first ``REPEATED`` each one is told once."""
+def _literals(parts: list, long: dict[int, list]) -> list[tuple[int, int]] | None:
+    """Every literal of a value in order; after the first ``REPEATED`` each one is told once.
+
+    None for a value that takes more than ``LONGEST`` steps to tell, a step for
+    every code point and every constant entered, and for one made of such a value.
+    """
     spans: list[tuple[int, int]] = []
-    seen, entered, stack = set(), set(), [iter(parts)]
+    seen, entered, stack, steps = set(), set(), [iter(parts)], 0
     while stack:
         part = next(stack[-1], None)
         if part is None:
             stack.pop()
-        elif isinstance(part, list):
+            continue
+        if isinstance(part, list):
             if len(spans) < REPEATED or id(part) not in entered:
                 entered.add(id(part))
                 stack.append(iter(part))
+                steps += 1
         elif len(spans) < REPEATED or part not in seen:
             seen.add(part)
             spans.append(part)
+            steps += max(1, part[1] - part[0])
+        if steps > LONGEST or (isinstance(part, list) and id(part) in long):
+            long[id(parts)] = parts
+            return None
     return spans
 
 
+def _targets(text: str, at: int) -> tuple[int, int, str, str, str | None, str] | None:
+    """The next pair from ``at`` on: where it begins, where its value begins, name, whole name, operator."""
+    while match := _DOTTED.search(text, at):
+        end, index = match.end(), None
+        before = text[match.start() - 1] if match.start() > at else ""
+        if found := _INDEX.match(text, end):
+            end, index = found.end(), found[1]
+        for quote in (before, "") if before in ("'", '"') else ("",):
+            operator = _OPERATOR.match(text, end + 1) if quote and text[end : end + 1] == quote else None
+            if not quote:
+                operator = _OPERATOR.match(text, end)
+            if operator:
+                name = match[0]
+                return match.start() - len(quote), operator.end(), name, f"{name}.{index}" if index else name, operator[1]
+        at = match.end()
+    return None
+
+
+class _Bare:
+    """Ends of bare values; one run of them is measured once, however many names lie in it."""
+
+    def __init__(self, text: str):
+        self.text, self.start, self.end = text, 0, 0
+
+    def stop(self, at: int) -> int:
+        """Where the bare value at a place ends; the place itself if there is none."""
+        if not self.start <= at < self.end:
+            match = _BARE.match(self.text, at)
+            self.start, self.end = (at, match.end()) if match else (at, at)
+        return max(self.end, at)
+
+
 def named_spans(text: str, threshold: float = THRESHOLD) -> list[tuple[int, str, int]]:
-    """Literals that reach a sensitive target, directly or through constants, however many there are."""
+    """Literals that reach a sensitive target, directly or through constants, however many there are.
+
+    A value of more than ``LONGEST`` code points is no credential. The time is
+    linear in the text, but for up to ``LONGEST`` steps at a sensitive target.
+    """
     if "=" not in text and ":" not in text:
         return []
     constants: dict[str, list] = {}
     tried: dict[int, tuple[list, float]] = {}
+    long: dict[int, list] = {}  # by identity, and held so that it stays theirs
     found = set()
-    at = 0
-    while match := _TARGET.search(text, at):
-        at = max(match.end(), match.start() + 1)
-        if match[4] == "==":
+    at, bare = 0, _Bare(text)
+    while target := _targets(text, at):
+        start, begin, plain, name, operator = target
+        at = max(begin, start + 1)
+        if operator == "==":
             continue
-        name = f"{match[2]}.{match[3]}" if match[3] else match[2]
-        parts, end = _value(text, match.end(), constants)
+        parts, end = _value(text, begin, constants, bare)
         if not parts:
             continue
         if len(parts) == 1 and isinstance(parts[0], list):
             parts = parts[0]
-        if not _BARE.match(text, match.end()) or len(parts) > 1 or _QUOTED.match(text, match.end()):
+        if bare.stop(begin) == begin or len(parts) > 1 or text[begin] in "\"'`":
             at = max(at, end)
-        if text[match.end() : match.end() + 1] in "\"'`" or _NAME.match(text, match.end()):
-            constants[match[2]] = parts
+        if text[begin : begin + 1] in "\"'`" or _NAME_START.match(text, begin):
+            constants[plain] = parts
         weight = name_score(name)
         if weight > 0 and (id(parts) not in tried or weight > tried[id(parts)][1]):
             tried[id(parts)] = parts, weight
-            spans = _literals(parts)
+            spans = _literals(parts, long)
+            if spans is None:
+                continue
             if weight + literal_score("".join(text[start:stop] for start, stop in spans)) >= threshold:
                 found.update((start, "named", stop) for start, stop in spans if stop > start)
     return list(found)
@@ -224,7 +279,8 @@ def scan_secrets(docs: DataFrame, text: str = "text", id_column: str = "doc_id")
 def redact_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """The rows of ``docs`` with all secrets replaced, and ``length`` set to the new code points.
 
-    Rows without a secret, null text included, come back unchanged.
+    Rows without a secret, null text included, come back unchanged, and so do
+    all other columns, whatever their names.
     """
     names, types = docs.columns, dict(zip(docs.columns, docs.schema.fields, strict=True))
 
@@ -237,7 +293,7 @@ def redact_secrets(docs: DataFrame, text: str = "text", length: str = "n_chars")
                 lengths[k] = len(texts[k])
         return [pa.array(texts, pa.string()), pa.array(lengths, pa.int64())]
 
-    new = [StructField("_clean_text", StringType()), StructField("_clean_length", LongType())]
-    out = extend(docs, new, compute)
-    swapped = {text: out["_clean_text"], length: out["_clean_length"].cast(types[length].dataType)}
+    clean = [unused(docs, "clean_text"), unused(docs, "clean_length")]
+    out = extend(docs, [StructField(clean[0], StringType()), StructField(clean[1], LongType())], compute)
+    swapped = {text: out[f"`{clean[0]}`"], length: out[f"`{clean[1]}`"].cast(types[length].dataType)}
     return out.select(*[swapped[name].alias(name) if name in swapped else out[f"`{name}`"] for name in names])
