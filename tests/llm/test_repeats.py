@@ -73,3 +73,35 @@ def test_long_text(spark):
     spans = {r[0]: r[2] for r in found}
     assert spans[1] == [] and spans[3] == [] and spans[4] == [(0, 3_000_000)]
     assert len(spans[2]) == 1 and spans[2][0][0] in (4, 5) and spans[2][0][1] in (600_005, 600_006)
+
+
+def test_a_common_passage_spreads(spark, monkeypatch):
+    """A passage in most documents: its grams are common, and its neighbourhoods go to triggers of their own."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijkl", k=6))
+    passage = " ".join(word() for _ in range(20))
+    rows = [(k, " ".join(word() for _ in range(9)) + passage + " ".join(word() for _ in range(9))) for k in range(120)]
+    monkeypatch.setattr(rp, "COMMON", 4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chunks = rp.chunked(docs, "doc_id", "text", rp.CHUNK).collect()
+    chunk = rp.Chunk(chunks[0].asDict())
+    values, times = chunk.common_grams(50)
+    grams = {passage[k : k + 16].encode() for k in range(len(passage) - 15)}
+    hashed = {int(rp._hashes(rp.np.frombuffer(g, rp.np.uint8), 16)[0]) for g in grams}
+    assert hashed <= set(values.tolist()) and (times >= 30).all()
+    plain, told = chunk.runs(50, rp.Grams(rp._NONE)), chunk.runs(50, rp.Grams(values))
+    busiest = lambda runs: max(len({chunk.raw[s : s + n + 49] for t, s, n in zip(*runs[:3]) if t == v}) for v in set(runs[0].tolist()))
+    assert busiest(plain) > 60 and busiest(told) < 20
+    assert removed(spark, rows) == brute(rows)
+
+
+def test_repeats_within_a_chunk_do_not_travel(spark):
+    rows = [(k, "the same text of some length in every document, and more of it") for k in (5, 3, 9, 3, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    chunks = spark.createDataFrame(rp.chunked(docs, "doc_id", "text", rp.CHUNK).collect())
+    shared = spark.createDataFrame([], "bucket int, chunk long, bits binary")
+    sent = rp._phrases(chunks, shared, 1, 50, rp.Grams(rp._NONE)).collect()
+    raw = rp._unpack(bytes(sent[0].phrases))
+    n = int.from_bytes(raw[:8], "little")
+    assert len(sent) == 1 and set(rp.np.frombuffer(raw, rp.np.int64, n, 8).tolist()) == {3} and sent[0].known is not None
+    assert removed(spark, rows) == brute(rows)

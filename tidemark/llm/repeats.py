@@ -15,6 +15,12 @@ bytes.
 3. Strings whose smallest document is smaller than their own go back to their
    chunk as spans.
 
+Very common passages would bring all their neighbourhoods to one trigger. So a
+gram that many documents have comes after all others: a string that is not
+altogether common has a trigger that is not, and phrases of common triggers are
+the same bytes everywhere. Of the same phrase in one chunk only the smallest
+document's travels; in larger ones it is a repeat whatever else is found.
+
 Hashes only choose where strings meet; that they are equal is decided on bytes.
 """
 
@@ -36,9 +42,13 @@ from .words import _power_tables, mix
 DEPTH = 50
 GRAM = 16
 # Bytes of text in a chunk, in a slice that is hashed at a time, and for each bucket.
-CHUNK, SLICE, BUCKET = 4 << 20, 1 << 19, 1 << 20
+CHUNK, SLICE, BUCKET = 4 << 20, 1 << 16, 1 << 20
 # Strings in a phrase at most: text that repeats itself has one trigger throughout.
 LONGEST = 64
+# A gram is common if it occurs once for so many documents, and the longest list of such grams that is sent to tasks.
+COMMON, MOST_COMMON = 256, 1 << 20
+# Times that a gram must occur in a chunk to be reported.
+LEAST_COMMON = 8
 # A null id counts as larger than every other.
 NULL_ID = np.iinfo(np.int64).max
 
@@ -102,11 +112,62 @@ class Chunk:
         self.ends = np.cumsum(self.sizes)
         self.starts = self.ends - self.sizes
 
-    def runs(self, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, depth: int, common: Grams) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Trigger, first string, number of strings and document of every phrase."""
-        parts = [_runs(self.text, self.starts, self.ends, at, depth) for at in range(0, max(len(self.text), 1), SLICE)]
+        places = range(0, max(len(self.text), 1), SLICE)
+        parts = [_runs(self.text, self.starts, self.ends, at, depth, common) for at in places]
         return tuple(np.concatenate(columns) for columns in zip(*parts, strict=True))
 
+    def common_grams(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """Grams that occur for many of the chunk's documents, and how often.
+
+        Looked for only in phrases of such triggers, since the smallest gram of
+        a common string is its trigger.
+        """
+        trigger, start, count, _ = self.runs(depth, Grams(_NONE))
+        _, code, times = np.unique(trigger, return_inverse=True, return_counts=True)
+        least = max(LEAST_COMMON, len(self.ids) // (2 * COMMON))
+        hot = times[code] >= least
+        gram = min(GRAM, depth)
+        begin, end = _merged(start[hot], start[hot] + count[hot] + depth - gram)
+        found = [_NONE]
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            found.append(_hashes(self.text[a : b + gram - 1], gram))
+        values, times = np.unique(np.concatenate(found), return_counts=True)
+        return values[times >= least], times[times >= least]
+
+
+_NONE = np.zeros(0, np.uint64)
+_TOP = np.uint64(1 << 63)
+
+
+class Grams:
+    """A set of hashes; most others are told apart by a table of bits."""
+
+    def __init__(self, values: np.ndarray):
+        self.values, self.size = np.sort(values), len(values)
+        self.mask = np.uint64(max(1 << 16, 1 << (32 * self.size).bit_length()) - 1 if self.size else 0)
+        self.table = np.zeros(int(self.mask) + 1, bool)
+        self.table[(self.values & self.mask).astype(np.int64)] = True
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of the hashes that are in the set."""
+        some = np.flatnonzero(self.table[(hashes & self.mask).astype(np.int64)])
+        near = np.minimum(np.searchsorted(self.values, hashes[some]), self.size - 1)
+        return some[self.values[near] == hashes[some]]
+
+
+def _hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of every ``gram`` bytes, without the top bit; at most ``SLICE`` of them and a little more at a time."""
+    if len(data) > 2 * SLICE:
+        parts = [_hashes(data[at : at + SLICE + gram - 1], gram) for at in range(0, len(data) - gram + 1, SLICE)]
+        return np.concatenate(parts)
+    power, inverse = _power_tables(len(data) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
+        return mix((sums[gram:] - sums[:-gram]) * inverse[: len(data) - gram + 1]) & ~_TOP
+
 
 def _minima(values: np.ndarray, width: int) -> np.ndarray:
     """The smallest of every ``width`` neighbours."""
@@ -119,18 +180,16 @@ def _minima(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _runs(
-    text: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: int, depth: int
+    text: np.ndarray, starts: np.ndarray, ends: np.ndarray, at: int, depth: int, common: Grams
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Phrases whose strings begin in the slice at ``at``."""
     data = text[at : at + SLICE + depth - 1]
     gram = min(GRAM, depth)
     if len(data) < depth:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    power, inverse = _power_tables(len(data) + 1)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-        hashes = mix((sums[gram:] - sums[:-gram]) * inverse[: len(data) - gram + 1])
+    hashes = _hashes(data, gram)
+    if common.size:
+        hashes[common.among(hashes)] |= _TOP
     trigger = _minima(hashes, depth - gram + 1)
     count = len(trigger)
     # Documents of the slice: the last one that begins at or before a place, for empty ones end at once.
@@ -186,12 +245,27 @@ def _by_bucket(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple
         yield bucket, *lists
 
 
-def _prints(chunks: DataFrame, buckets: int, depth: int) -> DataFrame:
+def _common(chunks: DataFrame, documents: int, depth: int) -> Grams:
+    """Grams that occur once for ``COMMON`` documents, as far as chunks report them; they bear on the cost alone."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            values, docs = Chunk(row).common_grams(depth)
+            yield pa.RecordBatch.from_pydict({"gram": values.astype(np.int64), "docs": docs.astype(np.int64)})
+
+    told = chunks.mapInArrow(work, "gram long, docs long").groupBy("gram").agg(F.sum("docs").alias("docs"))
+    frequent = told.where(F.col("docs") * COMMON >= documents).where(F.col("docs") > LEAST_COMMON)
+    found = frequent.orderBy(F.desc("docs"), "gram").limit(MOST_COMMON).select("gram").collect()
+    return Grams(np.array([row.gram for row in found], np.int64).astype(np.uint64))
+
+
+def _prints(chunks: DataFrame, buckets: int, depth: int, common: Grams) -> DataFrame:
     """bucket, chunk and the distinct prints of the chunk's triggers in that bucket, ascending."""
+    shared_common = chunks.sparkSession.sparkContext.broadcast(common)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            places = np.unique(_places(Chunk(row).runs(depth)[0], buckets))
+            places = np.unique(_places(Chunk(row).runs(depth, shared_common.value)[0], buckets))
             found, begins = _split((places >> np.uint64(32)).astype(np.int32))
             offsets = pa.py_buffer((4 * begins).astype(np.int32).tobytes())
             held = pa.py_buffer((places & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes())
@@ -251,39 +325,58 @@ def _told(chunk: Chunk, runs: tuple, bits: list[dict], buckets: int) -> np.ndarr
     return told
 
 
-def _phrases(chunks: DataFrame, shared: DataFrame, buckets: int, depth: int) -> DataFrame:
-    """bucket, chunk and the chunk's phrases there: documents, places, tags of triggers, numbers of strings, bytes."""
+def _repeats_within(chunk: Chunk, start: np.ndarray, count: np.ndarray, owner: np.ndarray, depth: int) -> np.ndarray:
+    """Whether each phrase also stands in a document of the chunk with a smaller id."""
+    code, codes = np.zeros(len(start), np.int64), {}
+    for k, (a, n) in enumerate(zip(start.tolist(), count.tolist(), strict=True)):
+        code[k] = codes.setdefault(chunk.raw[a : a + n + depth - 1], len(codes))
+    ids = chunk.ids[owner]
+    least = np.full(len(codes), NULL_ID)
+    np.minimum.at(least, code, ids)
+    return ids > least[code]
+
+
+def _phrases(chunks: DataFrame, shared: DataFrame, buckets: int, depth: int, common: Grams) -> DataFrame:
+    """bucket, chunk, the chunk's phrases there (documents, places, tags of triggers, numbers of strings, bytes), and
+    spans that are repeats within the chunk."""
+    shared_common = chunks.sparkSession.sparkContext.broadcast(common)
     bits = shared.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
     joined = chunks.join(bits, "chunk", "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             chunk = Chunk(row)
-            runs = chunk.runs(depth)
+            runs = chunk.runs(depth, shared_common.value)
             told = _told(chunk, runs, row["bits"] or [], buckets)
             trigger, start, count, owner = (column[told] for column in runs)
             order = np.lexsort([trigger, trigger % np.uint64(buckets)])
             start, count, owner = start[order], count[order], owner[order]
             tags = (trigger[order] >> np.uint64(48)).astype(np.uint16)
+            again = _repeats_within(chunk, start, count, owner, depth)
             found, begins = _split((trigger[order] % np.uint64(buckets)).astype(np.int32))
             sizes = count + depth - 1
-            ends = np.cumsum(sizes)
             for k in range(0, len(found), 256):  # few buckets at a time
-                numbers, packed = found[k : k + 256], []
+                numbers, packed, known = found[k : k + 256], [], []
                 edges = begins[k : k + 257].tolist()
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
-                    low = ends[a] - sizes[a]
-                    place = np.arange(low, ends[b - 1]) + np.repeat(start[a:b] - ends[a:b] + sizes[a:b], sizes[a:b])
+                    some = np.arange(a, b)[~again[a:b]]
+                    ends = np.cumsum(sizes[some])
+                    place = np.arange(ends[-1]) + np.repeat(start[some] - ends + sizes[some], sizes[some])
                     packed.append(_pack(
-                        np.array([b - a]), chunk.ids[owner[a:b]], start[a:b], np.diff(tags[a:b], prepend=np.uint16(0)),
-                        count[a:b].astype(np.uint8), chunk.text[place],
+                        np.array([len(some)]), chunk.ids[owner[some]], start[some], np.diff(tags[some], prepend=np.uint16(0)),
+                        count[some].astype(np.uint8), chunk.text[place],
                     ))
+                    gone = np.arange(a, b)[again[a:b]]
+                    known.append(_pack(start[gone], start[gone] + sizes[gone]) if len(gone) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers), pa.array(np.full(len(numbers), chunk.number)), pa.array(packed, pa.binary())],
-                    names=["bucket", "chunk", "phrases"],
-                )
+                    [
+                        pa.array(numbers), pa.array(np.full(len(numbers), chunk.number)), pa.array(packed, pa.binary()),
+                        pa.array(known, pa.binary()),
+                    ],
+                    names=["bucket", "chunk", "phrases", "known"],
+                )
 
-    return joined.mapInArrow(work, "bucket int, chunk long, phrases binary")
+    return joined.mapInArrow(work, "bucket int, chunk long, phrases binary, known binary")
 
 
 def first_documents(phrases: list[bytes], counts: np.ndarray, docs: np.ndarray, depth: int) -> np.ndarray:
@@ -306,7 +399,7 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
     """chunk and spans of its text whose strings a smaller document has too."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, numbers, packed in _by_bucket(batches, "chunk", "phrases"):
+        for _, numbers, packed, known in _by_bucket(batches, "chunk", "phrases", "known"):
             codes: dict[bytes, int] = {}
             ids, starts, tags, counts, sizes, code = [], [], [], [], [], []
             for data in packed:
@@ -340,11 +433,14 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
             last = later & ~np.concatenate([later[1:] & ~fresh[1:], [False]])
             begin, end, of = place[fresh], place[last] + depth, owner[fresh]
             found, begins = _split(of)
+            told = [(numbers[k], spans) for k, spans in enumerate(known) if spans is not None]
+            told += [
+                (numbers[k], _pack(begin[a:b], end[a:b]))
+                for k, a, b in zip(found.tolist(), begins[:-1].tolist(), begins[1:].tolist(), strict=True)
+            ]
             yield pa.RecordBatch.from_pydict({
-                "chunk": pa.array([numbers[k] for k in found], pa.int64()),
-                "spans": pa.array(
-                    [_pack(begin[a:b], end[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)], pa.binary()
-                ),
+                "chunk": pa.array([number for number, _ in told], pa.int64()),
+                "spans": pa.array([spans for _, spans in told], pa.binary()),
             })
 
     return phrases.mapInArrow(work, "chunk long, spans binary")
@@ -352,6 +448,8 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
 
 def _merged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Spans joined where they overlap or touch."""
+    if not len(begin):
+        return begin, end
     order = np.argsort(begin, kind="stable")
     begin, reach = begin[order], np.maximum.accumulate(end[order])
     fresh = np.flatnonzero(np.concatenate([[True], begin[1:] > reach[:-1]]))
@@ -416,15 +514,16 @@ def remove_repeats(
     folder = scratch_folder(spark, "repeats")
     chunked(docs, id_column, text, chunk).write.option("parquet.block.size", 16 << 20).parquet(f"{folder}/chunks")
     chunks = spark.read.parquet(f"{folder}/chunks")
-    total = chunks.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(1, total // bucket)
+    summed = chunks.agg(F.sum("n_bytes").alias("total"), F.sum(F.octet_length("nulls")).alias("documents")).first()
+    buckets = max(1, (summed["total"] or 0) // bucket)
+    common = _common(chunks, summed["documents"] or 0, depth)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets // 32)
 
     def dealt(rows: DataFrame) -> DataFrame:
         return rows.repartition(parts, "bucket").sortWithinPartitions("bucket")
 
-    shared = _shared(dealt(_prints(chunks, buckets, depth)))
-    phrases = dealt(_phrases(chunks, shared, buckets, depth))
+    shared = _shared(dealt(_prints(chunks, buckets, depth, common)))
+    phrases = dealt(_phrases(chunks, shared, buckets, depth, common))
     return _kept(chunks, _repeated(phrases, depth), "long")
 
 
