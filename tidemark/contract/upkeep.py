@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import alignment
+from ..operators import alignment, layout
 from ..plans import graph, importing, registry, runs
 from ..session import scratch_database
 from ..sinks import tables as sink
 from ..sinks import versions
 from ..sources import marks, splits
 from .base import given, query
+from .merge import MIDDLE_SQL, WITH, clinics, new_rows, old_rows
 from .schema import SOURCE_SQL, TARGET_SQL, source_columns, target_columns
 from .unique import ETL_TIME, LINE_DELETES_SQL, LINE_LOG_SQL, etl_time, line_deletes, line_log
 
@@ -200,3 +201,27 @@ def run_graph(spark, sf_dir):
         dated.drop("status").join(status, "id").join(counts, "table_name", "left")
         .select("id", "table_name", "last_exec_date", "status", F.coalesce("table_rows", F.lit(-1)).alias("n"))
     )
+
+
+@query(f"""
+{WITH}, mid AS ({MIDDLE_SQL})
+SELECT s.brand_code, s.clinic_name, t.* FROM mid t JOIN dim s ON t.orgid = s.clinic_id""")
+def merge_stored(spark, sf_dir):
+    """Both lineages stored by clinic and salt, merged where they lie."""
+    database = scratch_database(spark, "merge_stored")
+    for name, rows in (("old", old_rows(spark, sf_dir)), ("new", new_rows(spark, sf_dir))):
+        layout.store_salted(rows, f"{database}.{name}", "orgid", [c for c in rows.columns if c != "orgid"])
+    return layout.merge_stored(spark, f"{database}.old", f"{database}.new", clinics(spark, sf_dir))
+
+
+COUNTED = ("nation", "customer", "orders", "lineitem")
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS table_rows FROM {name}" for name in COUNTED))
+def warehouse_rowcounts(spark, sf_dir):
+    """Tables of the warehouse counted by their files' footers."""
+    database = scratch_database(spark, "warehouse_rowcounts")
+    for name in COUNTED:
+        given(spark, sf_dir, name).write.format("orc").saveAsTable(f"{database}.{name}")
+    found = registry.warehouse_rowcounts(spark, [f"{database}.{name}" for name in COUNTED])
+    return found.withColumn("table_name", F.substring_index("table_name", ".", -1))
