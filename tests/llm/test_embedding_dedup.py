@@ -61,3 +61,34 @@ def test_bounds_drop_no_pair():
     left, right = ed.compare(side, side, 0.95, True)
     expected = {(a, b) for a, b in zip(*np.nonzero(np.triu(unit @ unit.T >= 0.95, 1)), strict=True)}
     assert set(zip(left.tolist(), right.tolist(), strict=True)) == expected
+
+
+@pytest.mark.parametrize("rest", [1e-4, 1e-3, 3e-3])
+def test_low_rank_vectors_at_the_threshold(rest):
+    """Leading axes hold nearly all of a vector, and cosines lie within single precision of the threshold."""
+    rng = np.random.default_rng(int(rest * 1e5))
+    size, count = 64, 300
+    angles = np.arccos(0.95) * rng.integers(0, 3, count) + rng.normal(size=count) * 2e-5
+    vectors = np.zeros((count, size))
+    vectors[:, 0], vectors[:, 1] = np.cos(angles), np.sin(angles)
+    some = rng.random(count) < 0.5
+    vectors[some, 2:] = rng.normal(size=(some.sum(), size - 2)) * rest / 8
+    vectors = vectors.astype(np.float32).astype(np.float64)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    side = ed.Side(np.arange(count), np.ones(count, np.int64), vectors, np.eye(size))
+    expected = {(a, b) for a, b in zip(*np.nonzero(np.triu(np.einsum("ik,jk->ij", unit, unit) >= 0.95, 1)), strict=True)}
+    found = set(zip(*(x.tolist() for x in ed.compare(side, side, 0.95, True)), strict=True))
+    differ = found ^ expected
+    assert all(abs(unit[a] @ unit[b] - 0.95) < 1e-14 for a, b in differ) and len(expected) > 1000
+
+
+def test_doubles_and_two_vectors_of_one_id(spark):
+    """Vectors that differ only beyond single precision are told apart, and links of one id's vectors are not added up."""
+    fine = [1.0, 0.328684105, 0.0]
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, fine), (3, [1.0, 0.3286841051, 0.0]), (4, [0.0, 0.9999, 0.001])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in ed.near_duplicates(docs).collect())
+    exact = lambda x, y: np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.95
+    links = [sum(exact(a, b) for j, (_, b) in enumerate(rows) if j != i) for i, (_, a) in enumerate(rows)]
+    assert sorted((r[0], r[1]) for r in found) == sorted((i, n) for (i, _), n in zip(rows, links, strict=True))
+    assert all(r[2] == 1 for r in found if r[0] in (1, 4))

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 
+from tidemark.llm import fingerprints
 from tidemark.llm.fingerprints import Parse, edited_text, fingerprint_chain, likeness, signature, to_text, phrase_hashes
 
 
@@ -69,3 +70,17 @@ def test_small_and_odd_tables(spark):
         docs = spark.createDataFrame(rows, "doc_id long, text string")
         assert sorted((tuple(r) for r in fingerprint_chain(docs).collect()), key=str) == expected(rows) if rows else True
         assert fingerprint_chain(docs).count() == len(rows)
+
+
+def test_new_dictionaries_do_not_depend_on_cuts(monkeypatch):
+    """Small constants: texts of many dictionaries and blocks, read whole or in parts, have one fingerprint."""
+    monkeypatch.setattr(fingerprints, "DICTIONARY", 37)
+    monkeypatch.setattr(fingerprints, "BLOCK", 64)
+    rng = np.random.default_rng(3)
+    text = "".join(rng.choice(list("abcdé "), 3000))
+    whole = Parse(text).fingerprint()
+    for cut in (1, 63, 64, 65, 1000, 2999):
+        parse = Parse(text[:cut])
+        assert (parse.fork().read(text[cut:]).fingerprint() == whole).all()
+        assert (parse.read(text[cut:]).fingerprint() == whole).all()
+    assert (whole != brute(text)).any()

@@ -92,3 +92,20 @@ def test_table_with_nulls_repeats_and_clashing_columns(spark):
     assert [r.text for r in found] == [LONG, "", "", LONG * 3000, LONG * 3000]
     assert all(r.n_chars == len(r.text) for r in found)
     assert extract_text(pages.limit(0)).collect() == []
+
+
+def test_unmarked_articles_keep_their_parts():
+    """Cards beside the article, a listing and a paragraph of another language within it."""
+    paragraphs = [f"{LONG} {LONG} {k}." for k in range(4)]
+    body = "".join(f"<p>{p}</p>" for p in paragraphs)
+    cards = "".join(f"<article><h3>Card {k}</h3><p>{LONG} {k}</p></article>" for k in range(3))
+    assert main_blocks(page(f"<div>{body}</div>", "", f"<div>{cards}</div>")) == paragraphs
+    listing = "\n".join(f"x{k} = call(y{k}, z{k}) + {k};" for k in range(30))
+    parted = f"<div><p>{LONG} One.</p><pre>{listing}</pre><p>{LONG} Two.</p></div>"
+    assert main_blocks(page(parted)) == [f"{LONG} One.", " ".join(listing.split()), f"{LONG} Two."]
+    russian = "Это было лучшее из всех времён, это было худшее из всех времён, так говорит эта книга. " * 4
+    parted = f"<div><p>{LONG} One.</p><p>{russian}</p><p>{LONG} Two.</p></div>"
+    assert main_blocks(page(parted)) == [f"{LONG} One.", russian.strip(), f"{LONG} Two."]
+    apart = f"<div><p>{LONG} One.</p></div><div><p>{'xyz ' * 80}</p></div><div><p>{LONG} Two.</p></div>"
+    assert main_blocks(page(apart)) == [f"{LONG} One.", f"{LONG} Two."]
+    assert main_blocks(page(f"<article>{body}</article>", "", cards)) == [*paragraphs, *[t for k in range(3) for t in (f"Card {k}", f"{LONG} {k}")]]

@@ -27,7 +27,7 @@ THRESHOLD = 0.95
 TILE = 2048
 # Dimensions after which the bound is tested.
 STEPS = (16, 32)
-# Rounding of the turned vectors; the bound is eased by it, the decision is not.
+# Rounding of the first axis; by it tiles that are just too far apart are compared all the same.
 SLACK = 1e-6
 _STRIP = 512
 
@@ -74,15 +74,31 @@ def principal_axes(vectors: DataFrame, dimension: int) -> np.ndarray:
     return np.linalg.eigh((moments + moments.T) / 2)[1][:, ::-1].copy()
 
 
+def slack(dimensions: int) -> float:
+    """What the bound over ``dimensions`` can lose by single precision; the decision is in double and not eased.
+
+    Entries of unit vectors are rounded to 2^-24 of themselves, as are each
+    product and sum: at most (dimensions + 3) * 2^-24 together, taken twice.
+    """
+    return (dimensions + 3) * 2.0**-23
+
+
 class Side:
-    """The vectors of one tile, turned onto the axes, with the norms of what each step leaves."""
+    """The vectors of one tile, turned onto the axes, with the norms of what each step leaves.
+
+    A norm is taken from the entries left, not from what the others lack of one,
+    which would cancel where these hold nearly everything; it is rounded up.
+    """
 
     def __init__(self, codes: np.ndarray, weights: np.ndarray, vectors: np.ndarray, axes: np.ndarray):
         self.codes, self.weights = codes, weights
         self.vectors = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-        self.turned = (self.vectors @ axes).astype(np.float32)
-        energy = np.cumsum(self.turned.astype(np.float64) ** 2, axis=1)
-        self.rest = {k: np.sqrt(np.maximum(1 - energy[:, k - 1], 0)).astype(np.float32) for k in steps_of(axes.shape[0])}
+        turned = self.vectors @ axes
+        self.turned = turned.astype(np.float32)
+        self.rest = {}
+        for k in steps_of(axes.shape[0]):
+            left = np.sqrt(np.einsum("ij,ij->i", turned[:, k:], turned[:, k:])).astype(np.float32)
+            self.rest[k] = np.nextafter(left, np.float32(2))
 
 
 def steps_of(dimension: int) -> list[int]:
@@ -98,13 +114,14 @@ def compare(a: Side, b: Side, threshold: float, same: bool) -> tuple[np.ndarray,
     lead_b = np.ascontiguousarray(np.hstack([b.turned[:, :first], b.rest[first][:, None]]).T)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, len(lead_a), _STRIP):
-        i, j = np.nonzero(lead_a[at : at + _STRIP] @ lead_b >= threshold - SLACK)
+        i, j = np.nonzero(lead_a[at : at + _STRIP] @ lead_b >= threshold - slack(first + 1))
         i += at
         if same:
             i, j = i[i < j], j[i < j]
         for k in steps[1:]:
             bound = np.einsum("ij,ij->i", a.turned[i, :k], b.turned[j, :k]) + a.rest[k][i] * b.rest[k][j]
-            i, j = i[bound >= threshold - SLACK], j[bound >= threshold - SLACK]
+            near = bound >= threshold - slack(k + 1)
+            i, j = i[near], j[near]
         for cut in range(0, len(i), 1 << 17):
             p, q = i[cut : cut + (1 << 17)], j[cut : cut + (1 << 17)]
             linked = np.einsum("ij,ij->i", a.vectors[p], b.vectors[q]) >= threshold
@@ -125,7 +142,8 @@ def near_duplicates(
     Vectors that are null, empty, zero or hold null or non-finite components link
     with nothing; vectors are compared with those of their length. Equal vectors
     are one class that is compared once and counts for all its rows; a repeated
-    id gives a row each. No rows, no result; other columns are ignored.
+    id gives a row each, a null id one that is never ``kept`` and in no
+    component's name. No rows, no result; other columns are ignored.
 
     Tiles are met by a join of tile numbers, and pairs of tiles that are too far
     apart on the first axis are left out. What leaves a pair of tiles is one row
@@ -139,8 +157,8 @@ def near_duplicates(
     classes = (
         checked.where("ok")
         .groupBy("vector")
-        .agg(F.min("vec_id").alias("code"), F.count("*").alias("weight"))
-        .withColumn("dimension", F.size("vector"))
+        .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
+        .withColumns({"dimension": F.size("vector"), "code": F.monotonically_increasing_id()})
         .checkpoint()
     )
     counted = None
@@ -151,14 +169,12 @@ def near_duplicates(
     counted = spark.createDataFrame([], COUNTS) if counted is None else counted.checkpoint()
     roots = components(counted.select(F.col("code").alias("a"), F.col("least").alias("b")))
     met = counted.groupBy("code").agg(F.sum("links").alias("met"))
+    placed = classes.join(roots, classes["code"] == roots["node"], "left").withColumn("root", F.coalesce("root", "code"))
+    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     told = (
-        classes.join(met, "code", "left")
-        .join(roots, classes["code"] == roots["node"], "left")
-        .select(
-            "vector",
-            F.coalesce("root", "code").alias("component_id"),
-            (F.col("weight") - 1 + F.coalesce("met", F.lit(0))).alias("links"),
-        )
+        placed.join(smallest, "root")
+        .join(met, "code", "left")
+        .select("vector", "component_id", (F.col("weight") - 1 + F.coalesce("met", F.lit(0))).alias("links"))
     )
     # Equal vectors lie together: the hot side of this join is split by Spark.
     return (
@@ -177,6 +193,7 @@ def _count_links(classes: DataFrame, axes: np.ndarray, threshold: float, tile: i
     """``code``, ``links``, ``least``: partial sums for each pair of tiles a class has links in."""
     spark = classes.sparkSession
     dimension = axes.shape[0]
+    kind = "<f8" if "double" in classes.schema["vector"].dataType.simpleString() else "<f4"
     shared = spark.sparkContext.broadcast(axes)
     total = classes.count()
     tiles = max(1, -(-total // tile))
@@ -201,7 +218,7 @@ def _count_links(classes: DataFrame, axes: np.ndarray, threshold: float, tile: i
             "low": pa.array([float(lead.min())]), "high": pa.array([float(lead.max())]),
             "codes": pa.array([group.column("code").to_numpy().astype("<i8").tobytes()], pa.binary()),
             "weights": pa.array([group.column("weight").to_numpy().astype("<i8").tobytes()], pa.binary()),
-            "vectors": pa.array([_matrix(group.column("vector")).astype("<f4").tobytes()], pa.binary()),
+            "vectors": pa.array([_matrix(group.column("vector")).astype(kind).tobytes()], pa.binary()),
         })
 
     # Equal leads can make a tile larger than meant; a second number splits it.
@@ -233,7 +250,7 @@ def _count_links(classes: DataFrame, axes: np.ndarray, threshold: float, tile: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def side(row: dict, end: str) -> Side:
             codes = np.frombuffer(row[f"codes_{end}"], "<i8")
-            values = np.frombuffer(row[f"vectors_{end}"], "<f4").astype(np.float64).reshape(len(codes), dimension)
+            values = np.frombuffer(row[f"vectors_{end}"], kind).astype(np.float64).reshape(len(codes), dimension)
             return Side(codes, np.frombuffer(row[f"weights_{end}"], "<i8"), values, shared.value)
 
         for batch in batches:

@@ -22,7 +22,7 @@ from .batches import pick
 from .words import mix, run_hashes
 
 COMPONENTS = 64
-# Phrases after which the dictionary starts anew, as compressors do; bounds a worker's memory.
+# Phrases after which the dictionary starts anew, as compressors do, whatever the text was cut into; bounds a worker's memory.
 DICTIONARY = 2_000_000
 BLOCK = 1 << 16
 
@@ -57,11 +57,12 @@ class Parse:
                     add(phrase)
                     keep(phrase)
                     phrase = ""
+                    if len(known) >= DICTIONARY:
+                        self.known = known = set()
+                        add = known.add
             self.pending = phrase
             if fresh:
                 self.least = np.minimum(self.least, signature(phrase_hashes(fresh)))
-            if len(known) >= DICTIONARY:
-                self.known = set()
         return self
 
     def fingerprint(self) -> np.ndarray:

@@ -60,7 +60,7 @@ LONG, STOPS, LINKED = 60, 0.12, 0.5
 LONG_INSIDE, STOPS_INSIDE = 25, 0.08
 PLAIN_LONG, PLAIN_STOPS = 200, 0.02
 # Least share of the good text that a marked article must hold to speak for the page.
-MARKED_SHARE = 0.25
+MARKED_SHARE = 0.5
 
 _MARKUP = re.compile(
     r"<!--(?:.*?(?:--!?>|\Z)|-?>)"
@@ -279,6 +279,30 @@ def first_pass(block: Block) -> bool | None:
     return False if size >= PLAIN_LONG and share < PLAIN_STOPS else None
 
 
+def reopen(blocks: list[Block]) -> None:
+    """Open again what its words alone speak against, if it stands between two good blocks of its parent.
+
+    A listing, a table of figures or a paragraph in another language is part of
+    the article that goes on behind it.
+    """
+    weak = [
+        block.label is False and not block.dropped and not block.scope and block.linked <= 300 for block in blocks
+    ]
+    before: list[Block | None] = []
+    last = None
+    for block, open_ in zip(blocks, weak, strict=True):
+        before.append(last)
+        if block.label is not None and not open_ and not block.dropped:
+            last = block
+    after = None
+    for k in range(len(blocks) - 1, -1, -1):
+        block, ahead = blocks[k], before[k]
+        if weak[k] and ahead and after and ahead.label and after.label and ahead.parent == block.parent == after.parent:
+            block.label = None
+        elif block.label is not None and not weak[k] and not block.dropped:
+            after = block
+
+
 def second_pass(blocks: list[Block]) -> None:
     """Give every open block the label of its nearest decided neighbours of the same article.
 
@@ -319,13 +343,15 @@ def second_pass(blocks: list[Block]) -> None:
 def main_blocks(page: str | None, by_name: bool = True) -> list[str]:
     """The blocks of the article, in page order.
 
-    If the names of containers leave nothing, they may mean the layout of the
+    Marked articles speak for the page if they hold most of the good text; several
+    that hold less are cards. If the names of containers leave nothing, they may mean the layout of the
     whole page, and the page is read again without them; what is found so counts
     if it is a text of several blocks.
     """
     blocks, scopes = read_blocks(page or "", by_name)
     for block in blocks:
         block.label = first_pass(block)
+    reopen(blocks)
     second_pass(blocks)
     good = [block for block in blocks if block.label]
     total = sum(len(block.text) for block in good)
@@ -334,6 +360,8 @@ def main_blocks(page: str | None, by_name: bool = True) -> list[str]:
         if inside and sum(len(block.text) for block in inside) >= MARKED_SHARE * total:
             good = inside
             break
+        if len({block.scope for block in inside}) > 1:  # cards that lead to other pages, beside an unmarked article
+            good = [block for block in good if scopes.get(block.scope) != kind]
     if not good:  # nothing decided for: what is neither linked nor a side part
         good = [block for block in blocks if not block.dropped and block.linked <= 1000 * LINKED]
     if not good and by_name and any(block.dropped for block in blocks):
