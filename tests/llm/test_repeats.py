@@ -49,6 +49,7 @@ def texts_of(rng, alphabet):
 def test_equals_brute_force(spark, monkeypatch, alphabet, sizes):
     if sizes:
         monkeypatch.setattr(rp, "SLICE", 997)
+        monkeypatch.setattr(rp, "PORTION", 64)
     rng = random.Random(str(alphabet) + str(sizes))
     texts = texts_of(rng, alphabet)
     rows = list(zip(rng.sample(range(-50, 400), len(texts)), texts, strict=True))
@@ -86,8 +87,8 @@ def test_a_common_passage_spreads(spark, monkeypatch):
     chunks = rp.chunked(docs, "doc_id", "text", rp.CHUNK).collect()
     chunk = rp.Chunk(chunks[0].asDict())
     values, times = chunk.common_grams(50)
-    grams = {passage[k : k + 16].encode() for k in range(len(passage) - 15)}
-    hashed = {int(rp._hashes(rp.np.frombuffer(g, rp.np.uint8), 16)[0]) for g in grams}
+    grams = {passage[k : k + rp.GRAM].encode() for k in range(len(passage) - rp.GRAM + 1)}
+    hashed = {int(rp._hashes(rp.np.frombuffer(g, rp.np.uint8), rp.GRAM)[0]) for g in grams}
     assert hashed <= set(values.tolist()) and (times >= 30).all()
     plain, told = chunk.runs(50, rp.Grams(rp._NONE)), chunk.runs(50, rp.Grams(values))
     busiest = lambda runs: max(len({chunk.raw[s : s + n + 49] for t, s, n in zip(*runs[:3]) if t == v}) for v in set(runs[0].tolist()))

@@ -40,9 +40,11 @@ from .prefix_free import Corpus
 from .words import _power_tables, mix
 
 DEPTH = 50
-GRAM = 16
+GRAM = 20
 # Bytes of text in a chunk, in a slice that is hashed at a time, and for each bucket.
 CHUNK, SLICE, BUCKET = 4 << 20, 1 << 16, 1 << 20
+# Bytes of distinct phrases whose suffixes are put in order at a time.
+PORTION = 1 << 16
 # Strings in a phrase at most: text that repeats itself has one trigger throughout.
 LONGEST = 64
 # A gram is common if it occurs once for so many documents, and the longest list of such grams that is sent to tasks.
@@ -395,6 +397,18 @@ def first_documents(phrases: list[bytes], counts: np.ndarray, docs: np.ndarray,
     return found
 
 
+def _portions(phrases: np.ndarray, tag: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Phrases in order of their tags, cut between tags into portions of about ``PORTION`` bytes."""
+    if not len(phrases):
+        return
+    part = np.cumsum(sizes[phrases]) // PORTION
+    first = np.concatenate([[True], tag[phrases[1:]] != tag[phrases[:-1]]])
+    part = part[np.maximum.accumulate(np.where(first, np.arange(len(phrases)), 0))]  # a tag lies where it begins
+    begins = _split(part)[1]
+    for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True):
+        yield phrases[a:b]
+
+
 def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
     """chunk and spans of its text whose strings a smaller document has too."""
 
@@ -421,10 +435,13 @@ def _repeated(phrases: DataFrame, depth: int) -> DataFrame:
             tag = np.zeros(len(codes), np.uint16)
             tag[code] = np.concatenate(tags)
             # A phrase whose trigger no other one has shares no string with another.
-            several = np.bincount(tag, minlength=1 << 16)[tag] > 1
-            firsts = np.repeat(least, lengths)
-            some = [phrase for phrase, open_ in zip(codes, several.tolist(), strict=True) if open_]
-            firsts[np.repeat(several, lengths)] = first_documents(some, lengths[several], least[several], depth)
+            several = np.flatnonzero(np.bincount(tag, minlength=1 << 16)[tag] > 1)
+            firsts, begins, distinct = np.repeat(least, lengths), np.cumsum(lengths) - lengths, list(codes)
+            several = several[np.argsort(tag[several], kind="stable")]
+            for some in _portions(several, tag, lengths + depth - 1):  # few at a time stay in a processor's memory
+                counts_ = lengths[some]
+                at = np.arange(counts_.sum()) + np.repeat(begins[some] - np.cumsum(counts_) + counts_, counts_)
+                firsts[at] = first_documents([distinct[k] for k in some.tolist()], counts_, least[some], depth)
             # Every string of every phrase of the bucket, by its distinct phrase.
             step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             later = firsts[np.repeat((np.cumsum(lengths) - lengths)[code], counts) + step] < np.repeat(ids, counts)
