@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, remove_folder, scratch_folder
 
 from .batches import TEXT_ROWS, texts_of
 from .components import components
@@ -42,6 +42,8 @@ WIDTH = 3
 # Counters of the token sketch; it only orders tokens, so its size changes cost and never the result.
 SKETCH = 1 << 21
 _SLICES = 256
+# Tasks that count tokens at most: each sends a whole sketch.
+COUNTERS = 4096
 # Largest number of prefix tokens that a pair may be asked to share.
 MOST_SHARED = 8
 # Cost of an index entry and of a candidate, in steps along a list; outside a task a candidate sends two texts.
@@ -126,14 +128,14 @@ def _count_tokens(docs: DataFrame, width: int) -> np.ndarray:
         counts = np.minimum(total, np.iinfo(np.uint32).max).astype("<u4").tobytes()
         return pa.table({"slice": group.column("slice").slice(0, 1), "counts": pa.array([counts], pa.binary())})
 
-    parts = docs.select("text").mapInArrow(count, "slice int, kind long, counts binary")
+    parts = docs.select("text").coalesce(COUNTERS).mapInArrow(count, "slice int, kind long, counts binary")
     sketch = np.zeros(SKETCH, np.uint32)
     for row in parts.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect():
         sketch[row.slice * per_slice : (row.slice + 1) * per_slice] = np.frombuffer(row.counts, "<u4")
     return sketch
 
 
-INDEXED = "doc_id long, n_shingles long, node long, prefix array<long>"
+INDEXED = "doc_id long, lacks_id boolean, key long, n_shingles long, node long, prefix array<long>"
 
 
 def _index(docs: DataFrame, sketch: np.ndarray, percent: int, width: int) -> DataFrame:
@@ -146,21 +148,21 @@ def _index(docs: DataFrame, sketch: np.ndarray, percent: int, width: int) -> Dat
             for at in range(0, batch.num_rows, TEXT_ROWS):
                 part = batch.slice(at, TEXT_ROWS)
                 rows = []
-                for doc_id, tokens in zip(part.column("doc_id").to_pylist(), shingle_sets(texts_of(part, "text"), width), strict=True):
+                for tokens in shingle_sets(texts_of(part, "text"), width):
                     if not len(tokens):
-                        rows.append((doc_id, 0, None, []))
+                        rows.append((0, None, []))
                         continue
                     order = np.lexsort((tokens, counts[(tokens % np.uint64(SKETCH)).astype(np.int64)]))
                     alpha = int(least_shared(len(tokens), percent))
                     length = len(tokens) - alpha + min(MOST_SHARED, alpha)
-                    rows.append((doc_id, len(tokens), class_of(tokens), tokens[order[:length]].view(np.int64)))
-                ids, sizes, nodes, prefixes = zip(*rows, strict=True)
+                    rows.append((len(tokens), class_of(tokens), tokens[order[:length]].view(np.int64)))
+                sizes, nodes, prefixes = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                        pa.array(prefixes, pa.list_(pa.int64())),
+                        part.column("doc_id"), part.column("lacks_id"), part.column("key"), pa.array(sizes, pa.int64()),
+                        pa.array(nodes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "node", "prefix"],
+                    names=["doc_id", "lacks_id", "key", "n_shingles", "node", "prefix"],
                 )
 
     return docs.mapInArrow(work, INDEXED)
@@ -275,7 +277,7 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tup
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, width: int) -> DataFrame:
+def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, width: int, folder: str) -> DataFrame:
     """``node``, ``links``, ``least``: partial sums of verified links for each task a node takes part in."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -286,7 +288,10 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
     sizes = sizes.withColumn("blocks", F.greatest(by_size, spread, F.lit(1)).cast("int")).checkpoint()
     small = sizes.where("blocks = 1").agg(F.sum("tokens")).first()[0] or 0
     tasks = max(partitions, -(-int(small) // TASK_TOKENS))
-    members = grouped.select("node", "first_id", "weight", "root").join(sizes.select("root", "blocks"), "root")
+    members = grouped.select("node", "first", "weight", "root").join(sizes.select("root", "blocks"), "root")
+    # Written, so that Spark knows their size: few are broadcast, and then no text is shuffled; many meet the texts by a shuffle.
+    members.select("node", "first.lacks_id", "first.key", "weight", "root", "blocks").write.parquet(folder)
+    members = spark.read.parquet(folder)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -299,7 +304,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
                 blobs = pa.array([sets[k].tobytes() for k in right], pa.binary())
                 yield pa.RecordBatch.from_arrays([*columns, blobs], names=["node", "weight", "root", "blocks", "tokens"])
 
-    texts = members.join(docs, members["first_id"].eqNullSafe(docs["doc_id"])).select("node", "weight", "root", "blocks", "text")
+    texts = docs.join(members, ["key", "lacks_id"]).select("node", "weight", "root", "blocks", "text")
     filled = texts.mapInArrow(fill, "node long, weight long, root long, blocks int, tokens binary")
     # A large group's documents meet block by block: (i, j) with i <= j, each document on the side of its block.
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
@@ -353,16 +358,18 @@ def jaccard_join(
     rows. ``component_id`` is the smallest id reachable by links; ``n_links``
     counts the other rows linked directly. Null and empty texts have no shingles
     and link with nothing, a row with a null id takes part in links like any
-    other; repeated rows link; other columns are ignored.
+    other and is known by a hash of its text meanwhile; repeated rows link; other
+    columns are ignored.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    docs = docs.withColumns({"lacks_id": F.col("doc_id").isNull(), "key": F.coalesce("doc_id", F.xxhash64("text"))})
     indexed = _index(docs, _count_tokens(docs, width), percent, width).checkpoint()
     nodes = (
         indexed.where("node IS NOT NULL")
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("first_id"),
+            F.min(F.struct("lacks_id", "key")).alias("first"),
             F.count("*").alias("weight"),
             F.max("n_shingles").alias("size"),
             F.any_value("prefix").alias("prefix"),
@@ -370,10 +377,13 @@ def jaccard_join(
         .checkpoint()
     )
     roots = _groups(nodes, percent)
-    counted = _verify(docs, nodes.drop("prefix"), roots, percent, width).checkpoint()
+    folder = scratch_folder(docs.sparkSession, "members")
+    counted = _verify(docs, nodes.drop("prefix"), roots, percent, width, folder).checkpoint()
+    remove_folder(docs.sparkSession, folder)
     linked = components(counted.select(F.col("node").alias("a"), F.col("least").alias("b")))
     met = counted.groupBy("node").agg(F.sum("links").alias("met"))
-    placed = nodes.select("node", "first_id", "weight").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    first_id = F.when(~F.col("first.lacks_id"), F.col("first.key")).alias("first_id")
+    placed = nodes.select("node", first_id, "weight").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     told = (
         placed.join(smallest, "root")
