@@ -138,16 +138,3 @@ def test_components_of_paths_stars_and_loops(spark):
     assert all(found[k] == 100 for k in range(101, 161)) and all(found[k] == 2 for k in [7, *range(300, 401)])
     assert len(found) == 60 + 102
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
-
-
-def test_null_ids_are_known_by_their_texts(spark):
-    """Many rows without an id: each class meets its own text, and links are those of any other rows."""
-    words = [f"w{k}" for k in range(60)]
-    near = [" ".join(words[:k] + ["changed"] + words[k + 1 :]) for k in range(0, 12)]
-    alone = [" ".join(f"{k}x{j}" for j in range(30)) for k in range(20)]
-    rows = [(None, t) for t in near + alone] + [(None, None), (None, ""), (7, near[0]), (3, "other words here now")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS key", "true AS lacks_id").repartition(4)
-    found = jj.jaccard_join(docs, 80, 3).collect()
-    told = lambda rows: sorted(rows, key=str)
-    assert told((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in found) == told(brute(rows, 80, 3))
-    assert sum(r.n_links == 12 and r.component_id == 7 for r in found) == 13
