@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm import components as cc
 from tidemark.llm import jaccard_join as jj
 from tidemark.llm.components import components
 from tidemark.llm.unions import Sets
@@ -138,3 +139,35 @@ def test_components_of_paths_stars_and_loops(spark):
     assert all(found[k] == 100 for k in range(101, 161)) and all(found[k] == 2 for k in [7, *range(300, 401)])
     assert len(found) == 60 + 102
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("limits", [{"HOT": 2}, {"NODE_BITS": 3}, {"BUCKET_TOKENS": 40, "SENT": 50, "SEEN": 2, "TOKEN_BITS": 8}])
+def test_chance_meetings_hot_tokens_and_small_blocks_lose_no_link(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        assert value < getattr(jj, name)
+        monkeypatch.setattr(jj, name, value)
+    rows = corpus(seed=5, bases=4, copies=8)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = jj.jaccard_join(docs, 80, 5)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 80, 5)
+
+
+def test_entries_come_back_from_their_blocks():
+    token, node, size, at = (np.arange(k, 900 + k) * 7**k % 65_537 for k in range(4))
+    sent = jj._sent(token % 4, token + (1 << 40), node, size, at)
+    assert sent.column("bucket").to_pylist() == [0, 1, 2, 3]
+    back = [jj._received(sent.slice(k, 1), 4) for k in range(4)]
+    told = sorted(zip(*np.concatenate(back, axis=1).tolist(), strict=True))
+    assert told == sorted(zip((token + (1 << 40)).tolist(), node.tolist(), size.tolist(), at.tolist(), strict=True))
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    def large_star(edges):
+        raise AssertionError("a round")
+
+    monkeypatch.setattr(cc, "_large_star", large_star)
+    edges = [(9, 1), (1, 8), (7, 2), (7, 2), (3, 3)]
+    found = components(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(tuple(r) for r in found.collect()) == [(7, 2), (8, 1), (9, 1)]
+    with pytest.raises(AssertionError, match="a round"):
+        components(spark.createDataFrame([(3, 2), (2, 1)], "a long, b long"))

@@ -3,6 +3,7 @@ from collections import defaultdict
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tidemark.llm.jaccard_join import linked_rows
 from tidemark.llm.packing import clustered_documents, pack, pack_documents, sized_documents
 
 
@@ -94,3 +95,14 @@ def test_near_copies_lie_in_different_bins(spark):
     plain = clustered_documents(docs.where("doc_id < 6"))
     assert len({r.cluster for r in plain.collect()}) == 2
     assert clustered_documents(docs.limit(0)).count() == 0
+
+
+def test_words_and_columns_come_with_the_clusters(spark):
+    rows = [(1, "a", "One two\tthree\n"), (1, "b", "one TWO three"), (None, None, " Été \x0b x\x1fy"), (4, "d", None), (5, "e", " \n")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").selectExpr("doc_id n_words", "source node", "text prefix")
+    named = docs.selectExpr("n_words doc_id", "node source", "prefix text")
+    found = linked_rows(named, 80, 5).collect()
+    assert sorted((r.source or "", r.n_words, r.n_shingles) for r in found) == [("", 2, 1), ("a", 3, 1), ("b", 3, 1), ("d", 0, 0), ("e", 0, 0)]
+    odd = clustered_documents(docs, text="prefix", id_column="n_words", source="node").collect()
+    assert sorted((r.source or "", r.doc_id, r.n_words) for r in odd) == [("", None, 2), ("a", 1, 3), ("b", 1, 3), ("d", 4, 0), ("e", 5, 0)]
+    assert [r.cluster is None for r in sorted(odd, key=lambda r: r.source or "")] == [False, False, False, True, True]

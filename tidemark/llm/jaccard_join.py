@@ -9,10 +9,11 @@ smaller of their two ``l`` is required.
 
 The join runs in three steps, all linear in the index:
 
-1. The longest prefixes are indexed, the lists' lengths go back to the documents,
-   and each chooses its prefix by them. Pairs in short lists are counted and kept
-   if they share enough; a long list links its documents to its first one.
-   Components of these links are groups that hold every similar pair.
+1. The longest prefixes are indexed in buckets of tokens, the lists' lengths go
+   back to the documents, and each chooses its prefix by them. Pairs in short
+   lists are counted and kept if they share enough; a long list links its
+   documents to its token. Components of these links are groups that hold every
+   similar pair. Entries travel as blocks of bytes, a row for a task and bucket.
 2. The sets of grouped documents are sent to their group: small groups are put
    together, large ones are cut into blocks and every pair of blocks is a task.
 3. A task indexes prefixes again, with lengths chosen by the true lists, and
@@ -24,11 +25,13 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from tidemark.session import ensure_checkpoint_dir
 
@@ -41,14 +44,28 @@ PERCENT = 90
 WIDTH = 3
 # Counters of the token sketch; it only orders tokens, so its size changes cost and never the result.
 SKETCH = 1 << 21
+_STEP, _FIRST = np.uint64(0x9E3779B97F4A7C15), np.ones(1, bool)
 _SLICES = 256
 # Largest number of prefix tokens that a pair may be asked to share.
 MOST_SHARED = 8
 # Cost of an index entry and of a candidate, in steps along a list; outside a task a candidate sends two texts.
 ENTRY, CANDIDATE = 8.0, 1000.0
 TASK_CANDIDATE = 64.0
-# Lists up to this length give pairs, so pairs are at most 16 times the entries; longer ones link to their first document.
+# Lists up to this length give pairs, so pairs are at most 16 times the entries; longer ones link to their token.
 SHORT_LIST = 32
+# Tokens of the table for one bucket of entries, and entries that a task sends at a time.
+BUCKET_TOKENS = 1 << 20
+SENT = 1 << 20
+# A token counted this often, and 16 times as often as others, is a long list without being brought together.
+HOT = 1 << 18
+# Bits of tokens and classes that groups are found by: what falls together by chance only adds to what is verified.
+TOKEN_BITS, NODE_BITS = 48, 40
+# Added to a token to stand for it among classes.
+_HUB = 1 << 60
+# Bytes of an entry's token, node and size, and of the three figures that follow.
+_WIDTHS = (6, 5, 4, 4, 4, 4)
+# Classes whose prefixes a task remembers having sent.
+SEEN = 1 << 20
 # Tokens that small groups share a task with, and documents in a block of a large group.
 TASK_TOKENS = 1 << 20
 BLOCK = 1024
@@ -57,15 +74,23 @@ LEAST_BLOCK = 64
 
 def shingle_sets(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's word n-grams; a text of fewer words is one n-gram."""
-    words, offsets = word_hashes(texts)
+    return _sets(*word_hashes(texts), width)
+
+
+def _sets(words: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
+    """The sets of texts whose words begin at ``offsets``."""
     grams = words
+    sets = []
     with np.errstate(over="ignore"):
         for k in range(1, width):
-            grams = mix(grams[: len(words) - k] * np.uint64(2 * k + 1) + words[k:]) if len(words) > k else grams[:0]
-        sets = []
-        for begin, end in zip(offsets[:-1], offsets[1:], strict=True):
+            grams = grams[: max(len(words) - k, 0)] * _STEP
+            grams += words[k:]
+        grams = mix(grams)
+        for begin, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             if end - begin >= width:
-                sets.append(np.unique(grams[begin : end - width + 1]))
+                found = grams[begin : end - width + 1]
+                found.sort()
+                sets.append(found[np.concatenate([_FIRST, found[1:] != found[:-1]])])
             else:  # marked by its length, so that it equals no longer n-gram
                 one = words[begin:end]
                 joined = one[:1]
@@ -133,37 +158,44 @@ def _count_tokens(docs: DataFrame, width: int) -> np.ndarray:
     return sketch
 
 
-INDEXED = "doc_id long, n_shingles long, node long, prefix array<long>"
-
-
 def _index(docs: DataFrame, sketch: np.ndarray, percent: int, width: int) -> DataFrame:
-    """One row for each document: its set's size and class, and the longest prefix it may be indexed by."""
+    """One row for each document: its words, its set's size and class, and the longest prefix it may be indexed by.
+
+    All columns but the text stay. A task gives the prefix of a class once.
+    """
     shared_sketch = docs.sparkSession.sparkContext.broadcast(sketch)
+    kept = [name for name in docs.columns if name != "text"]
+    names = [*kept, "n_words", "n_shingles", "node", "prefix"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared_sketch.value
+        counts, seen = shared_sketch.value, set()
         for batch in batches:
             for at in range(0, batch.num_rows, TEXT_ROWS):
                 part = batch.slice(at, TEXT_ROWS)
-                rows = []
-                for doc_id, tokens in zip(part.column("doc_id").to_pylist(), shingle_sets(texts_of(part, "text"), width), strict=True):
-                    if not len(tokens):
-                        rows.append((doc_id, 0, None, []))
+                words, offsets = word_hashes(texts_of(part, "text"))
+                sizes, nodes, prefixes = [], [], []
+                for tokens in _sets(words, offsets, width):
+                    node = class_of(tokens) if len(tokens) else None
+                    sizes.append(len(tokens))
+                    nodes.append(node)
+                    prefixes.append(None)
+                    if node is None or node in seen:
                         continue
-                    order = np.lexsort((tokens, counts[(tokens % np.uint64(SKETCH)).astype(np.int64)]))
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(node)
+                    order = np.argsort(counts[(tokens % np.uint64(SKETCH)).astype(np.int64)], kind="stable")
                     alpha = int(least_shared(len(tokens), percent))
                     length = len(tokens) - alpha + min(MOST_SHARED, alpha)
-                    rows.append((doc_id, len(tokens), class_of(tokens), tokens[order[:length]].view(np.int64)))
-                ids, sizes, nodes, prefixes = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                        pa.array(prefixes, pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "n_shingles", "node", "prefix"],
-                )
+                    prefixes[-1] = tokens[order[:length]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
+                found = [
+                    pa.array(np.diff(offsets), pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                    pa.array(prefixes, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([*[part.column(name) for name in kept], *found], names=names)
 
-    return docs.mapInArrow(work, INDEXED)
+    added = [StructField(name, LongType()) for name in ("n_words", "n_shingles", "node")]
+    return docs.mapInArrow(work, StructType([*[docs.schema[name] for name in kept], *added, StructField("prefix", BinaryType())]))
 
 
 def class_of(tokens: np.ndarray) -> int:
@@ -171,47 +203,156 @@ def class_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
-def _groups(nodes: DataFrame, percent: int) -> DataFrame:
-    """``node``, ``root``: components of the pairs that share enough of their prefixes, and of long lists."""
-    entries = nodes.select("node", F.posexplode("prefix").alias("at", "token"))
-    lists = entries.groupBy("token").agg(F.count("*").alias("length")).where("length > 1")
-    listed = entries.join(lists, "token").checkpoint()
-    # Every document weighs its prefixes by the true lengths of their lists.
-    sized = listed.join(nodes.select("node", "size"), "node")
-    alpha = F.floor((percent * F.col("size") + 99) / 100)
-    steps = [
-        F.sum(F.when(F.col("at") < F.col("size") - alpha + k, F.col("length") - 1).otherwise(0)).alias(f"steps_{k}")
-        for k in range(1, MOST_SHARED + 1)
-    ]
-    costs = F.array(*[
-        F.when(alpha >= k, F.struct((ENTRY * k + F.col(f"steps_{k}") * (1 + CANDIDATE / k)).alias("cost"), F.lit(k).alias("k")))
-        for k in range(1, MOST_SHARED + 1)
-    ])
-    weighed = sized.groupBy("node").agg(F.max("size").alias("size"), *steps)
-    chosen = weighed.select("node", "size", F.array_min(F.filter(costs, lambda c: c.isNotNull())).k.alias("shared"))
-    listed = listed.join(chosen, "node").where(F.col("at") < F.col("size") - alpha + F.col("shared")).checkpoint()
-    far = listed.where(F.col("length") > SHORT_LIST)
-    far = far.join(far.groupBy("token").agg(F.min("node").alias("first")), "token")
-    long_links = far.where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    short = listed.where(F.col("length") <= SHORT_LIST).select("token", "node", "size", "shared")
-    a, b = short.alias("a"), short.alias("b")
-    met = a.join(
-        b,
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.node") < F.col("b.node"))
-        & (100 * F.least("a.size", "b.size") >= percent * F.greatest("a.size", "b.size")),
-    )
-    # A long list is not counted, so a pair may miss as many shared tokens as its documents have in long lists.
-    missed = listed.where(F.col("length") > SHORT_LIST).groupBy("node").agg(F.count("*").alias("missed"))
-    pairs = met.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
-        F.count("*").alias("met"), F.min(F.least("a.shared", "b.shared")).alias("required")
-    )
-    pairs = (
-        pairs.join(missed.toDF("a", "missed_a"), "a", "left")
-        .join(missed.toDF("b", "missed_b"), "b", "left")
-        .where(F.col("met") + F.least(F.coalesce("missed_a", F.lit(0)), F.coalesce("missed_b", F.lit(0))) >= F.col("required"))
+def _sent(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row for each bucket: its entries' bytes of one rank after another, so that equal ones lie together."""
+    order = np.argsort(bucket, kind="stable")
+    buckets, begin = np.unique(bucket[order], return_index=True)
+    cuts = [*begin.tolist(), len(order)]
+    planes = np.concatenate(
+        [c[order].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :n] for c, n in zip(columns, _WIDTHS, strict=False)], axis=1
     )
-    return components(pairs.select("a", "b").unionAll(long_links))
+    blocks = [planes[x:y].T.tobytes() for x, y in pairwise(cuts)]
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int64()), pa.array(blocks, pa.binary())], names=["bucket", "entries"])
+
+
+def _received(group: pa.Table, n_columns: int) -> list[np.ndarray]:
+    """The columns of a bucket's entries."""
+    widths = _WIDTHS[:n_columns]
+    planes = [np.frombuffer(raw.as_buffer(), np.uint8).reshape(sum(widths), -1) for raw in group.column("entries")]
+    planes, columns, at = np.concatenate(planes, axis=1), [], 0
+    for n in widths:
+        column = np.zeros((planes.shape[1], 8), np.uint8)
+        column[:, :n] = planes[at : at + n].T
+        columns.append(column.view("<i8").ravel())
+        at += n
+    return columns
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows begin."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _pairs_of_lists(entries: list[np.ndarray], starts: np.ndarray, lengths: np.ndarray, percent: int) -> list[np.ndarray]:
+    """``a``, ``b``, how often they meet and how often they must, for all pairs of each list."""
+    _, node, size, shared, missed = entries
+    found = [np.zeros((0, 4), np.int64)]
+    for length in np.unique(lengths).tolist():
+        i, j = np.triu_indices(length, 1)
+        some = starts[lengths == length]
+        a, b = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
+        like = (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])) & (node[a] != node[b])
+        a, b = a[like], b[like]
+        required = np.minimum(shared[a], shared[b]) - np.minimum(missed[a], missed[b])
+        found.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), np.ones(len(a), np.int64), required], 1))
+    a, b, met, required = np.concatenate(found).T
+    order = np.lexsort((b, a))
+    a, b, met, required = a[order], b[order], met[order], required[order]
+    at = _starts(a, b)
+    return [a[at], b[at], np.add.reduceat(met, at), np.minimum.reduceat(required, at)] if len(at) else [a, b, met, required]
+
+
+def _groups(indexed: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
+    """``short``, ``root``: components of the pairs that share enough of their prefixes, and of long lists."""
+    partitions = int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(partitions, int(sketch.sum(dtype=np.int64)) // BUCKET_TOKENS)
+    # Tokens of these counters are in lists too long to be brought together; they are told by the bucket's number.
+    hot = np.flatnonzero(sketch >= max(HOT, 16 * int(sketch.mean())))
+    blocks = "bucket long, entries binary"
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+
+        def flush() -> pa.RecordBatch:
+            token, node, size, at = (np.concatenate(c) for c in zip(*held, strict=True))
+            bucket = token % buckets
+            if len(hot):
+                bucket = np.where(np.isin(token % SKETCH, hot), buckets + node % buckets, bucket)
+            return _sent(bucket, token, node, size, at)
+
+        for batch in batches:
+            prefixes = batch.column("prefix").to_pylist()
+            lengths = np.array([len(raw) * 8 // TOKEN_BITS for raw in prefixes], np.int64)
+            for cut in range(0, len(prefixes), TEXT_ROWS):
+                n = lengths[cut : cut + TEXT_ROWS]
+                token = np.zeros((n.sum(), 8), np.uint8)
+                token[:, : TOKEN_BITS // 8] = np.frombuffer(b"".join(prefixes[cut : cut + TEXT_ROWS]), np.uint8).reshape(-1, TOKEN_BITS // 8)
+                node = batch.column("node").slice(cut, TEXT_ROWS).to_numpy() & ((1 << NODE_BITS) - 1)
+                size = batch.column("n_shingles").slice(cut, TEXT_ROWS).to_numpy()
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                held.append((token.view("<i8").ravel(), np.repeat(node, n), np.repeat(size, n), at))
+                count += len(at)
+                if count >= SENT:
+                    yield flush()
+                    held, count = [], 0
+        if count:
+            yield flush()
+
+    def list_up(group: pa.Table) -> pa.Table:
+        """Entries of tokens that several classes have, with their lists' lengths, to their classes' buckets."""
+        entries = _received(group, 4)
+        if group.column("bucket")[0].as_py() >= buckets:
+            lengths = np.full(len(entries[0]), HOT)
+        else:
+            order = np.argsort(entries[0])
+            begin = _starts(entries[0][order])
+            several = order[np.repeat(np.diff(np.append(begin, len(order))) > 1, np.diff(np.append(begin, len(order))))]
+            entries = [c[several] for c in entries]
+            order = np.lexsort(entries[::-1])
+            entries = [c[order] for c in entries]
+            once = _starts(*entries)  # copies that other tasks have sent
+            entries = [c[once] for c in entries]
+            begin = _starts(entries[0])
+            lengths = np.diff(np.append(begin, len(entries[0])))
+            lengths = np.repeat(lengths, lengths)
+            entries = [c[lengths > 1] for c in entries]
+            lengths = lengths[lengths > 1]
+        return pa.Table.from_batches([_sent(entries[1] % buckets, *entries, lengths)])
+
+    def choose(group: pa.Table) -> pa.Table:
+        """Every class weighs its prefixes by the true lengths of their lists, and sends the entries of the best one."""
+        entries = _received(group, 5)
+        order = np.lexsort([entries[k] for k in (0, 3, 2, 1)])
+        entries = [c[order] for c in entries]
+        once = _starts(*entries)
+        token, node, size, at, length = (c[once] for c in entries)
+        begin = _starts(node, size)
+        if not len(begin):
+            return pa.Table.from_batches([_sent(token, token, node, size, at, length)])
+        per_class = np.diff(np.append(begin, len(node)))
+        alpha = least_shared(size, percent)
+        costs = []
+        for k in range(1, MOST_SHARED + 1):
+            steps = np.add.reduceat(np.where(at < size - alpha + k, length - 1, 0), begin)
+            costs.append(np.where(alpha[begin] >= k, ENTRY * k + steps * (1 + CANDIDATE / k), np.inf))
+        shared = np.repeat(np.argmin(costs, axis=0) + 1, per_class)
+        taken = at < size - alpha + shared
+        long = length > SHORT_LIST
+        # A long list is not counted, so a pair may miss as many shared tokens as its documents have in long lists.
+        missed = np.repeat(np.add.reduceat((taken & long).astype(np.int64), begin), per_class)
+        bucket = np.where(long, buckets + node % buckets, token % buckets)
+        return pa.Table.from_batches([_sent(*(c[taken] for c in (bucket, token, node, size, shared, missed)))])
+
+    def pair(group: pa.Table) -> pa.Table:
+        entries = _received(group, 5)
+        if group.column("bucket")[0].as_py() >= buckets:
+            token, node = entries[:2]
+            columns = [node, token + _HUB, np.ones(len(node), np.int64), np.zeros(len(node), np.int64)]
+        else:
+            order = np.argsort(entries[0], kind="stable")
+            entries = [c[order] for c in entries]
+            begin = _starts(entries[0])
+            columns = _pairs_of_lists(entries, begin, np.diff(np.append(begin, len(order))), percent)
+        return pa.table(dict(zip(("a", "b", "met", "required"), columns, strict=True)))
+
+    sent = indexed.where("prefix IS NOT NULL").select("node", "n_shingles", "prefix").mapInArrow(send, blocks)
+    listed = sent.groupBy("bucket").applyInArrow(list_up, blocks)
+    chosen = listed.groupBy("bucket").applyInArrow(choose, blocks)
+    met = chosen.groupBy("bucket").applyInArrow(pair, "a long, b long, met long, required long")
+    pairs = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("required").alias("required")).where("met >= required")
+    return components(pairs.select("a", "b")).where(F.col("node") < _HUB).withColumnsRenamed({"node": "short"})
 
 
 class _Documents:
@@ -279,7 +420,8 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
     """``node``, ``links``, ``least``: partial sums of verified links for each task a node takes part in."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grouped = nodes.join(roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct()), "node")
+    nodes = nodes.withColumn("short", F.col("node").bitwiseAND(F.lit((1 << NODE_BITS) - 1)))
+    grouped = nodes.join(roots.unionAll(roots.select(F.col("root").alias("short"), "root").distinct()), "short")
     sizes = grouped.groupBy("root").agg(F.count("*").alias("documents"), F.sum("size").alias("tokens"))
     by_size = F.greatest(F.ceil(F.col("documents") / BLOCK), F.ceil(F.col("tokens") / TASK_TOKENS))
     spread = F.least(F.lit(int(np.ceil(np.sqrt(2 * partitions)))), F.floor(F.col("documents") / LEAST_BLOCK))
@@ -299,6 +441,7 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
                 blobs = pa.array([sets[k].tobytes() for k in right], pa.binary())
                 yield pa.RecordBatch.from_arrays([*columns, blobs], names=["node", "weight", "root", "blocks", "tokens"])
 
+    docs = docs.select("doc_id", "text")
     texts = members.join(docs, members["first_id"].eqNullSafe(docs["doc_id"])).select("node", "weight", "root", "blocks", "text")
     filled = texts.mapInArrow(fill, "node long, weight long, root long, blocks int, tokens binary")
     # A large group's documents meet block by block: (i, j) with i <= j, each document on the side of its block.
@@ -355,22 +498,26 @@ def jaccard_join(
     and link with nothing, a row with a null id takes part in links like any
     other; repeated rows link; other columns are ignored.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    indexed = _index(docs, _count_tokens(docs, width), percent, width).checkpoint()
+    return linked_rows(docs, percent, width).select("doc_id", "n_shingles", "component_id", "n_links")
+
+
+def linked_rows(docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """``jaccard_join`` of the columns ``doc_id`` and ``text``; n_words counts the words.
+
+    All other columns stay; none may be named like what is added, or ``node`` or ``prefix``.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    sketch = _count_tokens(docs, width)
+    indexed = _index(docs, sketch, percent, width).checkpoint()
     nodes = (
         indexed.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(
-            F.min("doc_id").alias("first_id"),
-            F.count("*").alias("weight"),
-            F.max("n_shingles").alias("size"),
-            F.any_value("prefix").alias("prefix"),
-        )
+        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.max("n_shingles").alias("size"))
         .checkpoint()
     )
-    roots = _groups(nodes, percent)
-    counted = _verify(docs, nodes.drop("prefix"), roots, percent, width).checkpoint()
+    roots = _groups(indexed, sketch, percent)
+    counted = _verify(docs, nodes, roots, percent, width).checkpoint()
     linked = components(counted.select(F.col("node").alias("a"), F.col("least").alias("b")))
     met = counted.groupBy("node").agg(F.sum("links").alias("met"))
     placed = nodes.select("node", "first_id", "weight").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -380,8 +527,10 @@ def jaccard_join(
         .join(met, "node", "left")
         .select("node", "component_id", (F.col("weight") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
     )
-    return indexed.join(told, "node", "left").select(
-        "doc_id",
+    kept = [name for name in docs.columns if name != "text"]
+    return indexed.drop("prefix").join(told, "node", "left").select(
+        *kept,
+        "n_words",
         "n_shingles",
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .jaccard_join import jaccard_join
+from .jaccard_join import linked_rows
 
 CAPACITY = 2048
 # Pieces in one shard: packing one is a task's work, and the loss from half-full bins is a few bins in each.
@@ -145,17 +145,15 @@ def clustered_documents(
     lower-case words; equal word sequences always do. A row with a null id is
     known by its text's hash instead, so it is in a cluster as well. If rows of
     one id are in several clusters, these are one. Null and empty texts have no
-    words and no cluster. Only ids and sizes are joined to the clusters.
+    words and no cluster. Words are counted where the join hashes them.
     """
-    low = F.lower(F.col(f"`{text}`"))
-    known = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.xxhash64(low))
-    groups = jaccard_join(docs.select(known.alias("known"), low.alias("text")), percent, width, "known")
-    groups = groups.where("n_shingles > 0").select("doc_id", "component_id").distinct()
-    groups = groups.withColumnsRenamed({"doc_id": "known", "component_id": "group"}).checkpoint()
-    first = groups.groupBy("known").agg(F.min("group").alias("first"), F.max("group").alias("last"))
-    several = groups.join(first.where("first < last"), "known").where("group <> first")
-    roots = components(several.select(F.col("group").alias("a"), F.col("first").alias("b"))).toDF("first", "root")
-    clusters = first.join(roots, "first", "left").select("known", F.coalesce("root", "first").alias("near"))
-    sized = sized_documents(docs.withColumn("_known", known), text, id_column, source, "_known")
-    items = sized.join(clusters, sized["_known"] == clusters["known"], "left")
-    return items.select("doc_id", "source", "n_words", F.when(F.col("n_words") > 0, F.col("near")).alias("cluster")).checkpoint()
+    low, own = F.lower(F.col(f"`{text}`")), F.col(f"`{id_column}`")
+    known = F.coalesce(own.cast("long"), F.xxhash64(low))
+    docs = docs.select(known.alias("doc_id"), low.alias("text"), own.alias("own_id"), F.col(f"`{source}`").alias("source"))
+    rows = linked_rows(docs, percent, width).drop("n_links").checkpoint()
+    placed = rows.where("n_shingles > 0")
+    first = placed.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.max("component_id").alias("last")).where("first < last")
+    several = placed.join(first, "doc_id").where("component_id <> first")
+    roots = components(several.select(F.col("component_id").alias("a"), F.col("first").alias("b"))).toDF("component_id", "root")
+    cluster = F.when(F.col("n_words") > 0, F.coalesce("root", "component_id")).alias("cluster")
+    return rows.join(roots, "component_id", "left").select(F.col("own_id").alias("doc_id"), "source", "n_words", cluster).checkpoint()

@@ -1,9 +1,9 @@
 """Hash every word of a batch of texts with a few numpy passes.
 
-A word is a longest run of bytes other than space and 0x09-0x0D. Its hash is a
-polynomial over its bytes modulo 2**64, read off prefix sums, then mixed.
-Texts are cut at separators into pieces of bounded size, so memory does not
-grow with the longest text.
+A word is a longest run of bytes other than space and 0x09-0x0D. Its hash takes
+eight bytes at a time; that of a run, or of a long word, is a polynomial modulo
+2**64, read off prefix sums, then mixed. Texts are cut at separators into pieces
+of bounded size, so memory does not grow with the longest text.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ _BLANK = re.compile(rb"[ \t\n\x0b\x0c\r]*")
 
 _IS_SEPARATOR = np.zeros(256, bool)
 _IS_SEPARATOR[list(_SEPARATORS)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
+# Bytes from which on a word is hashed as a run.
+LONG_WORD = 64
+# The first k bytes of eight.
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -47,9 +50,12 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     with np.errstate(over="ignore"):
-        values = (values ^ (values >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-        values = (values ^ (values >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-        return values ^ (values >> np.uint64(33))
+        values = values ^ (values >> np.uint64(33))
+        values *= np.uint64(0xFF51AFD7ED558CCD)
+        values ^= values >> np.uint64(33)
+        values *= np.uint64(0xC4CEB9FE1A85EC53)
+        values ^= values >> np.uint64(33)
+        return values
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -100,15 +106,29 @@ def _pieces(texts: Iterable[str]) -> Iterator[tuple[bytes, list[int], list[int]]
         yield bytes(data), owners, begins
 
 
+def _hashes_of_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word ``data[start:end]``; at least eight bytes of ``data`` follow the last one."""
+    lengths = ends - starts
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    hashes = mix(lengths.astype(np.uint64)) ^ (eight[starts] & _FIRST[np.minimum(lengths, 8)])
+    hashes = mix(hashes)
+    for k in range(8, LONG_WORD, 8):
+        rest = np.flatnonzero(lengths > k)
+        if not len(rest):
+            return hashes
+        hashes[rest] = mix(hashes[rest] ^ (eight[starts[rest] + k] & _FIRST[np.minimum(lengths[rest] - k, 8)]))
+    rest = np.flatnonzero(lengths > LONG_WORD)
+    if len(rest):
+        hashes[rest] = run_hashes(data, starts[rest], ends[rest])
+    return hashes
+
+
 def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words in order, and the offsets at which each text's words begin."""
     counts, found = np.zeros(len(texts) + 1, np.int64), []
     for raw, owners, begins in _pieces(texts):
-        data = np.frombuffer(raw, np.uint8)
-        if lower:
-            data = _LOWER[data]
-        starts, ends = word_bounds(data)
-        found.append(run_hashes(data, starts, ends))
-        of = np.asarray(owners)[np.searchsorted(begins, starts, "right") - 1]
-        counts[1:] += np.bincount(of, minlength=len(texts))
+        data = np.frombuffer((raw.translate(_LOWER) if lower else raw) + bytes(8), np.uint8)
+        starts, ends = word_bounds(data[: len(raw)])
+        found.append(_hashes_of_words(data, starts, ends))
+        counts[np.asarray(owners) + 1] += np.diff(np.searchsorted(starts, [*begins, len(raw)]))
     return (np.concatenate(found) if found else np.zeros(0, np.uint64)), np.cumsum(counts)
