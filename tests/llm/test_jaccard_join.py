@@ -152,6 +152,36 @@ def test_chance_meetings_hot_tokens_and_small_blocks_lose_no_link(spark, monkeyp
     assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 80, 5)
 
 
+def test_long_lists_met_by_chance_make_no_large_group(spark, monkeypatch):
+    """With more tokens than the sketch can order, prefixes hold tokens of long lists, by which texts must not gather."""
+    monkeypatch.setattr(jj, "SKETCH", 256)
+    monkeypatch.setattr(jj, "SHORT_LIST", 4)
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(200):
+        words = [f"own{k}x{j}" for j in range(400)] + [f"common{j}" for j in rng.choice(1200, 40, replace=False)]
+        rows.append((k, " ".join(rng.permutation(words))))
+    rows += [(1000 + k, rows[k][1].replace("x7 ", "y ")) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sketch = jj._count_tokens(docs, 1)
+    groups = jj._groups(jj._index(docs, sketch, 90, 1), sketch, 90).groupBy("root").count().collect()
+    assert groups and max(row["count"] for row in groups) < 5
+    assert sorted((tuple(r) for r in jj.jaccard_join(docs, 90, 1).collect()), key=str) == brute(rows, 90, 1)
+
+
+def test_large_groups_meet_in_rounds(spark, monkeypatch):
+    for name, value in {"ROUND_TOKENS": 500, "ROUND_PART": 1 << 20, "TASK_TOKENS": 200, "LEAST_BLOCK": 4}.items():
+        monkeypatch.setattr(jj, name, value)
+    rows = corpus(seed=6, bases=3, copies=16)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    found = jj.jaccard_join(docs, 80, 5)
+    assert spark.conf.get(setting, None) == before
+    for _ in range(2):
+        assert sorted((tuple(r) for r in found.collect()), key=str) == brute(rows, 80, 5)
+
+
 def test_entries_come_back_from_their_blocks():
     token, node, size, at = (np.arange(k, 900 + k) * 7**k % 65_537 for k in range(4))
     sent = jj._sent(token % 4, token + (1 << 40), node, size, at)

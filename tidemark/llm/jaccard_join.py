@@ -10,12 +10,17 @@ smaller of their two ``l`` is required.
 The join runs in three steps, all linear in the index:
 
 1. The longest prefixes are indexed in buckets of tokens, the lists' lengths go
-   back to the documents, and each chooses its prefix by them. Pairs in short
-   lists are counted and kept if they share enough; a long list links its
-   documents to its token. Components of these links are groups that hold every
-   similar pair. Entries travel as blocks of bytes, a row for a task and bucket.
+   back to the documents, and each chooses its prefix by them: tokens of long
+   lists come last in the order, so a document passes over them while its
+   longest prefix has other tokens to put in their place. Pairs in short lists
+   are counted and kept if they share enough. A document without enough tokens
+   of short lists is linked to its long lists' tokens, and with it whoever has
+   such a token. Components of these links are groups that hold every similar
+   pair. Entries travel as blocks of bytes, a row for a task and bucket.
 2. The sets of grouped documents are sent to their group: small groups are put
    together, large ones are cut into blocks and every pair of blocks is a task.
+   Where large groups send their sets more often than the disk should hold at a
+   time, pairs of blocks are dealt to rounds.
 3. A task indexes prefixes again, with lengths chosen by the true lists, and
    verifies what shares enough by exact intersection. What leaves it is a count
    of links and one connected node for each document, never the pairs.
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, shuffles_removed
 
 from .batches import TEXT_ROWS, texts_of
 from .components import components
@@ -51,8 +56,10 @@ MOST_SHARED = 8
 # Cost of an index entry and of a candidate, in steps along a list; outside a task a candidate sends two texts.
 ENTRY, CANDIDATE = 8.0, 1000.0
 TASK_CANDIDATE = 64.0
-# Lists up to this length give pairs, so pairs are at most 16 times the entries; longer ones link to their token.
+# Lists up to this length give pairs, so pairs are at most 16 times the entries; longer ones may link to their token.
 SHORT_LIST = 32
+# Of a prefix, the share that is indexed besides, to be taken in place of tokens whose lists prove long.
+SPARE = 8
 # Tokens of the table for one bucket of entries, and entries that a task sends at a time.
 BUCKET_TOKENS = 1 << 20
 SENT = 1 << 20
@@ -62,14 +69,16 @@ HOT = 1 << 18
 TOKEN_BITS, NODE_BITS = 48, 40
 # Added to a token to stand for it among classes.
 _HUB = 1 << 60
-# Bytes of an entry's token, node and size, and of the three figures that follow.
-_WIDTHS = (6, 5, 4, 4, 4, 4)
+# Bytes of an entry's token, node and size, and of the two figures that follow.
+_WIDTHS = (6, 5, 4, 4, 4)
 # Classes whose prefixes a task remembers having sent.
 SEEN = 1 << 20
 # Tokens that small groups share a task with, and documents in a block of a large group.
 TASK_TOKENS = 1 << 20
 BLOCK = 1024
 LEAST_BLOCK = 64
+# Tokens that pairs of blocks are sent in a round: this part of the table's tokens, but so many at least.
+ROUND_PART, ROUND_TOKENS = 4, 1 << 26
 
 
 def shingle_sets(texts: list[str], width: int = WIDTH) -> list[np.ndarray]:
@@ -105,6 +114,12 @@ def least_shared(size: int | np.ndarray, percent: int) -> int | np.ndarray:
     return (percent * size + 99) // 100
 
 
+def most_shared(size: int | np.ndarray, percent: int) -> int | np.ndarray:
+    """Tokens that the longest indexed prefix of a set of ``size`` must share with that of any similar set."""
+    alpha = least_shared(size, percent)
+    return np.minimum(alpha, MOST_SHARED + (size - alpha) // SPARE)
+
+
 def chosen_shared(lists: np.ndarray, size: int, percent: int) -> int:
     """How many prefix tokens to require, by the least estimated cost.
 
@@ -186,7 +201,7 @@ def _index(docs: DataFrame, sketch: np.ndarray, percent: int, width: int) -> Dat
                     seen.add(node)
                     order = np.argsort(counts[(tokens % np.uint64(SKETCH)).astype(np.int64)], kind="stable")
                     alpha = int(least_shared(len(tokens), percent))
-                    length = len(tokens) - alpha + min(MOST_SHARED, alpha)
+                    length = len(tokens) - alpha + int(most_shared(len(tokens), percent))
                     prefixes[-1] = tokens[order[:length]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8].tobytes()
                 found = [
                     pa.array(np.diff(offsets), pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
@@ -237,7 +252,7 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
 
 def _pairs_of_lists(entries: list[np.ndarray], starts: np.ndarray, lengths: np.ndarray, percent: int) -> list[np.ndarray]:
     """``a``, ``b``, how often they meet and how often they must, for all pairs of each list."""
-    _, node, size, shared, missed = entries
+    _, node, size, shared = entries
     found = [np.zeros((0, 4), np.int64)]
     for length in np.unique(lengths).tolist():
         i, j = np.triu_indices(length, 1)
@@ -245,7 +260,7 @@ def _pairs_of_lists(entries: list[np.ndarray], starts: np.ndarray, lengths: np.n
         a, b = (some[:, None] + i).ravel(), (some[:, None] + j).ravel()
         like = (100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])) & (node[a] != node[b])
         a, b = a[like], b[like]
-        required = np.minimum(shared[a], shared[b]) - np.minimum(missed[a], missed[b])
+        required = np.minimum(shared[a], shared[b])
         found.append(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b]), np.ones(len(a), np.int64), required], 1))
     a, b, met, required = np.concatenate(found).T
     order = np.lexsort((b, a))
@@ -255,7 +270,7 @@ def _pairs_of_lists(entries: list[np.ndarray], starts: np.ndarray, lengths: np.n
 
 
 def _groups(indexed: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
-    """``short``, ``root``: components of the pairs that share enough of their prefixes, and of long lists."""
+    """``short``, ``root``: components of the pairs that share enough of their prefixes, and of the long lists that are needed."""
     partitions = int(indexed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(partitions, int(sketch.sum(dtype=np.int64)) // BUCKET_TOKENS)
     # Tokens of these counters are in lists too long to be brought together; they are told by the bucket's number.
@@ -312,7 +327,13 @@ def _groups(indexed: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
         return pa.Table.from_batches([_sent(entries[1] % buckets, *entries, lengths)])
 
     def choose(group: pa.Table) -> pa.Table:
-        """Every class weighs its prefixes by the true lengths of their lists, and sends the entries of the best one."""
+        """Every class weighs its prefixes by the true lengths of their lists, and sends the entries of the best one.
+
+        In the order by which a class is known tokens of long lists come last,
+        which is the same for all classes as a token's list is. Of a class with
+        too many of them no whole prefix is known: it sends all its entries,
+        with a mark at those of long lists, where partners may have to be met.
+        """
         entries = _received(group, 5)
         order = np.lexsort([entries[k] for k in (0, 3, 2, 1)])
         entries = [c[order] for c in entries]
@@ -320,26 +341,28 @@ def _groups(indexed: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
         token, node, size, at, length = (c[once] for c in entries)
         begin = _starts(node, size)
         if not len(begin):
-            return pa.Table.from_batches([_sent(token, token, node, size, at, length)])
+            return pa.Table.from_batches([_sent(token, token, node, size, at)])
         per_class = np.diff(np.append(begin, len(node)))
-        alpha = least_shared(size, percent)
+        long = length > SHORT_LIST
+        before = np.cumsum(long) - long
+        rank = at - before + np.repeat(before[begin], per_class)
+        most = most_shared(size[begin], percent) - np.add.reduceat(long.astype(np.int64), begin)
+        spared = size - least_shared(size, percent)
         costs = []
         for k in range(1, MOST_SHARED + 1):
-            steps = np.add.reduceat(np.where(at < size - alpha + k, length - 1, 0), begin)
-            costs.append(np.where(alpha[begin] >= k, ENTRY * k + steps * (1 + CANDIDATE / k), np.inf))
+            steps = np.add.reduceat(np.where(~long & (rank < spared + k), length - 1, 0), begin)
+            costs.append(np.where(most >= k, ENTRY * k + steps * (1 + CANDIDATE / k), np.inf))
         shared = np.repeat(np.argmin(costs, axis=0) + 1, per_class)
-        taken = at < size - alpha + shared
-        long = length > SHORT_LIST
-        # A long list is not counted, so a pair may miss as many shared tokens as its documents have in long lists.
-        missed = np.repeat(np.add.reduceat((taken & long).astype(np.int64), begin), per_class)
+        taken = long | (rank < spared + shared)
         bucket = np.where(long, buckets + node % buckets, token % buckets)
-        return pa.Table.from_batches([_sent(*(c[taken] for c in (bucket, token, node, size, shared, missed)))])
+        figure = np.where(long, np.repeat(most < 1, per_class), shared)
+        return pa.Table.from_batches([_sent(*(c[taken] for c in (bucket, token, node, size, figure)))])
 
     def pair(group: pa.Table) -> pa.Table:
-        entries = _received(group, 5)
+        entries = _received(group, 4)
         if group.column("bucket")[0].as_py() >= buckets:
-            token, node = entries[:2]
-            columns = [node, token + _HUB, np.ones(len(node), np.int64), np.zeros(len(node), np.int64)]
+            token, node, _, mark = entries
+            columns = [node, token + _HUB, mark, np.zeros(len(node), np.int64)]
         else:
             order = np.argsort(entries[0], kind="stable")
             entries = [c[order] for c in entries]
@@ -351,8 +374,10 @@ def _groups(indexed: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
     listed = sent.groupBy("bucket").applyInArrow(list_up, blocks)
     chosen = listed.groupBy("bucket").applyInArrow(choose, blocks)
     met = chosen.groupBy("bucket").applyInArrow(pair, "a long, b long, met long, required long")
-    pairs = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("required").alias("required")).where("met >= required")
-    return components(pairs.select("a", "b")).where(F.col("node") < _HUB).withColumnsRenamed({"node": "short"})
+    pairs = met.groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("required").alias("required")).where("met >= required").checkpoint()
+    long = pairs.where(F.col("b") >= _HUB)
+    links = pairs.where(F.col("b") < _HUB).unionByName(long.join(long.where("met > 0").select("b"), "b", "left_semi"))
+    return components(links.select("a", "b")).where(F.col("node") < _HUB).withColumnsRenamed({"node": "short"})
 
 
 class _Documents:
@@ -416,8 +441,11 @@ def similar_pairs(sets: list[np.ndarray], side: np.ndarray, percent: int) -> tup
     return np.concatenate(left), np.concatenate(right)
 
 
-def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, width: int) -> DataFrame:
-    """``node``, ``links``, ``least``: partial sums of verified links for each task a node takes part in."""
+def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, total: int, percent: int, width: int) -> DataFrame:
+    """``node``, ``links``, ``least``: partial sums of verified links for each task a node takes part in.
+
+    ``total`` is the number of tokens of the table, by which rounds are made.
+    """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nodes = nodes.withColumn("short", F.col("node").bitwiseAND(F.lit((1 << NODE_BITS) - 1)))
@@ -426,8 +454,10 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
     by_size = F.greatest(F.ceil(F.col("documents") / BLOCK), F.ceil(F.col("tokens") / TASK_TOKENS))
     spread = F.least(F.lit(int(np.ceil(np.sqrt(2 * partitions)))), F.floor(F.col("documents") / LEAST_BLOCK))
     sizes = sizes.withColumn("blocks", F.greatest(by_size, spread, F.lit(1)).cast("int")).checkpoint()
-    small = sizes.where("blocks = 1").agg(F.sum("tokens")).first()[0] or 0
-    tasks = max(partitions, -(-int(small) // TASK_TOKENS))
+    sent = F.sum(F.when(F.col("blocks") > 1, F.col("tokens") * F.col("blocks")))
+    small, large = (int(x or 0) for x in sizes.agg(F.sum(F.when(F.col("blocks") == 1, F.col("tokens"))), sent).first())
+    tasks = max(partitions, -(-small // TASK_TOKENS))
+    rounds = max(1, -(-large // max(ROUND_TOKENS, total // ROUND_PART)))
     members = grouped.select("node", "first_id", "weight", "root").join(sizes.select("root", "blocks"), "root")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -444,6 +474,8 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
     docs = docs.select("doc_id", "text")
     texts = members.join(docs, members["first_id"].eqNullSafe(docs["doc_id"])).select("node", "weight", "root", "blocks", "text")
     filled = texts.mapInArrow(fill, "node long, weight long, root long, blocks int, tokens binary")
+    if rounds > 1:
+        filled = filled.checkpoint()
     # A large group's documents meet block by block: (i, j) with i <= j, each document on the side of its block.
     own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -482,7 +514,15 @@ def _verify(docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, w
         some = np.flatnonzero(links)
         return pa.table({"node": nodes_[some], "links": links[some].astype(np.int64), "least": least[some]})
 
-    return dealt.groupBy("task", "i", "j").applyInArrow(verify, "node long, links long, least long")
+    counted = "node long, links long, least long"
+    if rounds == 1:
+        return dealt.groupBy("task", "i", "j").applyInArrow(verify, counted).checkpoint()
+    met = None
+    for k in range(rounds):
+        now = dealt.where(F.pmod(F.xxhash64("task", "i", "j"), F.lit(rounds)) == k)
+        some = now.groupBy("task", "i", "j").applyInArrow(verify, counted).checkpoint()
+        met = some if met is None else met.unionAll(some)
+    return met
 
 
 def jaccard_join(
@@ -508,17 +548,18 @@ def linked_rows(docs: DataFrame, percent: int, width: int) -> DataFrame:
     All other columns stay; none may be named like what is added, or ``node`` or ``prefix``.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    sketch = _count_tokens(docs, width)
-    indexed = _index(docs, sketch, percent, width).checkpoint()
-    nodes = (
-        indexed.where("node IS NOT NULL")
-        .groupBy("node")
-        .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.max("n_shingles").alias("size"))
-        .checkpoint()
-    )
-    roots = _groups(indexed, sketch, percent)
-    counted = _verify(docs, nodes, roots, percent, width).checkpoint()
-    linked = components(counted.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    with shuffles_removed(docs.sparkSession):
+        sketch = _count_tokens(docs, width)
+        indexed = _index(docs, sketch, percent, width).checkpoint()
+        nodes = (
+            indexed.where("node IS NOT NULL")
+            .groupBy("node")
+            .agg(F.min("doc_id").alias("first_id"), F.count("*").alias("weight"), F.max("n_shingles").alias("size"))
+            .checkpoint()
+        )
+        roots = _groups(indexed, sketch, percent)
+        counted = _verify(docs, nodes, roots, int(sketch.sum(dtype=np.int64)), percent, width)
+        linked = components(counted.select(F.col("node").alias("a"), F.col("least").alias("b")))
     met = counted.groupBy("node").agg(F.sum("links").alias("met"))
     placed = nodes.select("node", "first_id", "weight").join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))

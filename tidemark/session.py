@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,6 +55,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within, what an action has shuffled is removed at its end, not when the driver happens to collect its garbage.
+
+    For steps that end in a checkpoint or a few rows: a DataFrame made within that runs twice shuffles twice.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """Path of a fresh folder inside the shared one; it is not created yet."""
     return f"{shared_folder(spark).rstrip('/')}/{label}_{uuid.uuid4().hex[:12]}"
