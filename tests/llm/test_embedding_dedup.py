@@ -92,3 +92,33 @@ def test_doubles_and_two_vectors_of_one_id(spark):
     links = [sum(exact(a, b) for j, (_, b) in enumerate(rows) if j != i) for i, (_, a) in enumerate(rows)]
     assert sorted((r[0], r[1]) for r in found) == sorted((i, n) for (i, _), n in zip(rows, links, strict=True))
     assert all(r[2] == 1 for r in found if r[0] in (1, 4))
+
+
+@pytest.mark.parametrize("limits", [{}, {"STRIP": 2}, {"STRIP": 3, "ROUND_BYTES": 64}])
+def test_strips_meet_in_rounds(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(ed, name, value)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(10, 24))
+    vectors = [c + rng.normal(size=24) * rng.choice([0.0, 0.1, 0.2]) for c in centres for _ in range(12)] + list(rng.normal(size=(40, 24)))
+    rows = [(k, [float(np.float32(x)) for x in v]) for k, v in enumerate(vectors)] + [(500, None), (501, [2.0, 1.0]), (502, [4.0, 2.0])]
+    sent = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # so that strips are as large as they may be
+    try:
+        found = ed.near_duplicates(table(spark, rows).repartition(4), tile=4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", sent)
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows)
+
+
+def test_a_tile_is_sent_once_for_each_strip():
+    """What is sent grows with the strips, not with the tiles; strips hold neighbours, and none within reach is left out."""
+    rng = np.random.default_rng(2)
+    low = rng.permutation(np.linspace(-1, 1, 640))
+    high = low + rng.choice([0.0, 0.004, 0.3], 640)
+    strips, first, last = ed.strips_of(low, high, 0.1, 12)
+    assert len(first) == 20 and np.bincount(strips).max() == ed.STRIP
+    assert (last - first + 1)[strips].max() <= 20
+    near = (low[:, None] - high[None] <= 0.1) & (low[None] - high[:, None] <= 0.1)
+    a, b = np.nonzero(near)
+    assert ((first[strips[a]] <= strips[b]) & (strips[b] <= last[strips[a]])).all()

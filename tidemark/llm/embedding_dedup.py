@@ -2,7 +2,10 @@
 
 Unit vectors are turned onto their principal axes, so leading dimensions carry
 most of a product. Tiles of vectors that lie close on the first axis are
-compared: the product over the leading dimensions plus the product of the
+compared. Tiles beside each other are a strip, and a pair of strips is a task,
+so a tile is sent once for each strip and not for each tile; pairs of strips are
+dealt to rounds, of which each sends about as much as the table holds. Within a
+pair of tiles the product over the leading dimensions plus the product of the
 norms of the rest bounds the cosine from above, and a pair is dropped as soon
 as the bound is below the threshold. What is left is decided by the cosine of
 the original vectors in double precision.
@@ -17,14 +20,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, remove_folder, scratch_folder, shuffles_removed
 
 from .components import components
 from .unions import Sets
 
 THRESHOLD = 0.95
-# Vectors in a tile: a pair of tiles is one unit of work and of memory.
+# Vectors in a tile: a pair of tiles is compared at a time.
 TILE = 2048
+# Most tiles in a strip: a pair of strips is a task's work and memory.
+STRIP = 32
+# Bytes of vectors that a round sends: those of the table, but so many at least.
+ROUND_BYTES = 1 << 28
 # Dimensions after which the bound is tested.
 STEPS = (16, 32)
 # Rounding of the first axis; by it tiles that are just too far apart are compared all the same.
@@ -145,53 +152,56 @@ def near_duplicates(
     id gives a row each, a null id one that is never ``kept`` and in no
     component's name. No rows, no result; other columns are ignored.
 
-    Tiles are met by a join of tile numbers, and pairs of tiles that are too far
-    apart on the first axis are left out. What leaves a pair of tiles is one row
-    for each linked class: how many rows it met and the smallest class it is
-    connected with, never the pairs.
+    Tiles meet by strips, and pairs of tiles that are too far apart on the first
+    axis are left out. What leaves a pair of strips is one row for each linked
+    class: how many rows it met and the smallest class it is connected with,
+    never the pairs. The disk holds the vectors a few times, however many strips
+    there are; the comparisons grow with the square of the rows.
     """
     spark = vectors.sparkSession
     ensure_checkpoint_dir(spark)
     rows = vectors.select(F.col(f"`{id_column}`").alias("vec_id"), F.col(f"`{vector}`").alias("vector"))
     checked = rows.withColumn("ok", valid("vector"))
-    classes = (
-        checked.where("ok")
-        .groupBy("vector")
-        .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
-        .withColumns({"dimension": F.size("vector"), "code": F.monotonically_increasing_id()})
-        .checkpoint()
-    )
-    counted = None
-    for row in classes.select("dimension").distinct().orderBy("dimension").collect():  # one length, as a rule
-        compared = classes.where(F.col("dimension") == row.dimension).select("code", "weight", "vector")
-        some = _count_links(compared, principal_axes(compared, row.dimension), threshold, tile)
-        counted = some if counted is None else counted.unionAll(some)
-    counted = spark.createDataFrame([], COUNTS) if counted is None else counted.checkpoint()
-    roots = components(counted.select(F.col("code").alias("a"), F.col("least").alias("b")))
-    met = counted.groupBy("code").agg(F.sum("links").alias("met"))
-    placed = classes.join(roots, classes["code"] == roots["node"], "left").withColumn("root", F.coalesce("root", "code"))
-    smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    told = (
-        placed.join(smallest, "root")
-        .join(met, "code", "left")
-        .select("vector", "component_id", (F.col("weight") - 1 + F.coalesce("met", F.lit(0))).alias("links"))
-    )
-    # Equal vectors lie together: the hot side of this join is split by Spark.
-    return (
-        checked.withColumn("key", F.when(F.col("ok"), F.col("vector")))
-        .join(told.withColumnRenamed("vector", "key"), "key", "left")
-        .select(
-            "vec_id",
-            F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component_id", "vec_id").cast("long").alias("component_id"),
-            (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"),
+    with shuffles_removed(spark):
+        classes = (
+            checked.where("ok")
+            .groupBy("vector")
+            .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
+            .withColumns({"dimension": F.size("vector"), "code": F.monotonically_increasing_id()})
+            .checkpoint()
         )
+        # Equal vectors lie together: the hot side of this join is split by Spark. What follows needs no vectors for the rows.
+        keys = classes.select(F.when(F.col("dimension") > 0, F.col("vector")).alias("key"), "code")
+        codes = checked.withColumn("key", F.when(F.col("ok"), F.col("vector"))).join(keys, "key", "left").select("vec_id", "code").checkpoint()
+        counted = None
+        for row in classes.select("dimension").distinct().orderBy("dimension").collect():  # one length, as a rule
+            compared = classes.where(F.col("dimension") == row.dimension).select("code", "weight", "vector")
+            some = _count_links(compared, principal_axes(compared, row.dimension), threshold, tile)
+            counted = some if counted is None else counted.unionAll(some)
+        counted = spark.createDataFrame([], COUNTS) if counted is None else counted
+        roots = components(counted.select(F.col("code").alias("a"), F.col("least").alias("b")))
+        met = counted.groupBy("code").agg(F.sum("links").alias("met"))
+        placed = classes.select("code", "first_id", "weight").join(roots, F.col("code") == F.col("node"), "left")
+        placed = placed.withColumn("root", F.coalesce("root", "code"))
+        smallest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+        told = (
+            placed.join(smallest, "root")
+            .join(met, "code", "left")
+            .select("code", "component_id", (F.col("weight") - 1 + F.coalesce("met", F.lit(0))).alias("links"))
+            .checkpoint()
+        )
+    return codes.join(told, "code", "left").select(
+        "vec_id",
+        F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").cast("long").alias("component_id"),
+        (F.col("vec_id") == F.coalesce("component_id", "vec_id")).alias("kept"),
     )
 
 
 def _count_links(classes: DataFrame, axes: np.ndarray, threshold: float, tile: int) -> DataFrame:
-    """``code``, ``links``, ``least``: partial sums for each pair of tiles a class has links in."""
+    """``code``, ``links``, ``least``: partial sums for each pair of strips a class has links in."""
     spark = classes.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dimension = axes.shape[0]
     kind = "<f8" if "double" in classes.schema["vector"].dataType.simpleString() else "<f4"
     shared = spark.sparkContext.broadcast(axes)
@@ -227,52 +237,81 @@ def _count_links(classes: DataFrame, axes: np.ndarray, threshold: float, tile: i
     parts = F.ceil(F.col("count") / tile).cast("int")
     split = split.join(F.broadcast(sizes.withColumn("parts", parts)), "tile")  # one row for each tile
     split = split.withColumn("tile", F.col("tile") * F.lit(1 << 12) + F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
-    packed = split.select("tile", "lead", "code", "weight", "vector").groupBy("tile").applyInArrow(
+    folder = scratch_folder(spark, "tiles")  # removed when all have met
+    split.select("tile", "lead", "code", "weight", "vector").groupBy("tile").applyInArrow(
         to_tiles, "tile int, low double, high double, codes binary, weights binary, vectors binary"
-    ).checkpoint()
+    ).write.parquet(folder)
+    packed = spark.read.parquet(folder)
     # |x1 - y1| of two unit vectors is at most the distance that the threshold allows.
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    spans = packed.select("tile", "low", "high")
-    met = spans.alias("a").join(
-        F.broadcast(spans).alias("b"),  # two numbers for each tile
-        (F.col("a.tile") <= F.col("b.tile"))
-        & (F.col("b.low") - F.col("a.high") <= reach)
-        & (F.col("a.low") - F.col("b.high") <= reach),
-    )
-    met = met.select(F.col("a.tile").alias("i"), F.col("b.tile").alias("j"))
-    content = packed.select("tile", "codes", "weights", "vectors")
-    pairs = (
-        met.join(content.toDF("i", "codes_i", "weights_i", "vectors_i"), "i")
-        .join(content.toDF("j", "codes_j", "weights_j", "vectors_j"), "j")
-        .repartition(max(1, min(tiles * tiles, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))), "i", "j")
+    spans = packed.select("low", "high", "tile").collect()  # three numbers for each tile
+    strips, first, last = strips_of(np.array([r.low for r in spans]), np.array([r.high for r in spans]), reach, partitions)
+    sent = int((last - first + 1)[strips].sum()) * total * dimension * np.dtype(kind).itemsize // len(spans)
+    rounds = min(len(first), -(-sent // max(ROUND_BYTES, total * dimension * np.dtype(kind).itemsize)))
+    places = [(row.tile, int(k), int(first[k]), int(last[k])) for row, k in zip(spans, strips, strict=True)]
+    places = spark.createDataFrame(places, "tile int, strip int, first int, last int")
+    meetings = places.select("tile", "strip", F.explode(F.sequence("first", "last")).alias("other")).select(
+        "tile", "strip", F.least("strip", "other").alias("i"), F.greatest("strip", "other").alias("j")
     )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def side(row: dict, end: str) -> Side:
-            codes = np.frombuffer(row[f"codes_{end}"], "<i8")
-            values = np.frombuffer(row[f"vectors_{end}"], kind).astype(np.float64).reshape(len(codes), dimension)
-            return Side(codes, np.frombuffer(row[f"weights_{end}"], "<i8"), values, shared.value)
-
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pylist()[0]
-                same = row["i"] == row["j"]
-                a = side(row, "i")
-                b = a if same else side(row, "j")
-                left, right = compare(a, b, threshold, same)
-                codes = a.codes if same else np.append(a.codes, b.codes)
-                weights = a.weights if same else np.append(a.weights, b.weights)
-                right = right if same else right + len(a.codes)
-                links = np.bincount(left, weights[right], len(codes)) + np.bincount(right, weights[left], len(codes))
-                order = np.argsort(codes)
-                rank = np.empty(len(codes), np.int64)
-                rank[order] = np.arange(len(codes))
-                sets = Sets(len(codes))
-                sets.join_all(rank[left], rank[right])
-                least = codes[order][sets.roots()][rank]
-                some = np.flatnonzero(links)
-                yield pa.RecordBatch.from_pydict({
-                    "code": codes[some], "links": links[some].astype(np.int64), "least": least[some],
-                })
-
-    return pairs.mapInArrow(count, COUNTS)
+    def count(group: pa.Table) -> pa.Table:
+        at = {name: group.column(name).to_numpy() for name in ("strip", "low", "high")}
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        codes = [np.frombuffer(raw.as_buffer(), "<i8") for raw in group.column("codes")]
+        weights = [np.frombuffer(raw.as_buffer(), "<i8") for raw in group.column("weights")]
+        begin = np.cumsum([0, *map(len, codes)])
+        order = np.argsort(np.concatenate(codes))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        links, sets, sides = np.zeros(len(order), np.int64), Sets(len(order)), {}
+
+        def side(k: int) -> Side:
+            if k not in sides:
+                values = np.frombuffer(group.column("vectors")[k].as_buffer(), kind).astype(np.float64).reshape(len(codes[k]), dimension)
+                sides[k] = Side(codes[k], weights[k], values, shared.value)
+            return sides[k]
+
+        for p in np.flatnonzero(at["strip"] == i).tolist():
+            for q in np.flatnonzero(at["strip"] == j).tolist():
+                if i == j and q < p or at["low"][q] - at["high"][p] > reach or at["low"][p] - at["high"][q] > reach:
+                    continue
+                left, right = compare(side(p), side(q), threshold, p == q)
+                if not len(left):
+                    continue
+                links[begin[p] : begin[p + 1]] += np.bincount(left, weights[q][right], len(codes[p])).astype(np.int64)
+                links[begin[q] : begin[q + 1]] += np.bincount(right, weights[p][left], len(codes[q])).astype(np.int64)
+                sets.join_all(rank[left + begin[p]], rank[right + begin[q]])
+            if i != j:
+                sides.pop(p, None)
+        some = np.flatnonzero(links)
+        codes = np.concatenate(codes)
+        return pa.table({"code": codes[some], "links": links[some], "least": codes[order][sets.roots()[rank[some]]]})
+
+    met = None
+    for k in range(rounds):
+        now = meetings.where(F.pmod(F.col("i") + F.col("j"), F.lit(rounds)) == k)
+        tasks = max(1, min(len(first) ** 2, 4 * partitions))
+        dealt = packed.join(F.broadcast(now), "tile").drop("tile").repartition(tasks, "i", "j")
+        some = dealt.groupBy("i", "j").applyInArrow(count, COUNTS).checkpoint()
+        met = some if met is None else met.unionAll(some)
+    remove_folder(spark, folder)
+    return met
+
+
+def strips_of(low: np.ndarray, high: np.ndarray, reach: float, partitions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The strip of each tile, and the first and last strip that each strip has to meet.
+
+    Tiles of a strip are neighbours on the first axis. All strips within reach lie
+    between a strip's first and last; others may, if spans overlap.
+    """
+    n = max(-(-len(low) // STRIP), min(len(low), int(np.ceil(np.sqrt(8 * partitions)))))
+    strips = np.empty(len(low), np.int64)
+    strips[np.lexsort([high, low])] = np.arange(len(low)) * n // len(low)
+    least, most = np.full(n, np.inf), np.full(n, -np.inf)
+    np.minimum.at(least, strips, low)
+    np.maximum.at(most, strips, high)
+    first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for k in range(n):
+        near = np.flatnonzero((least - most[k] <= reach) & (least[k] - most <= reach))
+        first[k], last[k] = near[0], near[-1]
+    return strips, first, last
