@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 from hypothesis import given, settings
@@ -106,3 +107,22 @@ def test_words_and_columns_come_with_the_clusters(spark):
     odd = clustered_documents(docs, text="prefix", id_column="n_words", source="node").collect()
     assert sorted((r.source or "", r.doc_id, r.n_words) for r in odd) == [("", None, 2), ("a", 1, 3), ("b", 1, 3), ("d", 4, 0), ("e", 5, 0)]
     assert [r.cluster is None for r in sorted(odd, key=lambda r: r.source or "")] == [False, False, False, True, True]
+
+
+def test_clusters_leave_no_shuffle_on_the_disk(spark):
+    """While the next steps run, the disk must not hold what the join has shuffled."""
+
+    def shuffled():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("|")
+        return {path for path in files.split("|") if "/shuffle_" in path}
+
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, "a", " ".join([*words[:k], "other", *words[k + 1 :]])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    before = shuffled()
+    items_ = clustered_documents(docs)
+    end = time.time() + 10
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert items_.count() == 40 and len({r.cluster for r in items_.collect()}) == 1

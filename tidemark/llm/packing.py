@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import shuffles_removed
+
 from .components import components
 from .jaccard_join import linked_rows
 
@@ -150,10 +152,12 @@ def clustered_documents(
     low, own = F.lower(F.col(f"`{text}`")), F.col(f"`{id_column}`")
     known = F.coalesce(own.cast("long"), F.xxhash64(low))
     docs = docs.select(known.alias("doc_id"), low.alias("text"), own.alias("own_id"), F.col(f"`{source}`").alias("source"))
-    rows = linked_rows(docs, percent, width).drop("n_links").checkpoint()
-    placed = rows.where("n_shingles > 0")
-    first = placed.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.max("component_id").alias("last")).where("first < last")
-    several = placed.join(first, "doc_id").where("component_id <> first")
-    roots = components(several.select(F.col("component_id").alias("a"), F.col("first").alias("b"))).toDF("component_id", "root")
-    cluster = F.when(F.col("n_words") > 0, F.coalesce("root", "component_id")).alias("cluster")
-    return rows.join(roots, "component_id", "left").select(F.col("own_id").alias("doc_id"), "source", "n_words", cluster).checkpoint()
+    with shuffles_removed(docs.sparkSession):
+        rows = linked_rows(docs, percent, width).drop("n_links").checkpoint()
+        placed = rows.where("n_shingles > 0")
+        first = placed.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.max("component_id").alias("last")).where("first < last")
+        several = placed.join(first, "doc_id").where("component_id <> first")
+        roots = components(several.select(F.col("component_id").alias("a"), F.col("first").alias("b"))).toDF("component_id", "root")
+        cluster = F.when(F.col("n_words") > 0, F.coalesce("root", "component_id")).alias("cluster")
+        found = rows.join(roots, "component_id", "left").select(F.col("own_id").alias("doc_id"), "source", "n_words", cluster)
+        return found.checkpoint()
